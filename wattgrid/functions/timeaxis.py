@@ -20,10 +20,25 @@ def as_keys(keys: str | list[str] | tuple[str, ...]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def quoted(name: str) -> str:
+    """A column name for use inside SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def seconds_sql(ts: str) -> str:
+    """SQL text for the whole seconds since 1970-01-01 of a timestamp column."""
+    return f"cast(cast((cast({quoted(ts)} AS timestamp_ntz) - {_EPOCH}) AS interval second) AS bigint)"
+
+
+def slot_sql(ts: str, step: int) -> str:
+    """SQL text for :func:`slot`."""
+    return f"cast(floor({seconds_sql(ts)} / {step}) AS bigint)"
+
+
 def naive(ts: str | Column) -> Column:
     """The timestamp as TIMESTAMP_NTZ (a no-op for columns that already are)."""
     return _col(ts).cast("timestamp_ntz")
@@ -31,6 +46,8 @@ def naive(ts: str | Column) -> Column:
 
 def epoch_seconds(ts: str | Column) -> Column:
     """Whole seconds since 1970-01-01 on the wall clock."""
+    if isinstance(ts, str):
+        return F.expr(seconds_sql(ts))
     return (naive(ts) - F.expr(_EPOCH)).cast("interval second").cast("bigint")
 
 
@@ -47,11 +64,15 @@ def plus_seconds(ts: str | Column, seconds: str | Column | int) -> Column:
 
 def slot(ts: str | Column, step: int) -> Column:
     """Position on the grid of ``step`` seconds: consecutive grid points differ by one."""
+    if isinstance(ts, str):
+        return F.expr(slot_sql(ts, step))
     return F.floor(epoch_seconds(ts) / F.lit(step)).cast("bigint")
 
 
 def floor_to(ts: str | Column, step: int) -> Column:
     """Start of the ``step``-second bucket that holds ``ts``."""
+    if isinstance(ts, str):
+        return F.expr(f"{_EPOCH} + interval '1' second * ({slot_sql(ts, step)} * {step})")
     return from_epoch(slot(ts, step) * F.lit(step))
 
 

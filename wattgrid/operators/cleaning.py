@@ -13,6 +13,7 @@ from wattgrid.functions.timeaxis import (
     floor_to,
     naive,
     plus_seconds,
+    quoted,
     seconds_between,
     slot,
 )
@@ -88,25 +89,23 @@ def _neighbour_edges(placed: DataFrame, names: list[str], columns: Sequence[str]
     """Per bucket: last valid point before it and first valid point after it, for every column."""
     picks = []
     for c in columns:
-        there = F.when(F.col(c).isNotNull(), F.col("__slot"))
+        there = f"CASE WHEN {quoted(c)} IS NOT NULL THEN __slot END"
         picks += [
-            F.min(there).alias(f"{c}__fs"),
-            F.min_by(c, there).alias(f"{c}__fv"),
-            F.max(there).alias(f"{c}__ls"),
-            F.max_by(c, there).alias(f"{c}__lv"),
+            F.expr(f"min({there}) AS {quoted(c + '__fs')}"),
+            F.expr(f"min_by({quoted(c)}, {there}) AS {quoted(c + '__fv')}"),
+            F.expr(f"max({there}) AS {quoted(c + '__ls')}"),
+            F.expr(f"max_by({quoted(c)}, {there}) AS {quoted(c + '__lv')}"),
         ]
     edges = placed.groupBy(*names, BUCKET).agg(*picks)
-    past = Window.partitionBy(*names).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    coming = Window.partitionBy(*names).orderBy(F.desc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    series = ", ".join(quoted(n) for n in names)
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    past = f"(PARTITION BY {series} ORDER BY {BUCKET} {earlier})"
+    coming = f"(PARTITION BY {series} ORDER BY {BUCKET} DESC {earlier})"
     out = []
     for c in columns:
-        out += [
-            F.last(f"{c}__ls", ignorenulls=True).over(past).alias(f"{c}__ps0"),
-            F.last(f"{c}__lv", ignorenulls=True).over(past).alias(f"{c}__pv0"),
-            F.last(f"{c}__fs", ignorenulls=True).over(coming).alias(f"{c}__ns0"),
-            F.last(f"{c}__fv", ignorenulls=True).over(coming).alias(f"{c}__nv0"),
-        ]
-    return edges.select(*names, BUCKET, *out)
+        for found, over, name in (("ls", past, "ps0"), ("lv", past, "pv0"), ("fs", coming, "ns0"), ("fv", coming, "nv0")):
+            out.append(f"last({quoted(f'{c}__{found}')}, true) OVER {over} AS {quoted(f'{c}__{name}')}")
+    return edges.selectExpr(*[quoted(n) for n in names], BUCKET, *out)
 
 
 def fill_gaps(
@@ -132,39 +131,31 @@ def fill_gaps(
 def _fill(
     placed: DataFrame, columns: Sequence[str], limit: int, names: list[str], ts: str, step: int
 ) -> DataFrame:
-    located = placed.withColumn("__slot", slot(ts, step))
+    # Positions as doubles: exact far beyond any series, and their arithmetic needs no overflow checks.
+    located = placed.withColumn("__slot", slot(ts, step).cast("double"))
     edges = _neighbour_edges(located, names, columns)
-    part = Window.partitionBy(*names, BUCKET)
-    back = part.orderBy("__slot")
-    ahead = part.orderBy(F.desc("__slot"))
+    part = f"PARTITION BY {', '.join(quoted(n) for n in names)}, {BUCKET} ORDER BY __slot"
+    running = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     seen = []
     for c in columns:
-        there = F.when(F.col(c).isNotNull(), F.col("__slot"))
-        seen += [
-            F.last(there, ignorenulls=True).over(back).alias(f"{c}__ps"),
-            F.last(c, ignorenulls=True).over(back).alias(f"{c}__pv"),
-            F.last(there, ignorenulls=True).over(ahead).alias(f"{c}__ns"),
-            F.last(c, ignorenulls=True).over(ahead).alias(f"{c}__nv"),
-        ]
-    walked = located.select("*", *seen).join(edges, [*names, BUCKET])
-    helpers = {"__slot"}
+        there = f"CASE WHEN {quoted(c)} IS NOT NULL THEN __slot END"
+        for over, mark in ((f"({part} {running})", "p"), (f"({part} DESC {running})", "n")):
+            seen.append(f"last({there}, true) OVER {over} AS {quoted(f'{c}__{mark}s')}")
+            seen.append(f"last({quoted(c)}, true) OVER {over} AS {quoted(f'{c}__{mark}v')}")
+    walked = located.selectExpr("*", *seen).join(edges, [*names, BUCKET])
+    marks = [f"{c}__{k}" for c in columns for k in ("pv", "ps", "nv", "ns")]
+    # Neighbours become plain columns first: the fill rule names each of them several times.
+    resolved = walked.selectExpr(
+        *[quoted(c) for c in placed.columns], "__slot", *[f"coalesce({quoted(m)}, {quoted(m + '0')}) AS {quoted(m)}" for m in marks]
+    )
     filled = {}
     for c in columns:
-        value = F.col(c)
-        pv = F.coalesce(f"{c}__pv", f"{c}__pv0")
-        ps = F.coalesce(f"{c}__ps", f"{c}__ps0")
-        nv = F.coalesce(f"{c}__nv", f"{c}__nv0")
-        ns = F.coalesce(f"{c}__ns", f"{c}__ns0")
-        line = pv + (nv - pv).cast("double") * (F.col("__slot") - ps) / (ns - ps)
-        filled[c] = (
-            F.when(value.isNotNull(), value)
-            .when(pv.isNull(), nv)
-            .when(nv.isNull() | (ns - ps - 1 <= limit), pv)
-            .otherwise(line)
-            .cast(placed.schema[c].dataType)
-        )
-        helpers |= {f"{c}__{k}" for k in ("ps", "pv", "ns", "nv", "ps0", "pv0", "ns0", "nv0")}
-    return walked.withColumns(filled).drop(*helpers)
+        v, pv, ps, nv, ns = (quoted(n) for n in (c, f"{c}__pv", f"{c}__ps", f"{c}__nv", f"{c}__ns"))
+        # The line is NULL without both neighbours; then the last value stands, or the first one.
+        line = f"{pv} + (cast({nv} AS double) - {pv}) * ((__slot - {ps}) / ({ns} - {ps}))"
+        kind = placed.schema[c].dataType.simpleString()
+        filled[c] = f"coalesce({v}, if({ns} - {ps} <= {limit + 1}, {pv}, cast({line} AS {kind})), {pv}, {nv}) AS {v}"
+    return resolved.selectExpr(*[filled.get(c, quoted(c)) for c in placed.columns])
 
 
 def missing_runs(

@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
-from wattgrid.functions.timeaxis import as_keys, slot
+from wattgrid.functions.timeaxis import as_keys, slot, slot_sql
 
 BUCKET = "__bucket"
 BUCKET_ROWS = 4096
@@ -38,8 +38,9 @@ def bucket_rows(reach: int, rows: int | None = None) -> int:
     return rows
 
 
-def bucket_of(ts: str | Column, step: int, rows: int) -> Column:
-    return F.floor(slot(ts, step) / F.lit(rows)).cast("bigint")
+def bucket_of(ts: str, step: int, rows: int) -> Column:
+    """Bucket number of a timestamp: ``rows`` grid points of ``step`` seconds each."""
+    return F.expr(f"cast(floor({slot_sql(ts, step)} / {rows}) AS bigint)")
 
 
 def with_halo(
