@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattgrid.functions.distributions import normal_quantile
-from wattgrid.functions.timeaxis import DAY, HOUR, as_keys, calendar_part, lit_ts, naive, plus_seconds, seconds_between, slot
+from wattgrid.functions.timeaxis import DAY, HOUR, as_keys, calendar_part, lit_ts, naive, plus_seconds, quoted, seconds_between, slot
 from wattgrid.operators.features import rolling_columns
 from wattgrid.plans.buckets import attach, expand, over_neighbours
 from wattgrid.plans.ranks import cumulative, quantile_table
@@ -91,8 +91,8 @@ def rolling_statistics(
 ) -> DataFrame:
     """Daily and weekly rolling mean, weekly deviation and its band; the current row is included."""
 
-    def build(d: DataFrame, w: WindowSpec) -> DataFrame:
-        return rolling_columns(d, w, sorted({daily, weekly}), target, shift=0, prefix="__r")
+    def build(d: DataFrame, over: str) -> DataFrame:
+        return rolling_columns(d, over, sorted({daily, weekly}), target, shift=0, prefix="__r")
 
     rolled = over_neighbours(
         df.select(*as_keys(keys), ts, target), build, keys=keys, ts=ts, step=step, before=max(daily, weekly), rows=rows
@@ -181,14 +181,14 @@ def decompose(
     half = period // 2
     slim = df.select(*names, ts, F.col(target).cast("double").alias(target))
 
-    def build(d: DataFrame, w: WindowSpec) -> DataFrame:
+    def build(d: DataFrame, over: str) -> DataFrame:
+        y, span = quoted(target), f"OVER ({over} ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING)"
         if period % 2:
-            span = w.rowsBetween(-half, half)
-            return d.withColumn("trend", F.when(F.count(target).over(span) == period, F.avg(target).over(span)))
-        span = w.rowsBetween(-half, half)
-        ends = (F.lag(target, half).over(w) + F.lead(target, half).over(w)) / 2
-        total = F.sum(target).over(span) - ends
-        return d.withColumn("trend", F.when(F.count(target).over(span) == period + 1, total / period))
+            mean = f"avg({y}) {span}"
+        else:
+            ends = f"(lag({y}, {half}) OVER ({over}) + lead({y}, {half}) OVER ({over})) / 2"
+            mean = f"(sum({y}) {span} - {ends}) / {period}"
+        return d.selectExpr("*", f"CASE WHEN count({y}) {span} = {2 * half + 1} THEN {mean} END AS trend")
 
     trended = over_neighbours(slim, build, keys=names, ts=ts, step=step, before=half, after=half, rows=rows)
     starts = slim.groupBy(*names).agg(F.min(slot(ts, step)).alias("__s0"))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wattgrid.functions.holidays import flag_dates, holiday_flag
-from wattgrid.functions.timeaxis import HOUR, as_keys, calendar_part, lit_ts, plus_seconds
+from wattgrid.functions.timeaxis import HOUR, as_keys, lit_ts, plus_seconds, quoted
 from wattgrid.plans.buckets import attach, over_neighbours
 
 LAGS = [1, 24, 48, 168, 336]
@@ -44,24 +43,31 @@ CALENDAR_FEATURES = [
     "month_cos",
     "is_holiday",
 ]
-CYCLES = {"hour": 24, "dayofweek": 7, "month": 12}
+CYCLES = {"hour": ("hour", 24), "dayofweek": ("weekday", 7), "month": ("month", 12)}
 
 
 def add_calendar_features(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Hour, day of week (Monday = 0), day, month, quarter, year and the weekend flag."""
-    parts = {n: calendar_part(n, ts).cast("short") for n in ("hour", "dayofweek", "day", "month", "quarter", "year")}
-    parts["is_weekend"] = (calendar_part("dayofweek", ts) >= 5).cast("byte")
-    return df.withColumns(parts)
+    t = quoted(ts)
+    return df.selectExpr(
+        "*",
+        f"cast(hour({t}) AS smallint) AS hour",
+        f"cast(weekday({t}) AS smallint) AS dayofweek",
+        f"cast(day({t}) AS smallint) AS day",
+        f"cast(month({t}) AS smallint) AS month",
+        f"cast(quarter({t}) AS smallint) AS quarter",
+        f"cast(year({t}) AS smallint) AS year",
+        f"cast(weekday({t}) >= 5 AS tinyint) AS is_weekend",
+    )
 
 
 def add_cyclical_encodings(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Sine and cosine of hour, day of week and month."""
-    waves = {}
-    for name, period in CYCLES.items():
-        angle = calendar_part(name, ts) * (2 * math.pi) / period
-        waves[f"{name}_sin"] = F.sin(angle)
-        waves[f"{name}_cos"] = F.cos(angle)
-    return df.withColumns(waves)
+    t, waves = quoted(ts), []
+    for name, (part, period) in CYCLES.items():
+        angle = f"2 * pi() * {part}({t}) / {period}"
+        waves += [f"sin({angle}) AS {name}_sin", f"cos({angle}) AS {name}_cos"]
+    return df.selectExpr("*", *waves)
 
 
 def add_holiday_flag(df: DataFrame, ts: str = "ts", calendar: DataFrame | None = None) -> DataFrame:
@@ -71,8 +77,8 @@ def add_holiday_flag(df: DataFrame, ts: str = "ts", calendar: DataFrame | None =
     return df.withColumn("is_holiday", holiday_flag(ts))
 
 
-def _lag_columns(window: WindowSpec, lags: Sequence[int], target: str) -> dict[str, Column]:
-    return {f"lag_{k}": F.lag(target, k).over(window) for k in lags}
+def _lags(over: str, lags: Sequence[int], target: str) -> list[str]:
+    return [f"lag({quoted(target)}, {k}) OVER ({over}) AS lag_{k}" for k in lags]
 
 
 def block_length(size: int) -> int:
@@ -81,12 +87,7 @@ def block_length(size: int) -> int:
 
 
 def rolling_columns(
-    df: DataFrame,
-    window: WindowSpec,
-    sizes: Sequence[int],
-    target: str,
-    shift: int = 1,
-    prefix: str = "roll",
+    df: DataFrame, over: str, sizes: Sequence[int], target: str, shift: int = 1, prefix: str = "roll"
 ) -> DataFrame:
     """Rolling mean and sample deviation over the ``size`` rows that end ``shift`` rows back.
 
@@ -95,37 +96,35 @@ def rolling_columns(
     lagged blocks. Only non-negative terms are added, so nothing cancels. NULL until the window
     is full and whenever a member is NULL.
     """
-    blocks = sorted({block_length(s) for s in sizes})
-    value = F.col(target).cast("double")
-    short = {}
-    for b in blocks:
-        frame = window.rowsBetween(-(shift + b - 1), -shift)
-        full = F.count(value).over(frame) == b
-        short[f"__mean{b}"] = F.when(full, F.avg(value).over(frame))
-        short[f"__var{b}"] = F.when(full, F.var_pop(value).over(frame))
-    out = df.withColumns(short)
-
-    means, spreads = {}, {}
+    value = f"cast({quoted(target)} AS double)"
+    short = []
+    for b in sorted({block_length(s) for s in sizes}):
+        frame = f"OVER ({over} ROWS BETWEEN {_back(shift + b - 1)} AND {_back(shift)})"
+        short += [
+            f"CASE WHEN count({value}) {frame} = {b} THEN avg({value}) {frame} END AS __mean{b}",
+            f"CASE WHEN count({value}) {frame} = {b} THEN var_pop({value}) {frame} END AS __var{b}",
+        ]
+    blocks = df.selectExpr("*", *short)
+
+    parts, means, deviations = [], [], []
     for s in sizes:
         b = block_length(s)
-        parts = [(F.lag(f"__mean{b}", b * j).over(window), F.lag(f"__var{b}", b * j).over(window)) for j in range(s // b)]
-        means[f"__parts{s}"] = F.array(*[m for m, _ in parts])
-        means[f"{prefix}_mean_{s}"] = sum((m for m, _ in parts[1:]), parts[0][0]) / len(parts)
-        spreads[f"__within{s}"] = sum((v for _, v in parts[1:]), parts[0][1]) * b
-    out = out.withColumns({**means, **spreads})
+        for kind in ("mean", "var"):
+            lagged = ", ".join(f"lag(__{kind}{b}, {b * j}) OVER ({over})" if j else f"__{kind}{b}" for j in range(s // b))
+            parts.append(f"array({lagged}) AS __{kind}s{s}")
+        total = " + ".join(f"__means{s}[{j}]" for j in range(s // b))
+        means.append(f"({total}) / {s // b} AS {prefix}_mean_{s}")
+        within = " + ".join(f"__vars{s}[{j}]" for j in range(s // b))
+        between = " + ".join(f"power(__means{s}[{j}] - {prefix}_mean_{s}, 2)" for j in range(s // b))
+        deviations.append(f"sqrt({b} * ({within} + {between}) / {s - 1})" if s > 1 else "cast(NULL AS double)")
+    kept = [quoted(c) for c in df.columns]
+    assembled = blocks.selectExpr(*kept, *parts).selectExpr("*", *means)
+    named = [m for s, d in zip(sizes, deviations) for m in (f"{prefix}_mean_{s}", f"{d} AS {prefix}_std_{s}")]
+    return assembled.selectExpr(*kept, *named)
 
-    deviations = {}
-    for s in sizes:
-        b = block_length(s)
-        mean = F.col(f"{prefix}_mean_{s}")
-        gaps = [F.get(f"__parts{s}", F.lit(j)) - mean for j in range(s // b)]
-        between = sum((g * g for g in gaps[1:]), gaps[0] * gaps[0]) * b
-        if s > 1:
-            deviations[f"{prefix}_std_{s}"] = F.sqrt((F.col(f"__within{s}") + between) / (s - 1))
-        else:
-            deviations[f"{prefix}_std_{s}"] = F.lit(None).cast("double")
-    helpers = [*short, *[f"__parts{s}" for s in sizes], *[f"__within{s}" for s in sizes]]
-    return out.withColumns(deviations).drop(*helpers)
+
+def _back(rows: int) -> str:
+    return f"{rows} PRECEDING" if rows else "CURRENT ROW"
 
 
 def add_lag_features(
@@ -140,7 +139,7 @@ def add_lag_features(
     """Past values ``lag_k`` of the target on a gap-free grid."""
     return over_neighbours(
         df,
-        lambda d, w: d.withColumns(_lag_columns(w, lags, target)),
+        lambda d, over: d.selectExpr("*", *_lags(over, lags, target)),
         keys=keys, ts=ts, step=step, before=max(lags), rows=rows,
     )
 
@@ -157,7 +156,7 @@ def add_rolling_features(
     """Causal rolling mean and sample deviation; the current row is never in its own window."""
     return over_neighbours(
         df,
-        lambda d, w: rolling_columns(d, w, windows, target),
+        lambda d, over: rolling_columns(d, over, windows, target),
         keys=keys, ts=ts, step=step, before=max(windows), rows=rows,
     )
 
@@ -176,7 +175,7 @@ def build_features(
     """All feature families; lags and rolling windows share one shuffle and one sort."""
     with_history = over_neighbours(
         df,
-        lambda d, w: rolling_columns(d.withColumns(_lag_columns(w, lags, target)), w, windows, target),
+        lambda d, over: rolling_columns(d.selectExpr("*", *_lags(over, lags, target)), over, windows, target),
         keys=keys, ts=ts, step=step, before=max([*lags, *windows]), rows=rows,
     )
     history = [c for c in with_history.columns if c not in df.columns]
@@ -242,11 +241,12 @@ def direct_matrix(
     """
     history = history_columns(df)
 
-    def shifted(d: DataFrame, w: WindowSpec) -> DataFrame:
-        moved = {c: F.lag(c, horizon).over(w) for c in history}
+    def shifted(d: DataFrame, over: str) -> DataFrame:
+        rest = [quoted(c) for c in d.columns if c not in history]
+        moved = [f"lag({quoted(c)}, {horizon}) OVER ({over}) AS {quoted(c)}" for c in history]
         if include_origin:
-            moved["origin_value"] = F.lag(target, horizon).over(w)
-        return d.withColumns(moved)
+            moved.append(f"lag({quoted(target)}, {horizon}) OVER ({over}) AS origin_value")
+        return d.selectExpr(*rest, *moved)
 
     names = as_keys(keys)
     moved = over_neighbours(df, shifted, keys=names, ts=ts, step=step, before=horizon, rows=rows)
@@ -274,7 +274,9 @@ def lookback_windows(
         slim = slim.where(F.col(ts) >= plus_seconds(lit_ts(start), -length * step))
     made = over_neighbours(
         slim,
-        lambda d, w: d.withColumn("window", F.collect_list(target).over(w.rowsBetween(-length, -1))),
+        lambda d, over: d.selectExpr(
+            "*", f"collect_list({quoted(target)}) OVER ({over} ROWS BETWEEN {length} PRECEDING AND 1 PRECEDING) AS window"
+        ),
         keys=names, ts=ts, step=step, before=length, rows=rows,
     ).where(F.size("window") == length)
     if start is not None:
@@ -305,7 +307,9 @@ def context_windows(
         slim = slim.where(F.col(ts) >= plus_seconds(lit_ts(start), -reach * step))
     made = over_neighbours(
         slim,
-        lambda d, w: d.withColumn("context", F.collect_list(target).over(w.rowsBetween(-reach, -horizon))),
+        lambda d, over: d.selectExpr(
+            "*", f"collect_list({quoted(target)}) OVER ({over} ROWS BETWEEN {reach} PRECEDING AND {horizon} PRECEDING) AS context"
+        ),
         keys=names, ts=ts, step=step, before=reach, rows=rows,
     )
     if start is not None:
@@ -352,7 +356,7 @@ def seasonal_difference(
     """``y - y(period rows earlier)``, undefined rows dropped."""
     made = over_neighbours(
         df,
-        lambda d, w: d.withColumn(name, F.col(target) - F.lag(target, period).over(w)),
+        lambda d, over: d.selectExpr("*", f"{quoted(target)} - lag({quoted(target)}, {period}) OVER ({over}) AS {quoted(name)}"),
         keys=keys, ts=ts, step=step, before=period, rows=rows,
     )
     return made.where(F.col(name).isNotNull())

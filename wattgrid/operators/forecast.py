@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from wattgrid.functions.timeaxis import HOUR, as_keys, lit_ts, plus_seconds, seconds_between
+from wattgrid.functions.timeaxis import HOUR, as_keys, lit_ts, plus_seconds, quoted, seconds_between
 from wattgrid.operators.features import recent_tail
 from wattgrid.plans.buckets import attach, over_neighbours
 
@@ -45,21 +45,19 @@ def _seasonal_terms(
     df: DataFrame, period: int, target: str, names: list[str], ts: str, step: int, rows: int | None
 ) -> DataFrame:
     """Seasonal difference ``d`` and its lags 1, period, period + 1, with the seasonal base."""
-    offsets = [1, period, period + 1, 2 * period, 2 * period + 1]
-
-    def build(d: DataFrame, w):
-        past = {f"__y{k}": F.lag(target, k).over(w) for k in offsets}
-        d = d.withColumns(past)
-        y = {k: F.col(f"__y{k}") for k in offsets}
-        return d.withColumns(
-            {
-                "base": y[period],
-                "d": F.col(target) - y[period],
-                "d1": y[1] - y[period + 1],
-                "d2": y[period] - y[2 * period],
-                "d3": y[period + 1] - y[2 * period + 1],
-            }
-        ).drop(*past)
+    def build(d: DataFrame, over: str) -> DataFrame:
+        def y(k: int) -> str:
+            return f"lag({quoted(target)}, {k}) OVER ({over})"
+
+        p = period
+        return d.selectExpr(
+            "*",
+            f"{y(p)} AS base",
+            f"{quoted(target)} - {y(p)} AS d",
+            f"{y(1)} - {y(p + 1)} AS d1",
+            f"{y(p)} - {y(2 * p)} AS d2",
+            f"{y(p + 1)} - {y(2 * p + 1)} AS d3",
+        )
 
     slim = df.select(*names, ts, F.col(target).cast("double").alias(target), "split")
     return over_neighbours(slim, build, keys=names, ts=ts, step=step, before=2 * period + 1, rows=rows)

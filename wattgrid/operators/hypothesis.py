@@ -118,7 +118,7 @@ def bucket_products(
     names = as_keys(keys)
     width = bucket_rows(reach, rows)
     standing = _standing(df, target, names, ts, step)
-    spread = with_halo(standing.select(*names, "pos", "n", "e"), F.col("pos"), before=reach, rows=width)
+    spread = with_halo(standing.select(*names, "pos", "n", "e"), "pos", before=reach, rows=width)
     schema = (
         f"{_fields(spread, names)}, {BUCKET} bigint, n bigint, size bigint, total double, s1 double, s2 double, cross array<double>"
     )
@@ -290,7 +290,7 @@ def adf(
     width = bucket_rows(reach, rows)
     z = F.when(F.col("__s") > 0, F.col("e") / F.col("__s")).otherwise(F.lit(0.0))
     standing = _standing(df, target, names, ts, step).withColumn("z", z).select(*names, "pos", "n", "z")
-    spread = with_halo(standing, F.col("pos"), before=reach, rows=width)
+    spread = with_halo(standing, "pos", before=reach, rows=width)
     partial = spread.groupBy(*names, BUCKET).applyInPandas(
         _gram_kernel(names, width, reach), f"{_fields(spread, names)}, n bigint, gram array<double>"
     )

@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattgrid.functions.timeaxis import HOUR, as_keys, calendar_part
-from wattgrid.operators.features import seasonal_difference
-from wattgrid.plans.buckets import attach
+from wattgrid.operators.features import rolling_columns, seasonal_difference
+from wattgrid.plans.buckets import attach, over_neighbours
 
 METRICS = ["mae", "rmse", "mape", "smape", "mase"]
 SEASONAL_PERIOD = 24
@@ -212,14 +212,11 @@ def rolling_errors(
     step: int = HOUR,
 ) -> DataFrame:
     """MAE and MASE over the last ``window`` realised grid points, per series and model."""
-    from wattgrid.operators.features import rolling_columns
-    from wattgrid.plans.buckets import over_neighbours
-
     names = as_keys(keys)
     errors = predictions.select(*names, "model", ts, F.abs(F.col("y_true") - F.col("y_pred")).alias("__err"))
     rolled = over_neighbours(
         errors,
-        lambda d, w: rolling_columns(d, w, [window], "__err", shift=0, prefix="__r"),
+        lambda d, over: rolling_columns(d, over, [window], "__err", shift=0, prefix="__r"),
         keys=[*names, "model"], ts=ts, step=step, before=window,
     ).select(*names, "model", ts, F.col(f"__r_mean_{window}").alias("rolling_mae"))
     if isinstance(scale, DataFrame):

@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from wattgrid.functions.timeaxis import as_keys, slot, slot_sql
+from wattgrid.functions.timeaxis import as_keys, quoted, slot_sql
 
 BUCKET = "__bucket"
 BUCKET_ROWS = 4096
@@ -44,28 +44,27 @@ def bucket_of(ts: str, step: int, rows: int) -> Column:
 
 
 def with_halo(
-    df: DataFrame, place: Column, *, before: int = 0, after: int = 0, rows: int | None = None
+    df: DataFrame, place: str, *, before: int = 0, after: int = 0, rows: int | None = None
 ) -> DataFrame:
     """Copy each row into its own bucket and into the neighbours that need to see it.
 
-    ``place`` is the row's integer position on the grid. The own bucket is ``floor(place / rows)``.
+    ``place`` is SQL text for the row's integer position on the grid. The own bucket is ``floor(place / rows)``.
     """
     width = bucket_rows(max(before, after), rows)
-    own = F.floor(place / F.lit(width)).cast("bigint")
-    inside = F.pmod(place, F.lit(width))
-    targets = [F.array(own)]
+    own = f"cast(floor({place} / {width}) AS bigint)"
+    targets = [f"array({own})"]
     if before:
-        targets.append(F.when(inside >= width - before, F.array(own + 1)).otherwise(F.array()))
+        targets.append(f"if(pmod({place}, {width}) >= {width - before}, array({own} + 1), array())")
     if after:
-        targets.append(F.when(inside < after, F.array(own - 1)).otherwise(F.array()))
+        targets.append(f"if(pmod({place}, {width}) < {after}, array({own} - 1), array())")
     if len(targets) == 1:
-        return df.withColumn(BUCKET, own)
-    return df.select("*", F.explode(F.concat(*targets)).alias(BUCKET))
+        return df.selectExpr("*", f"{own} AS {BUCKET}")
+    return df.selectExpr("*", f"explode(concat({', '.join(targets)})) AS {BUCKET}")
 
 
 def over_neighbours(
     df: DataFrame,
-    build: Callable[[DataFrame, WindowSpec], DataFrame],
+    build: Callable[[DataFrame, str], DataFrame],
     *,
     keys: str | Sequence[str],
     ts: str,
@@ -76,13 +75,14 @@ def over_neighbours(
 ) -> DataFrame:
     """Apply window expressions that look at most ``before`` / ``after`` grid points away.
 
-    ``build(frame, window)`` adds the columns; halo copies are dropped afterwards. Frames count
-    rows, so the series must be gap-free (``cleaning.to_regular_grid``).
+    ``build(frame, over)`` adds the columns with ``OVER ({over} ...)`` in SQL text; halo copies are
+    dropped afterwards. Frames count rows, so the series must be gap-free
+    (``cleaning.to_regular_grid``).
     """
     width = bucket_rows(max(before, after), rows)
-    spread = with_halo(df, slot(ts, step), before=before, after=after, rows=width)
-    window = Window.partitionBy(*as_keys(keys), BUCKET).orderBy(ts)
-    built = build(spread, window)
+    spread = with_halo(df, slot_sql(ts, step), before=before, after=after, rows=width)
+    part = ", ".join(quoted(k) for k in [*as_keys(keys), BUCKET])
+    built = build(spread, f"PARTITION BY {part} ORDER BY {quoted(ts)}")
     return built.where(F.col(BUCKET) == bucket_of(ts, step, width)).drop(BUCKET)
 
 

@@ -115,7 +115,7 @@ def monthly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(ex.decompose(b.hourly(spark, sf_dir), 24).drop("phase"), 4)
+    return b.rounded(ex.decompose(b.hourly(spark, sf_dir), 24).drop("phase"), 7)
 
 
 def decompose_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +147,7 @@ def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(ex.describe(b.sales_predictions(spark, sf_dir), ["y_true", "y_pred"]), 3)
+    return b.rounded(ex.describe(b.sales_predictions(spark, sf_dir), ["y_true", "y_pred"]), 5)
 
 
 def sort_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +167,7 @@ def kolmogorov_smirnov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rolling_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(mt.rolling_errors(b.naive_predictions(spark, sf_dir), 24, 200.0))
+    return b.rounded(mt.rolling_errors(b.naive_predictions(spark, sf_dir), 24, 200.0), 8)
 
 
 def retrain_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +308,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         g AS (SELECT series_id, unnest(generate_series(min(month_start), max(month_start), INTERVAL 1 MONTH)) AS month_start FROM m GROUP BY 1)
         SELECT series_id, month_start, {b.r('mean', 4)} FROM g LEFT JOIN m USING (series_id, month_start)""",
     ),
-    "ex8_decompose": (decompose, _decompose_sql("hourly", b.HOURLY, 24, 4)),
+    "ex8_decompose": (decompose, _decompose_sql("hourly", b.HOURLY, 24, 7)),
     "ex8_decompose_weekly": (decompose_weekly, _decompose_sql("daily", b.DAILY, 7, 3)),
     "ex9_qq_points": (qq_points, None),
     "ex9_qq_line": (qq_line, None),
@@ -333,8 +333,8 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     "ex12_describe": (
         describe,
         f"WITH {b.SALES} " + " UNION ALL ".join(
-            f"""SELECT series_id, '{c}' AS "column", count({c}) AS count, {b.r('mean', 3, f'avg({c})')}, {b.r('std', 3, f'stddev_samp({c})')}, {b.r('min', 3, f'min({c})')},
-            {b.r('p25', 3, f'quantile_cont({c}, 0.25)')}, {b.r('p50', 3, f'quantile_cont({c}, 0.5)')}, {b.r('p75', 3, f'quantile_cont({c}, 0.75)')}, {b.r('max', 3, f'max({c})')} FROM sales GROUP BY 1"""
+            f"""SELECT series_id, '{c}' AS "column", count({c}) AS count, {b.r('mean', 5, f'avg({c})')}, {b.r('std', 5, f'stddev_samp({c})')}, {b.r('min', 5, f'min({c})')},
+            {b.r('p25', 5, f'quantile_cont({c}, 0.25)')}, {b.r('p50', 5, f'quantile_cont({c}, 0.5)')}, {b.r('p75', 5, f'quantile_cont({c}, 0.75)')}, {b.r('max', 5, f'max({c})')} FROM sales GROUP BY 1"""
             for c in ("y_true", "y_pred")
         ),
     ),
@@ -348,7 +348,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         rolling_errors,
         f"""WITH {b.NAIVE}, x AS (SELECT series_id, model, ts, CASE WHEN count(*) OVER f = 24 THEN avg(abs(y_true - y_pred)) OVER f END AS rolling_mae FROM naive
             WINDOW f AS (PARTITION BY series_id, model ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW))
-        SELECT series_id, model, ts, {b.r('rolling_mae')}, {b.r('rolling_mase', 6, 'rolling_mae / 200')} FROM x""",
+        SELECT series_id, model, ts, {b.r('rolling_mae', 8)}, {b.r('rolling_mase', 8, 'rolling_mae / 200')} FROM x""",
     ),
     "mn3_retrain_decision": (
         retrain_decision,

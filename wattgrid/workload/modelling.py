@@ -241,7 +241,7 @@ def expanding_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cv_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds = validation.cv_naive(_daily_lags(spark, sf_dir), [1, 7, 28], step=DAY)
-    return b.rounded(folds.select("series_id", "model", "fold", "val_mae"), 4)
+    return b.rounded(folds.select("series_id", "model", "fold", "val_mae"))
 
 
 def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -433,7 +433,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"""WITH {_DLAGS} SELECT series_id, CAST(fold AS INTEGER) AS fold, CASE WHEN pos >= lo THEN 'val' ELSE 'train' END AS role,
         count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM folds WHERE pos < hi GROUP BY 1, 2, 3""",
     ),
-    "cv2_cv_naive": (cv_naive, f"WITH {_CV} SELECT series_id, model, fold, {b.r('val_mae', 4)} FROM cv"),
+    "cv2_cv_naive": (cv_naive, f"WITH {_CV} SELECT series_id, model, fold, {b.r('val_mae')} FROM cv"),
     "cv3_cv_boosted": (cv_boosted, None),
     "cv4_cv_seasonal_ar": (cv_seasonal_ar, None),
 }
