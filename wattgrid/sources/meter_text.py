@@ -83,7 +83,9 @@ def read_meter_text(
         ordered = ordered.withColumn("ingest_ord", F.when(F.col(BAD_RECORD).isNull(), F.col("ingest_ord")).otherwise(broken))
     elif on_bad == "drop":
         ordered = ordered.where(F.col(BAD_RECORD).isNull())
-    stamped = with_timestamp(ordered, on_bad)
+    # Naming Date here keeps the reader from pruning every other column, which it would refuse.
+    noted = F.when(F.col(BAD_RECORD).isNotNull() | F.col("Date").isNull(), F.col(BAD_RECORD))
+    stamped = with_timestamp(ordered.withColumn(BAD_RECORD, noted), on_bad)
     extra = [BAD_RECORD] if on_bad == "quarantine" else []
     return stamped.select("series_id", "ts", *measurements, "ingest_ord", *extra)
 
