@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import FloatType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wattgrid.operators.quality import METER_COLUMNS
 
 BAD_RECORD = "_bad_record"
+EXTRA = "_extra"
 ROW_RANGE = 1 << 33
 PATH_RANGE = 10**12
 # The file's own markers and formats.
@@ -20,10 +21,8 @@ HOUSEHOLD_SHA256 = "4259c9d7ece5dbee9ab8d53682baac68d791c864f0f64a52b4043cb3b908
 
 
 def meter_schema(measurements: Sequence[str] = METER_COLUMNS) -> StructType:
-    """Date and time text, then FLOAT measurements, then the quarantined line."""
-    text = [StructField("Date", StringType()), StructField("Time", StringType())]
-    numbers = [StructField(c, FloatType()) for c in measurements]
-    return StructType([*text, *numbers, StructField(BAD_RECORD, StringType())])
+    """Every field as text, and one more that only an overlong line fills."""
+    return StructType([StructField(c, StringType()) for c in ("Date", "Time", *measurements, EXTRA)])
 
 
 def compose_timestamp(date: str | Column = "Date", time: str | Column = "Time") -> Column:
@@ -57,7 +56,8 @@ def read_meter_text(
 ) -> DataFrame:
     """Meter records of one or many files: ``(series_id, ts, measurements..., ingest_ord)``.
 
-    ``?`` and empty fields are missing values. ``series`` names the series: a constant, or an
+    ``?`` and empty fields are missing values; a field that is no number, or a field too many, makes
+    a line malformed, which ``on_bad`` treats like an unreadable date. ``series`` names the series: a constant, or an
     expression over ``_metadata`` such as the file name. ``ingest_ord`` is the file order that
     decides which of several records of a timestamp came first.
     """
@@ -66,8 +66,7 @@ def read_meter_text(
         .option("sep", ";")
         .option("header", True)
         .option("nullValue", MISSING)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
+        .option("enforceSchema", True)
         .csv(path)
     )
     series_id = F.lit(series) if isinstance(series, str) else series
@@ -78,16 +77,22 @@ def read_meter_text(
     path_hash = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(PATH_RANGE))
     order = ((place + row).cast("decimal(24,0)") * F.lit(PATH_RANGE).cast("decimal(13,0)") + path_hash).cast("decimal(38,0)")
     ordered = lines.select(series_id.alias("series_id"), "*", order.alias("ingest_ord"))
+
+    unreadable = F.col(EXTRA).isNotNull()
+    for c in measurements:
+        unreadable = unreadable | (F.col(c).isNotNull() & F.col(c).try_cast("float").isNull())
+    line = F.concat_ws(";", *[F.coalesce(F.col(c), F.lit(MISSING)) for c in ("Date", "Time", *measurements)], EXTRA)
+    noted = ordered.withColumn(BAD_RECORD, F.when(unreadable, line))
     if on_bad == "fail":
         broken = F.raise_error(F.concat(F.lit("malformed meter line: "), F.col(BAD_RECORD)))
-        ordered = ordered.withColumn("ingest_ord", F.when(F.col(BAD_RECORD).isNull(), F.col("ingest_ord")).otherwise(broken))
+        noted = noted.withColumn("Date", F.when(F.col(BAD_RECORD).isNotNull(), broken).otherwise(F.col("Date")))
     elif on_bad == "drop":
-        ordered = ordered.where(F.col(BAD_RECORD).isNull())
-    # Naming Date here keeps the reader from pruning every other column, which it would refuse.
-    noted = F.when(F.col(BAD_RECORD).isNotNull() | F.col("Date").isNull(), F.col(BAD_RECORD))
-    stamped = with_timestamp(ordered.withColumn(BAD_RECORD, noted), on_bad)
+        noted = noted.where(F.col(BAD_RECORD).isNull())
+    stamped = with_timestamp(noted, on_bad)
     extra = [BAD_RECORD] if on_bad == "quarantine" else []
-    return stamped.select("series_id", "ts", *measurements, "ingest_ord", *extra)
+    return stamped.select(
+        "series_id", "ts", *[F.col(c).try_cast("float").alias(c) for c in measurements], "ingest_ord", *extra
+    )
 
 
 def file_digests(spark: SparkSession, path: str | list[str]) -> DataFrame:
