@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wattgrid.functions import distributions as ds
 from wattgrid.functions.timeaxis import DAY
 from wattgrid.operators import explore as ex, hypothesis as hy, metrics as mt, monitor as mn, boosting, features as ft
 from wattgrid.session import scratch_path, staged
@@ -234,6 +235,44 @@ def _decompose_sql(source: str, cte: str, period: int, digits: int) -> str:
     FROM p JOIN se ON p.series_id = se.series_id AND pos % {period} = phase"""
 
 
+_KPSS = f"""{_ACF.replace("a.rn - 168", "a.rn - 400")}, p AS (SELECT *, floor(pow(n, 2 / 9) + 1e-12) AS pilot FROM c),
+s AS (SELECT series_id, n, sum(CASE WHEN lag = 0 THEN c / n WHEN lag <= pilot THEN 2 * c / n END) AS s0,
+    sum(CASE WHEN lag BETWEEN 1 AND pilot THEN lag * 2 * c / n END) AS s1 FROM p GROUP BY 1, 2),
+l AS (SELECT *, least(floor(1.1447 * pow(pow(s1 / s0, 2), 1 / 3) * pow(n, 1 / 3)), n - 1) AS lags FROM s),
+v AS (SELECT c.series_id, any_value(l.n) AS n, any_value(lags) AS lags,
+    sum(CASE WHEN lag = 0 THEN c WHEN lag <= lags THEN 2 * c * (1 - lag / (lags + 1)) END) / any_value(l.n) AS longrun FROM c JOIN l USING (series_id) GROUP BY 1),
+q AS (SELECT series_id, sum(w * w) AS sq FROM (SELECT series_id, sum(e) OVER (PARTITION BY series_id ORDER BY rn) AS w FROM e) GROUP BY 1),
+kpss AS (SELECT series_id, sq / (n * n) / longrun AS k, CAST(lags AS BIGINT) AS kpss_lags FROM v JOIN q USING (series_id))
+SELECT series_id, {b.r('kpss_stat', 6, 'k')}, {b.r('kpss_pvalue', 6, """CASE WHEN k <= 0.347 THEN 0.10 WHEN k <= 0.463 THEN 0.10 - (k - 0.347) * 0.05 / 0.116
+    WHEN k <= 0.574 THEN 0.05 - (k - 0.463) * 0.025 / 0.111 WHEN k <= 0.739 THEN 0.025 - (k - 0.574) * 0.015 / 0.165 ELSE 0.01 END""")}, kpss_lags FROM kpss"""
+
+_PACF = f"""RECURSIVE {_ACF}, r AS (SELECT series_id, list(acf ORDER BY lag) AS r FROM acf GROUP BY 1),
+d AS (SELECT series_id, r, 1 AS k, [r[2]] AS phi, 1 - r[2] * r[2] AS v FROM r
+    UNION ALL SELECT series_id, r, k + 1, list_concat(list_transform(range(1, k + 1), lambda j: phi[j] - last * phi[k + 1 - j]), [last]), v * (1 - last * last) FROM (
+        SELECT *, (r[k + 2] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j]))) / v AS last FROM d WHERE k < 168))
+SELECT series_id, CAST(k AS INTEGER) AS lag, {b.r('pacf', 6, 'phi[k]')} FROM d UNION ALL SELECT series_id, 0, 1.0 FROM r"""
+
+
+def _horner(x: str, coefficients: list[float]) -> str:
+    text = repr(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        text = f"({text} * {x} + {c!r}::DOUBLE)"
+    return text
+
+
+def _normal_sql(p: str) -> str:
+    q, t = f"({p} - 0.5)", f"sqrt(-ln(least({p}, 1 - {p})))"
+    centre = f"{q} * {_horner(f'(0.180625 - {q} * {q})', ds.CENTRE_NUM)} / {_horner(f'(0.180625 - {q} * {q})', ds.CENTRE_DEN)}"
+    middle = f"{_horner(f'({t} - 1.6)', ds.MIDDLE_NUM)} / {_horner(f'({t} - 1.6)', ds.MIDDLE_DEN)}"
+    tail = f"{_horner(f'({t} - 5)', ds.TAIL_NUM)} / {_horner(f'({t} - 5)', ds.TAIL_DEN)}"
+    return f"CASE WHEN abs({q}) <= 0.425 THEN {centre} ELSE sign({q}) * CASE WHEN {t} <= 5 THEN {middle} ELSE {tail} END END"
+
+
+_QQ = f"""{_RES}, o AS (SELECT series_id, model, residual AS ordered, row_number() OVER (PARTITION BY series_id, model ORDER BY residual) AS i,
+    count(*) OVER (PARTITION BY series_id, model)::DOUBLE AS n FROM res),
+pos AS (SELECT *, CASE WHEN i = n THEN pow(0.5, 1 / n) WHEN i = 1 THEN 1 - pow(0.5, 1 / n) ELSE (i - 0.3175) / (n + 0.365) END AS p FROM o),
+qq AS (SELECT series_id, model, i, ordered, {_normal_sql('p')} AS theoretical FROM pos)"""
+
 _KS = f"""{b.RECORDS}, t AS (SELECT series_id, y AS v, ts < TIMESTAMP '{b.TEST_START}' AS ref FROM records),
 n AS (SELECT series_id, count(*) FILTER (WHERE ref) AS n_reference, count(*) FILTER (WHERE NOT ref) AS n_current FROM t GROUP BY 1),
 d AS (SELECT series_id, v, sum(CASE WHEN ref THEN 1.0 / n_reference ELSE -1.0 / n_current END) AS d FROM t JOIN n USING (series_id) GROUP BY 1, 2),
@@ -253,14 +292,14 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"""WITH {_ACF} SELECT series_id, lag, {b.r('acf')}, {b.r('band', 6, '''CASE WHEN lag = 0 THEN 0 ELSE 1.959963984540054 * sqrt((1 + 2 * coalesce(sum(CASE WHEN lag > 0 THEN acf * acf END)
             OVER (PARTITION BY series_id ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n) END''')} FROM acf""",
     ),
-    "st3_pacf": (pacf, None),
+    "st3_pacf": (pacf, f"WITH {_PACF}"),
     "st4_ljung_box": (
         ljung_box,
         f"""WITH {_ACF}, q AS (SELECT series_id, lag, n * (n + 2) * sum(acf * acf / (n - lag)) OVER (PARTITION BY series_id ORDER BY lag) AS statistic FROM acf WHERE lag > 0)
         SELECT series_id, lag, {b.r('statistic', 4)} FROM q WHERE lag IN (24, 48, 168)""",
     ),
     "st5_adf": (adf, None),
-    "st6_kpss": (kpss, None),
+    "st6_kpss": (kpss, f"WITH {_KPSS}"),
     "st7_verdict": (
         verdict,
         f"""WITH p AS (SELECT event_id, value / 5000 AS adf_pvalue, event_id % 100 / 1000 AS kpss_pvalue FROM events),
@@ -310,8 +349,11 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     ),
     "ex8_decompose": (decompose, _decompose_sql("hourly", b.HOURLY, 24, 7)),
     "ex8_decompose_weekly": (decompose_weekly, _decompose_sql("daily", b.DAILY, 7, 3)),
-    "ex9_qq_points": (qq_points, None),
-    "ex9_qq_line": (qq_line, None),
+    "ex9_qq_points": (qq_points, f"WITH {_QQ} SELECT series_id, model, i, {b.r('ordered', 4)}, {b.r('theoretical', 4)} FROM qq"),
+    "ex9_qq_line": (
+        qq_line,
+        f"WITH {_QQ} SELECT series_id, model, {b.r('slope', 3, 'regr_slope(ordered, theoretical)')}, {b.r('intercept', 3, 'regr_intercept(ordered, theoretical)')}, {b.r('r', 3, 'corr(ordered, theoretical)')} FROM qq GROUP BY 1, 2",
+    ),
     "ex10_actual_vs_predicted": (
         actual_vs_predicted,
         f"""WITH {b.NAIVE} SELECT series_id, ts, {b.r('y_true', 6, "max(y_true) FILTER (WHERE model = 'naive_lag24')")}, {b.r('naive_lag24', 6, "max(y_pred) FILTER (WHERE model = 'naive_lag24')")},

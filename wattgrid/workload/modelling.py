@@ -297,6 +297,36 @@ _CV = f"""{_DLAGS}, cv AS (SELECT series_id, 'naive_lag' || k AS model, CAST(fol
 _SUMMARY = f"""{_CV}, summary AS (SELECT series_id, model, count(*) AS n_folds, avg(val_mae) AS cv_mae_mean, stddev_pop(val_mae) AS cv_mae_std FROM cv GROUP BY 1, 2)"""
 _DIRECT_COLUMNS = ", ".join(f"lag({c}, 24) OVER w AS {c}" for c in b.HISTORY)
 
+_TERMS = ["one", "d1", "d2", "d3"]
+
+
+def _solve_sql(source: str, name: str) -> str:
+    """CTEs that solve the 4 x 4 normal equations of every series by elimination and back substitution."""
+    k = len(_TERMS)
+    steps = [f"{name}0 AS (SELECT series_id, count(*) AS n_fit, "
+             + ", ".join(f"sum({a} * {c}) AS a{i}{j}" for i, a in enumerate(_TERMS) for j, c in enumerate([*_TERMS, "d"])) + f" FROM {source} GROUP BY 1)"]
+    for p in range(k - 1):
+        cells = [f"a{i}{j} - a{i}{p} / a{p}{p} * a{p}{j} AS a{i}{j}" if i > p else f"a{i}{j}" for i in range(k) for j in range(k + 1)]
+        steps.append(f"{name}{p + 1} AS (SELECT series_id, n_fit, {', '.join(cells)} FROM {name}{p})")
+    source = f"{name}{k - 1}"
+    for i in reversed(range(k)):
+        known = "".join(f" - a{i}{j} * b_{_TERMS[j]}" for j in range(i + 1, k))
+        steps.append(f"{name}b{i} AS (SELECT *, (a{i}{k}{known}) / a{i}{i} AS b_{_TERMS[i]} FROM {source})")
+        source = f"{name}b{i}"
+    return ", ".join(steps) + f", {name} AS (SELECT series_id, n_fit, {', '.join(f'b_{t}' for t in _TERMS)} FROM {source})"
+
+
+_AR_TERMS = f"""{b.HOURLY}, terms AS (SELECT series_id, ts, y, 1.0 AS one, CASE WHEN ts < TIMESTAMP '{b.TEST_START}' THEN 'train' ELSE 'test' END AS split,
+    lag(y, 24) OVER w AS base, y - lag(y, 24) OVER w AS d, lag(y, 1) OVER w - lag(y, 25) OVER w AS d1, lag(y, 24) OVER w - lag(y, 48) OVER w AS d2,
+    lag(y, 25) OVER w - lag(y, 49) OVER w AS d3 FROM hourly WINDOW w AS (PARTITION BY series_id ORDER BY ts))"""
+
+
+def _ar_sql(window: int) -> str:
+    used = f"""used AS (SELECT * FROM terms JOIN (SELECT series_id, max(ts) AS z FROM terms WHERE split = 'train' GROUP BY 1) USING (series_id)
+        WHERE split = 'train' AND d3 IS NOT NULL AND ts > z - INTERVAL {window} HOUR)"""
+    return f"{_AR_TERMS}, {used}, {_solve_sql('used', 'fit')}"
+
+
 QUERIES: dict[str, tuple[b.Query, str | None]] = {
     "fe1_calendar_features": (calendar_features, f"SELECT event_id, ts, {b.CALENDAR_SQL} FROM events"),
     "fe2_cyclical_encodings": (
@@ -375,8 +405,15 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     "fc3_boosted_direct": (boosted_direct, None),
     "fc4_feature_importances": (feature_importances, None),
     "fc5_random_search": (random_search, None),
-    "fc6_seasonal_ar_fit": (seasonal_ar_fit, None),
-    "fc6_seasonal_ar_forecast": (seasonal_ar, None),
+    "fc6_seasonal_ar_fit": (
+        seasonal_ar_fit,
+        f"WITH {_ar_sql(336)} SELECT series_id, n_fit, {', '.join(b.r(f'b_{t}', 4) for t in _TERMS)} FROM fit",
+    ),
+    "fc6_seasonal_ar_forecast": (
+        seasonal_ar,
+        f"""WITH {_ar_sql(2160)} SELECT series_id, 'seasonal_ar' AS model, 'h=1' AS horizon, ts, {b.r('y_true', 4, 'y')},
+        {b.r('y_pred', 4, 'base + b_one + b_d1 * d1 + b_d2 * d2 + b_d3 * d3')} FROM terms JOIN fit USING (series_id) WHERE split = 'test'""",
+    ),
     "snk5_reload_model": (reload_model, None),
     "fc7_forecast_at": (
         forecast_at,
