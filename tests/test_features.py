@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wattgrid.functions.holidays import easter_sunday
+from wattgrid.functions.holidays import with_easter
 from wattgrid.operators import features as ft
 
 # Published means of the calendar features over the training rows.
@@ -48,7 +48,7 @@ def test_holidays(spark, day, flag):
 
 def test_easter(spark):
     years = {1997: (3, 30), 2000: (4, 23), 2008: (3, 23), 2011: (4, 24), 2024: (3, 31), 2038: (4, 25)}
-    df = spark.createDataFrame([(y,) for y in years], "y int").withColumn("e", easter_sunday(F.col("y")))
+    df = with_easter(spark.createDataFrame([(y,) for y in years], "y int"), "y", "e")
     for r in df.collect():
         assert (r["e"].month, r["e"].day) == years[r["y"]]
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from wattgrid.functions.holidays import flag_dates, holiday_flag
+from wattgrid.functions.holidays import flag_dates, flag_french_holidays
 from wattgrid.functions.timeaxis import HOUR, as_keys, lit_ts, plus_seconds, quoted
 from wattgrid.plans.buckets import attach, over_neighbours
 
@@ -74,7 +74,7 @@ def add_holiday_flag(df: DataFrame, ts: str = "ts", calendar: DataFrame | None =
     """French public holidays by rule, or the dates of a ``calendar(date)`` table."""
     if calendar is not None:
         return flag_dates(df, calendar, ts)
-    return df.withColumn("is_holiday", holiday_flag(ts))
+    return flag_french_holidays(df, ts)
 
 
 def _lags(over: str, lags: Sequence[int], target: str) -> list[str]:
@@ -172,16 +172,25 @@ def build_features(
     calendar: DataFrame | None = None,
     rows: int | None = None,
 ) -> DataFrame:
-    """All feature families; lags and rolling windows share one shuffle and one sort."""
-    with_history = over_neighbours(
-        df,
-        lambda d, over: rolling_columns(d.selectExpr("*", *_lags(over, lags, target)), over, windows, target),
-        keys=keys, ts=ts, step=step, before=max([*lags, *windows]), rows=rows,
+    """All feature families; lags and rolling windows share one shuffle and one sort.
+
+    The date columns are computed between two window steps. That keeps the generated code of each
+    step small enough to be compiled, and the columns out of the shuffle.
+    """
+
+    def build(d: DataFrame, over: str) -> DataFrame:
+        lagged = add_cyclical_encodings(add_calendar_features(d.selectExpr("*", *_lags(over, lags, target)), ts), ts)
+        flagged = lagged if calendar is not None else add_holiday_flag(lagged, ts)
+        return rolling_columns(flagged, over, windows, target)
+
+    made = over_neighbours(
+        df, build, keys=keys, ts=ts, step=step, before=max([*lags, *windows]), rows=rows
     )
-    history = [c for c in with_history.columns if c not in df.columns]
-    dated = add_cyclical_encodings(add_calendar_features(with_history, ts), ts)
-    before_history = [c for c in dated.columns if c not in history]
-    return add_holiday_flag(dated.select(*before_history, *history), ts, calendar)
+    if calendar is not None:
+        made = add_holiday_flag(made, ts, calendar)
+    history = history_columns(made)
+    first = [c for c in made.columns if c not in history and c != "is_holiday"]
+    return made.select(*first, *history, "is_holiday")
 
 
 def chronological_split(df: DataFrame, test_start: str = TEST_START, ts: str = "ts") -> DataFrame:

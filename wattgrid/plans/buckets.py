@@ -25,8 +25,9 @@ SALTS = 16
 
 
 def shuffle_width(spark: SparkSession) -> int:
-    """Number of shuffle partitions of the session."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Number of shuffle partitions the session starts with (before adaptive coalescing)."""
+    wide = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(wide or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def bucket_rows(reach: int, rows: int | None = None) -> int:
