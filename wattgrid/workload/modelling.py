@@ -246,12 +246,12 @@ def cv_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds = validation.cv_naive(_daily_lags(spark, sf_dir), [1, 7, 28], step=DAY)
-    return b.rounded(mt.cv_summary(folds).select("series_id", "model", "n_folds", "cv_mae_mean", "cv_mae_std"), 4)
+    return b.rounded(mt.cv_summary(folds).select("series_id", "model", "n_folds", "cv_mae_mean", "cv_mae_std"))
 
 
 def cv_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     folds = validation.cv_naive(_daily_lags(spark, sf_dir), [1, 7, 28], step=DAY)
-    return b.rounded(mt.cv_winner(mt.cv_summary(folds)), 4)
+    return b.rounded(mt.cv_winner(mt.cv_summary(folds)))
 
 
 def cv_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,8 +463,8 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"""WITH {b.SALES}, e AS (SELECT series_id, model, y_true - y_pred AS e FROM sales)
         SELECT series_id, model, count(e) AS n, {b.r('mean', 4, 'avg(e)')}, {b.r('low', 4, 'min(e)')}, {b.r('high', 4, 'max(e)')} FROM e GROUP BY 1, 2""",
     ),
-    "mt12_cv_summary": (cv_summary, f"WITH {_SUMMARY} SELECT series_id, model, n_folds, {b.r('cv_mae_mean', 4)}, {b.r('cv_mae_std', 4)} FROM summary"),
-    "mt13_cv_winner": (cv_winner, f"WITH {_SUMMARY} SELECT series_id, arg_min(model, cv_mae_mean) AS winner, {b.r('cv_mae', 4, 'min(cv_mae_mean)')} FROM summary GROUP BY 1"),
+    "mt12_cv_summary": (cv_summary, f"WITH {_SUMMARY} SELECT series_id, model, n_folds, {b.r('cv_mae_mean')}, {b.r('cv_mae_std')} FROM summary"),
+    "mt13_cv_winner": (cv_winner, f"WITH {_SUMMARY} SELECT series_id, arg_min(model, cv_mae_mean) AS winner, {b.r('cv_mae', 6, 'min(cv_mae_mean)')} FROM summary GROUP BY 1"),
     "cv1_expanding_folds": (
         expanding_folds,
         f"""WITH {_DLAGS} SELECT series_id, CAST(fold AS INTEGER) AS fold, CASE WHEN pos >= lo THEN 'val' ELSE 'train' END AS role,
