@@ -81,7 +81,7 @@ def fill_sql(source: str, name: str, columns: list[str], limit: int) -> str:
         filled.append(
             f"CASE WHEN {c} IS NOT NULL THEN {c} WHEN {c}_pv IS NULL THEN {c}_nv "
             f"WHEN {c}_nv IS NULL OR {c}_nr - {c}_pr - 1 <= {limit} THEN {c}_pv "
-            f"ELSE {c}_pv + ({c}_nv - {c}_pv) * (rn - {c}_pr) / ({c}_nr - {c}_pr) END AS {c}"
+            f"ELSE {c}_pv + (CAST({c}_nv AS DOUBLE) - {c}_pv) * ((rn - {c}_pr) / ({c}_nr - {c}_pr)) END AS {c}"
         )
     return f"""{name}_n AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS rn FROM {source}),
 {name}_s AS (SELECT *, {", ".join(found)} FROM {name}_n),
