@@ -3,7 +3,7 @@ import pytest
 import __spark_entry__ as entry
 from check_queries import connect, difference
 
-SMALL = "/root/testdata/sf0.001"
+DATA = "/root/testdata/sf0.01"
 CHECKED = [
     "src2_compose_timestamp", "dq5_audit", "cl6_clean_and_resample", "fe9_model_matrix", "mt8_leaderboard",
     "cv1_expanding_folds", "st1_kruskal_month", "ex3_box_statistics", "ex5_histogram",
@@ -21,5 +21,5 @@ def test_flagship(spark):
 
 @pytest.mark.parametrize("name", CHECKED)
 def test_query_equals_sql(spark, name):
-    ours = entry.queries()[name](spark, SMALL).toPandas()
-    assert difference(ours, connect(SMALL).sql(entry.oracle_sql()[name]).df()) is None
+    ours = entry.queries()[name](spark, DATA).toPandas()
+    assert difference(ours, connect(DATA).sql(entry.oracle_sql()[name]).df()) is None
