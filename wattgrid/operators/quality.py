@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattgrid.functions.timeaxis import MINUTE, as_keys, naive, seconds_between, slot
-from wattgrid.plans.buckets import BUCKET, BUCKET_ROWS, attach
+from wattgrid.plans.buckets import BUCKET, BUCKET_ROWS
 
 VOLTAGE_MIN = 220.0
 VOLTAGE_MAX = 250.0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattgrid.functions.timeaxis import HOUR
-from wattgrid.operators import cleaning, features, quality
+from wattgrid.operators import cleaning, quality
 from wattgrid.session import scratch_path
 from wattgrid.sources import meter_text, tables
 from wattgrid.workload import base as b
