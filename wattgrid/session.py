@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +39,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where the setting is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of ``spark.checkpoint.dir``. Where the setting is unset, a folder inside the
+    warehouse, which driver and executors share as well."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        current = spark.sparkContext.getCheckpointDir()
-        folder = current or tempfile.mkdtemp(prefix="wattgrid-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
@@ -56,6 +56,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Store a stage reliably and cut its lineage, for results that are read several times."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Store a stage in the shared folder and cut its lineage, for results that are read several
+    times. Parquet, so that each reader takes only the columns it needs."""
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
