@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattgrid.llm import chat, decontaminate, language, line_dedup, packing, toxicity
+from wattgrid.llm import chat, decontaminate, fingerprint, language, line_dedup, packing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +120,10 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents, language.fit(documents))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
     "op4_toxicity": (op4_toxicity, None),
@@ -127,4 +131,5 @@ QUERIES = {
     "op7_packing": (op7_packing, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language": (op9_language, None),
+    "op10_fingerprints": (op10_fingerprints, None),
 }
