@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattgrid.llm import chat, decontaminate, fingerprint, language, line_dedup, packing, toxicity
+from wattgrid.llm import chat, decontaminate, fingerprint, language, line_dedup, packing, pii, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,14 @@ FROM judged GROUP BY doc_id
 """
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind_no"] <= len(pii.KINDS))
+    number = lambda k: F.size(F.filter("spans", lambda s: s["kind_no"] == k)).cast("bigint")
+    counts = [number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS, 1)]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text(base), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -128,6 +136,7 @@ QUERIES = {
     "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_line_dedup": (op5_line_dedup, OP5_SQL),
+    "op6_pii": (op6_pii, None),
     "op7_packing": (op7_packing, None),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language": (op9_language, None),
