@@ -34,6 +34,12 @@ CACHED_WORDS = 300_000
 _EDGES = "".join(c for c in string.punctuation if c not in "'<|>")
 
 
+# The printable stand-ins of bytes in byte-level vocabularies: printable Latin-1 characters stand for
+# themselves, the others for the characters from 256 on, in order.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _OWN)}
+
+
 class WordIds(dict):
     """Ids of words between ASCII white space, as packed unsigned 32-bit numbers; filled on demand.
 
@@ -51,8 +57,14 @@ class WordIds(dict):
         if found is None:
             if len(self.parts) >= self.limit:
                 self.parts.clear()
-            found = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-            self.parts[part] = found
+            plain = part if part.isascii() else self.tokenizer.normalizer.normalize_str(part)
+            if plain.isalpha() and (plain.islower() or not part.isascii()):
+                # One unit of letters: the merges alone decide, over the byte alphabet of the vocabulary.
+                spelt = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                ids = [t.id for t in self.tokenizer.model.tokenize(spelt)]
+            else:
+                ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+            found = self.parts[part] = np.array(ids, "<u4").tobytes()
         return found
 
     def __missing__(self, word: bytes) -> bytes:
