@@ -50,17 +50,16 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer, self.limit, self.parts = tokenizer, limit, {}
 
-    def _ids(self, part: str) -> bytes:
+    def _part(self, part: str, letters: bool) -> bytes:
         if not part:
             return b""
         found = self.parts.get(part)
         if found is None:
             if len(self.parts) >= self.limit:
                 self.parts.clear()
-            plain = part if part.isascii() else self.tokenizer.normalizer.normalize_str(part)
-            if plain.isalpha() and (plain.islower() or not part.isascii()):
+            if letters:
                 # One unit of letters: the merges alone decide, over the byte alphabet of the vocabulary.
-                spelt = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                spelt = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LETTERS)
                 ids = [t.id for t in self.tokenizer.model.tokenize(spelt)]
             else:
                 ids = self.tokenizer.encode(part, add_special_tokens=False).ids
@@ -71,11 +70,12 @@ class WordIds(dict):
         text = word.decode("utf-8", "surrogatepass")
         tail = text.lstrip(_EDGES)
         core = tail.rstrip(_EDGES)
-        if not core or core.isalpha():
-            low = core.lower() if core.isascii() else core
-            ids = self._ids(text[: len(text) - len(tail)]) + self._ids(low) + self._ids(tail[len(core):])
+        plain = core.lower() if core.isascii() else self.tokenizer.normalizer.normalize_str(core)
+        if not core or plain.isalpha():
+            before, after = text[: len(text) - len(tail)], tail[len(core):]
+            ids = self._part(before, False) + self._part(plain, True) + self._part(after, False)
         else:
-            ids = self._ids(text)
+            ids = self._part(text, False)
         if len(self) >= self.limit:
             self.clear()
         self[word] = ids
