@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattgrid.llm import chat, decontaminate, fingerprint, language, line_dedup, packing, pii, toxicity
+from wattgrid.llm import chat, decontaminate, fingerprint, jaccard, language, line_dedup, packing, pii, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,28 @@ FROM j GROUP BY conv_id
 """
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(_table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+linked AS (
+  SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * c >= 75 * (p.n + q.n - c)),
+arcs AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, b.y FROM reach r JOIN arcs b ON r.other = b.x)
+SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.other) AS component_id
+FROM d LEFT JOIN sizes s ON d.doc_id = s.doc_id JOIN reach r ON d.doc_id = r.doc_id GROUP BY d.doc_id
+"""
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
@@ -134,6 +156,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
+    "op3_jaccard_join": (op3_jaccard_join, OP3_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_line_dedup": (op5_line_dedup, OP5_SQL),
     "op6_pii": (op6_pii, None),
