@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattgrid.llm import chat, decontaminate, fingerprint, jaccard, language, line_dedup, packing, pii, toxicity
+from wattgrid.llm import chat, decontaminate, fingerprint, jaccard, language, line_dedup, packing, pii, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ FROM j GROUP BY conv_id
 """
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.summary(_table(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(_table(spark, sf_dir, "documents"))
 
@@ -156,6 +160,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
+    "op2_suffix_array_dedup": (op2_suffix_array_dedup, None),
     "op3_jaccard_join": (op3_jaccard_join, OP3_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_line_dedup": (op5_line_dedup, OP5_SQL),
