@@ -6,11 +6,12 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import wattgrid
-from wattgrid.llm import decontaminate, line_dedup, toxicity
+from wattgrid.llm import decontaminate, jaccard, line_dedup, packing, toxicity
 from wattgrid.session import staged
 
 cloudpickle.register_pickle_by_value(wattgrid)
@@ -26,15 +27,27 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return line_dedup.remove(docs)
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    return jaccard.keep_one(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not consist of benchmark passages to five percent or more."""
     return decontaminate.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents in sequences of 2048."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", drop_repeated_lines),
+    ("jaccard_join", keep_one_of_each_group),
     ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
 
 # The classifier is trained, and packing counts tokens: neither can be stated in SQL.

@@ -332,7 +332,7 @@ def groups(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The document with the smallest ``doc_id`` of each group, with all its columns; documents without
-    words stay. Of rows that repeat the kept id, the first by text stays once."""
+    words stay. Rows that share the kept id are one document and stay together."""
     found = groups(documents).where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("gone_id")).distinct()
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
