@@ -100,7 +100,7 @@ def brute_adf(y):
 
 
 def test_adf(series):
-    got = {r["series_id"]: r for r in hy.adf(series, reach=40, rows=128).collect()}
+    got = {r["series_id"]: r for r in hy.adf(series, rows=128).collect()}
     for name, v in (("noise", NOISE), ("walk", WALK), ("daily", DAILY)):
         statistic, order = brute_adf(v)
         assert got[name]["adf_lags"] == order
@@ -108,11 +108,6 @@ def test_adf(series):
     assert got["noise"]["adf_pvalue"] < 1e-6 and got["walk"]["adf_pvalue"] > 0.05
 
 
-def test_adf_needs_enough_reach(series):
-    with pytest.raises(Exception, match="raise reach"):
-        hy.adf(series, reach=10).collect()
-
-
 def brute_kpss(v):
     n, e = len(v), v - v.mean()
     pilot = int(n ** (2 / 9))
@@ -126,14 +121,12 @@ def brute_kpss(v):
 
 
 def test_kpss(series):
-    got = {r["series_id"]: r for r in hy.kpss(series, reach=200, rows=256).collect()}
+    got = {r["series_id"]: r for r in hy.kpss(series, rows=256).collect()}
     for name, v in (("noise", NOISE), ("walk", WALK), ("daily", DAILY)):
         statistic, lags = brute_kpss(v)
         assert got[name]["kpss_lags"] == lags
         assert got[name]["kpss_stat"] == pytest.approx(statistic, rel=1e-8)
     assert got["noise"]["kpss_pvalue"] == 0.1 and got["walk"]["kpss_pvalue"] < 0.05
-    with pytest.raises(Exception, match="raise reach"):
-        hy.kpss(series, reach=5, rows=64).collect()
 
 
 def test_verdicts(spark, series):
@@ -171,3 +164,27 @@ def test_cross_sums_both_ways():
     direct = [sum(own * extended[300 - k : 500 - k]) for k in range(301)]
     np.testing.assert_allclose(cross_sums(own, extended, 300), direct, atol=1e-10)
     np.testing.assert_allclose(cross_sums(own, NOISE[290:500], 10), direct[:11], atol=1e-12)
+
+
+@pytest.fixture(scope="module")
+def odd(make):
+    """A good series beside a constant, a one-row, a short and an all-NULL one."""
+    return make({"good": list(NOISE[:400]), "dead": [5.0] * 400, "one": [1.0], "short": [1.0, 2.0, 4.0], "void": [None] * 50})
+
+
+def test_odd_series_keep_their_rows(odd):
+    def by_series(df):
+        return {r["series_id"]: r for r in df.collect()}
+
+    kruskal = by_series(hy.kruskal_by(odd, "hour"))
+    assert kruskal["dead"]["statistic"] is None and kruskal["one"]["statistic"] is None and kruskal["good"]["pvalue"] is not None
+    alone = by_series(hy.kruskal_by(odd.where("series_id = 'good'"), "hour"))
+    assert kruskal["good"]["statistic"] == pytest.approx(alone["good"]["statistic"])
+    assert {r["acf"] for r in hy.acf(odd, 24).where("series_id = 'dead'").collect()} == {None}
+    assert {r["pacf"] for r in hy.pacf(odd, 24).where("series_id = 'dead'").collect()} == {None}
+    assert {r["pvalue"] for r in hy.ljung_box(odd, [24]).where("series_id = 'dead'").collect()} == {None}
+    tests = by_series(hy.stationarity(odd))
+    assert set(tests) == {"good", "dead", "one", "short", "void"}
+    assert tests["good"]["verdict"] == "stationary" and tests["dead"]["verdict"] is None and tests["void"]["kpss_stat"] is None
+    assert tests["short"]["adf_stat"] is None and tests["short"]["kpss_stat"] is not None
+    assert set(by_series(hy.summarize(odd, ljung_lags=[24]))) == set(tests)

@@ -100,3 +100,31 @@ def test_streamed_rollup_equals_batch(spark, make, tmp_path):
     streamed = {(r["series_id"], r["ts"]): r["y"] for r in spark.table("rolled").collect()}
     batch = {(r["series_id"], r["ts"]): r["y"] for r in cleaning.resample(df, {"y": ("sum", 1.0)}, dtype="double").collect()}
     assert streamed == batch
+
+
+def test_first_record_does_not_depend_on_how_files_share_tasks(spark, tmp_path):
+    head = "Date;Time;" + ";".join(meter_text.METER_COLUMNS)
+    for name, value in (("a.txt", 111.0), ("b.txt", 222.0), ("c.txt", 333.0)):
+        lines = [f"1/1/2007;0:0{m}:00;{value};1;1;1;1;1;1" for m in range(3)]
+        (tmp_path / name).write_text("\n".join([head, *lines, f"1/1/2007;0:00:00;{value + 1};1;1;1;1;1;1"]) + "\n")
+    cost = "spark.sql.files.openCostInBytes"
+    before, seen = spark.conf.get(cost), []
+    try:
+        for size in ("0", "1g"):
+            spark.conf.set(cost, size)
+            df = meter_text.read_meter_text(spark, str(tmp_path / "*.txt"))
+            seen.append({(r["ts"], r["Global_active_power"]) for r in cleaning.deduplicate(df, "ingest_ord").collect()})
+    finally:
+        spark.conf.set(cost, before)
+    assert seen[0] == seen[1] and len({v for _, v in seen[0]}) == 1
+
+
+def test_horizons_of_a_model_are_stored_side_by_side(spark, tmp_path):
+    path = str(tmp_path / "predictions")
+    truth = spark.sql("SELECT 'a' AS series_id, timestamp_ntz'2024-01-01 00:00:00' AS ts, 1.0D AS y_true")
+    for model, horizon, value in (("01", "h=1", 1.0), ("01", "h=24", 2.0), ("1", "h=1", 3.0)):
+        tables.save_predictions(truth, truth.withColumn("y_pred", F.lit(value)), path, model, horizon)
+    tables.save_predictions(truth, truth.withColumn("y_pred", F.lit(9.0)), path, "01", "h=24", if_exists="reuse")
+    tables.save_predictions(truth, truth.withColumn("y_pred", F.lit(7.0)), path, "1", "h=24", if_exists="reuse")
+    stored = {(r["model"], r["horizon"]): r["y_pred"] for r in tables.read_predictions(spark, path).collect()}
+    assert stored == {("01", "h=1"): 1.0, ("01", "h=24"): 2.0, ("1", "h=1"): 3.0, ("1", "h=24"): 7.0}

@@ -22,7 +22,6 @@ from wattgrid.plans.ranks import cumulative
 ALPHA = 0.05
 SEASONAL_PERIOD = 24
 LJUNG_BOX_LAGS = [24, 168, 720]
-REACH = 1024
 # Fixed value: 97.5 % point of the standard normal distribution.
 Z975 = 1.959963984540054
 
@@ -51,14 +50,16 @@ def kruskal_by(
     groups = ranked.groupBy(*names, "__level").agg(
         F.sum(n * rank).alias("__r"), F.sum(n).alias("__n"), F.sum(n * (ties * ties - 1)).alias("__t")
     )
-    totals = groups.groupBy(*names).agg(
-        F.sum("__n").alias("N"),
-        F.sum(F.col("__r") * F.col("__r") / F.col("__n")).alias("S"),
-        F.sum("__t").alias("T"),
-        F.count(F.lit(1)).alias("k"),
+    # One row per level: squares of distances from the middle rank lose no digits of a small statistic.
+    sized = groups.withColumn("N", F.sum("__n").over(Window.partitionBy(*names)))
+    apart = F.col("__r") / F.col("__n") - (F.col("N") + 1) / 2
+    totals = sized.groupBy(*names, "N").agg(
+        F.sum(F.col("__n") * apart * apart).alias("S"), F.sum("__t").alias("T"), F.count(F.lit(1)).alias("k")
     )
     N = F.col("N")
-    h = (F.lit(12.0) / (N * (N + 1)) * F.col("S") - (N + 1) * 3) / (F.lit(1.0) - F.col("T") / (N * N * N - N))
+    # NULL without a spread of ranks: one value, or all values equal.
+    tied = F.lit(1.0) - F.col("T") / F.nullif(N * N * N - N, F.lit(0.0))
+    h = F.lit(12.0) / (N * (N + 1)) * F.col("S") / F.nullif(tied, F.lit(0.0))
     tested = totals.select(*names, F.lit(factor).alias("factor"), h.alias("statistic"), (F.col("k") - 1).alias("__df"))
     with_p = tested.withColumn("pvalue", chi2_tail("statistic", "__df")).drop("__df")
     return with_p.withColumn("significant", F.col("pvalue") < ALPHA)
@@ -145,7 +146,8 @@ def acf(
     names = as_keys(keys)
     sums = autocovariance_sums(bucket_products(df, lags, target, names, ts, step, rows), names)
     series = Window.partitionBy(*names)
-    r = F.col("c") / F.max(F.when(F.col("lag") == 0, F.col("c"))).over(series)
+    # NULL for a constant series, which has no variance.
+    r = F.col("c") / F.nullif(F.max(F.when(F.col("lag") == 0, F.col("c"))).over(series), F.lit(0.0))
     earlier = series.orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
     inner = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(earlier), F.lit(0.0))
     band = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(F.sqrt((inner * 2 + 1) / F.col("n")) * Z975)
@@ -178,7 +180,8 @@ def pacf(
 
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values("lag")
-        ordered["pacf"] = _durbin_levinson(ordered["acf"].to_numpy())
+        known = ordered["acf"].notna().all()
+        ordered["pacf"] = _durbin_levinson(ordered["acf"].to_numpy()) if known else np.nan
         return ordered[[*names, "lag", "pacf"]]
 
     schema = f"{_fields(found, names)}, lag int, pacf double"
@@ -229,8 +232,6 @@ def _gram_kernel(names: list[str], width: int, reach: int) -> Callable[[pd.DataF
         order = adf_max_lag(n)
         if order < 0:
             return pd.DataFrame()
-        if order + 2 > reach:
-            raise ValueError(f"a series of {n} values needs lag order {order}; raise reach above {order + 2}")
         values, first = _dense(pdf, width, reach, "z")
         origin = first - reach
         low, high = max(first, order + 1), min(first + width, n) - 1
@@ -277,16 +278,16 @@ def adf(
     keys: str | Sequence[str] = "series_id",
     ts: str = "ts",
     step: int = HOUR,
-    reach: int = REACH,
     rows: int | None = None,
 ) -> DataFrame:
     """Augmented Dickey-Fuller test with constant, lag order by AIC.
 
     One pass builds the cross-product matrix of all candidate regressors; every lag order is a
-    leading block of it. ``reach`` bounds the lag order of the longest series (the query fails,
-    naming the needed reach, when a series is longer than that allows).
+    leading block of it. The longest series, counted first, decides how many lags the pass carries.
+    Series too short for any order, and constant ones, have NULL results.
     """
     names = as_keys(keys)
+    reach = max(adf_max_lag(_longest(df, target, names)), 0) + 2
     width = bucket_rows(reach, rows)
     z = F.when(F.col("__s") > 0, F.col("e") / F.col("__s")).otherwise(F.lit(0.0))
     standing = _standing(df, target, names, ts, step).withColumn("z", z).select(*names, "pos", "n", "z")
@@ -315,7 +316,45 @@ def adf(
             found = pd.DataFrame(out, columns=["adf_stat", "adf_pvalue", "adf_lags"])
             yield pd.concat([batch[names].reset_index(drop=True), found.astype({"adf_lags": "Int64"})], axis=1)
 
-    return ready.mapInPandas(solve, f"{_fields(ready, names)}, adf_stat double, adf_pvalue double, adf_lags bigint")
+    tested = ready.mapInPandas(solve, f"{_fields(ready, names)}, adf_stat double, adf_pvalue double, adf_lags bigint")
+    return _every_series(df, tested, names)
+
+
+def _every_series(df: DataFrame, tested: DataFrame, names: list[str]) -> DataFrame:
+    """Series that are too short for a test keep a row with NULLs."""
+    return df.select(*names).distinct().join(tested, names, "left")
+
+
+def _longest(df: DataFrame, target: str, names: list[str]) -> int:
+    """Number of values of the longest series."""
+    return df.groupBy(*names).agg(F.count(target).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def _weighted(upto: Column, term: Callable[[Column, Column], Column]) -> Column:
+    """Sum of ``term(lag, autocovariance sum)`` over lags 1..``upto``."""
+    indices = F.when(upto >= 1, F.sequence(F.lit(1), upto)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(indices, F.lit(0.0), lambda acc, i: acc + term(i, F.element_at("__g", i + 1)))
+
+
+def _kpss_sized(products: DataFrame, names: list[str]) -> DataFrame:
+    """``(keys, n, __sq, __g, kpss_lags)``: squared running sums, autocovariance sums and bandwidth."""
+    carry = running_before("total", names)
+    squares = products.select(
+        *names, "n",
+        (F.col("size") * carry * carry + carry * 2 * F.col("s1") + F.col("s2")).alias("__sq"),
+    ).groupBy(*names, "n").agg(F.sum("__sq").alias("__sq"))
+    by_lag = autocovariance_sums(products, names).groupBy(*names, "n").agg(
+        F.sort_array(F.collect_list(F.struct("lag", "c"))).alias("__c")
+    )
+    n = F.col("n").cast("double")
+    pilot = F.least(F.floor(F.pow(n, F.lit(2 / 9)) + 1e-12), n - 1).cast("int")
+    joined = squares.join(by_lag, [*names, "n"]).withColumn("__g", F.col("__c.c"))
+    s0 = F.element_at("__g", 1) / n + _weighted(pilot, lambda i, c: c * 2 / n)
+    s1 = _weighted(pilot, lambda i, c: i * c * 2 / n)
+    ratio = s1 / F.nullif(s0, F.lit(0.0))
+    gamma = F.pow(ratio * ratio, F.lit(1 / 3)) * 1.1447
+    bandwidth = F.least(F.floor(gamma * F.pow(n, F.lit(1 / 3))), n - 1).cast("int")
+    return joined.select(*names, "n", "__sq", "__g", bandwidth.alias("kpss_lags"))
 
 
 def kpss(
@@ -324,56 +363,39 @@ def kpss(
     keys: str | Sequence[str] = "series_id",
     ts: str = "ts",
     step: int = HOUR,
-    reach: int = REACH,
     rows: int | None = None,
 ) -> DataFrame:
     """KPSS level-stationarity test with the automatic bandwidth of Hobijn et al. (1998).
 
     The squared running sums of a bucket follow from three numbers of the bucket and the total of
-    the earlier ones, so running sums never leave their bucket. The query fails, naming the needed
-    reach, when the bandwidth of a series exceeds ``reach``.
+    the earlier ones, so running sums never leave their bucket. A first pass over the few lags of the
+    pilot estimate finds the bandwidths, and the second carries as many lags as the largest of them.
+    Constant series have NULL results.
     """
     names = as_keys(keys)
+    pilot_reach = int(max(_longest(df, target, names), 1) ** (2 / 9) + 1e-12) + 1
+    first = _kpss_sized(bucket_products(df, pilot_reach, target, names, ts, step, rows), names)
+    reach = max(first.agg(F.max("kpss_lags")).first()[0] or 0, pilot_reach)
     products = bucket_products(df, reach, target, names, ts, step, rows)
-    carry = running_before("total", names)
-    squares = products.select(
-        *names, "n",
-        (F.col("size") * carry * carry + carry * 2 * F.col("s1") + F.col("s2")).alias("__sq"),
-    ).groupBy(*names, "n").agg(F.sum("__sq").alias("__sq"))
-    by_lag = autocovariance_sums(products, names).groupBy(*names, "n").agg(
-        F.sort_array(F.collect_list(F.struct("lag", "c"))).alias("__c")
-    )
+    sized = _kpss_sized(products, names)
     n = F.col("n").cast("double")
-    pilot = F.floor(F.pow(n, F.lit(2 / 9)) + 1e-12).cast("int")
-    joined = squares.join(by_lag, [*names, "n"]).withColumn("__g", F.col("__c.c"))
     zero = F.element_at("__g", 1)
-
-    def weighted(upto: Column, term: Callable[[Column, Column], Column]) -> Column:
-        indices = F.when(upto >= 1, F.sequence(F.lit(1), upto)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(indices, F.lit(0.0), lambda acc, i: acc + term(i, F.element_at("__g", i + 1)))
-
-    def reachable(lag: Column) -> Column:
-        message = F.format_string("bandwidth %d exceeds reach; raise reach", lag)
-        return F.when(lag > reach, F.raise_error(message).cast("int")).otherwise(lag)
-
-    s0 = zero / n + weighted(reachable(pilot), lambda i, c: c * 2 / n)
-    s1 = weighted(reachable(pilot), lambda i, c: i * c * 2 / n)
-    ratio = F.col("__s1") / F.col("__s0")
-    gamma = F.pow(ratio * ratio, F.lit(1 / 3)) * 1.1447
-    bandwidth = F.least(F.floor(gamma * F.pow(n, F.lit(1 / 3))), n - 1).cast("int")
-    sized = joined.withColumn("__s0", s0).withColumn("__s1", s1).withColumn("kpss_lags", reachable(bandwidth))
-    longrun = (zero + weighted(F.col("kpss_lags"), lambda i, c: c * 2 * (F.lit(1.0) - i / (F.col("kpss_lags") + 1.0)))) / n
+    longrun = (zero + _weighted(F.col("kpss_lags"), lambda i, c: c * 2 * (F.lit(1.0) - i / (F.col("kpss_lags") + 1.0)))) / n
     statistic = F.col("__sq") / (n * n) / F.nullif(longrun, F.lit(0.0))
     tested = sized.withColumn("kpss_stat", statistic)
-    return tested.select(
+    found = tested.select(
         *names, "kpss_stat", kpss_pvalue(F.col("kpss_stat")).alias("kpss_pvalue"), F.col("kpss_lags").cast("bigint").alias("kpss_lags")
     )
+    return _every_series(df, found, names)
 
 
 def verdict(tests: DataFrame) -> DataFrame:
     """Joint reading of both tests; they have opposite null hypotheses."""
     a, k = F.col("adf_pvalue") < ALPHA, F.col("kpss_pvalue") >= ALPHA
-    joint = F.when(a & k, "stationary").when(~a & ~k, "non-stationary").otherwise("inconclusive")
+    joint = (
+        F.when(a.isNull() | k.isNull(), F.lit(None).cast("string"))  # too short or constant: not tested
+        .when(a & k, "stationary").when(~a & ~k, "non-stationary").otherwise("inconclusive")
+    )
     return tests.withColumn("adf_stationary", a).withColumn("kpss_stationary", k).withColumn("verdict", joint)
 
 
@@ -384,11 +406,10 @@ def stationarity(
     keys: str | Sequence[str] = "series_id",
     ts: str = "ts",
     step: int = HOUR,
-    reach: int = REACH,
 ) -> DataFrame:
     """Paired ADF and KPSS tests with their verdict, one row per series."""
     names = as_keys(keys)
-    both = adf(df, target, names, ts, step, reach).join(kpss(df, target, names, ts, step, reach), names)
+    both = adf(df, target, names, ts, step).join(kpss(df, target, names, ts, step), names)
     columns = ["adf_stat", "adf_pvalue", "kpss_stat", "kpss_pvalue", "adf_stationary", "kpss_stationary", "verdict"]
     return verdict(both).select(*names, F.lit(label).alias("label"), *columns)
 
@@ -416,7 +437,6 @@ def stationarity_raw_and_differenced(
     keys: str | Sequence[str] = "series_id",
     ts: str = "ts",
     step: int = HOUR,
-    reach: int = REACH,
 ) -> DataFrame:
     """Both tests on the raw series and its seasonal difference, two rows per series.
 
@@ -424,7 +444,7 @@ def stationarity_raw_and_differenced(
     """
     names = [*as_keys(keys), "label"]
     both = labelled_pair(df, period, target, keys, ts, step)
-    tested = adf(both, "y", names, ts, step, reach).join(kpss(both, "y", names, ts, step, reach), names)
+    tested = adf(both, "y", names, ts, step).join(kpss(both, "y", names, ts, step), names)
     columns = ["adf_stat", "adf_pvalue", "kpss_stat", "kpss_pvalue", "adf_stationary", "kpss_stationary", "verdict"]
     return verdict(tested).select(*names, *columns)
 
@@ -437,7 +457,6 @@ def summarize(
     keys: str | Sequence[str] = "series_id",
     ts: str = "ts",
     step: int = HOUR,
-    reach: int = REACH,
 ) -> DataFrame:
     """All tests of a series as one nested document."""
     names = as_keys(keys)
@@ -446,8 +465,8 @@ def summarize(
     for factor in ("hour", "day_of_week"):
         found = kruskal_by(df, factor, target, names, ts)
         packed = found.select(*names, F.struct("factor", "statistic", "pvalue", "significant").alias(f"__{factor}"))
-        kruskal = packed if kruskal is None else kruskal.join(packed, names)
-    tests = stationarity_raw_and_differenced(df, period, target, names, ts, step, reach)
+        kruskal = packed if kruskal is None else kruskal.join(packed, names, "full")
+    tests = stationarity_raw_and_differenced(df, period, target, names, ts, step)
     inner = F.struct(*[c for c in tests.columns if c not in names])
     pairs = tests.groupBy(*names).agg(
         F.first(F.when(F.col("label") == "raw", inner), ignorenulls=True).alias("__raw"),
@@ -456,7 +475,7 @@ def summarize(
     portmanteau = ljung_box(df, ljung_lags, target, names, ts, step).groupBy(*names).agg(
         F.sort_array(F.collect_list(F.struct("lag", "statistic", "pvalue"))).alias("__lb")
     )
-    joined = counted.join(kruskal, names).join(pairs, names, "left").join(portmanteau, names, "left")
+    joined = counted.join(kruskal, names, "left").join(pairs, names, "left").join(portmanteau, names, "left")
     return joined.select(
         *names,
         F.lit(target).alias("target"),

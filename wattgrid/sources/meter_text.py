@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -16,8 +17,6 @@ PATH_RANGE = 10**12
 # The file's own markers and formats.
 MISSING = "?"
 STAMP_FORMAT = "d/M/yyyy H:mm:ss"
-# Fixed value: digest of the canonical household file.
-HOUSEHOLD_SHA256 = "4259c9d7ece5dbee9ab8d53682baac68d791c864f0f64a52b4043cb3b90894b7"
 
 
 def meter_schema(measurements: Sequence[str] = METER_COLUMNS) -> StructType:
@@ -70,12 +69,15 @@ def read_meter_text(
         .csv(path)
     )
     series_id = F.lit(series) if isinstance(series, str) else series
-    # Block offset, then row inside the task: the file order. The path hash makes equal places of
-    # different files comparable. A plain number keeps the later pick a hash aggregate.
-    place = F.col("_metadata.file_block_start").cast("decimal(38,0)") * F.lit(ROW_RANGE).cast("decimal(20,0)")
-    row = F.monotonically_increasing_id() % ROW_RANGE
-    path_hash = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(PATH_RANGE))
-    order = ((place + row).cast("decimal(24,0)") * F.lit(PATH_RANGE).cast("decimal(13,0)") + path_hash).cast("decimal(38,0)")
+    # File (in the fixed order of a hash of its path), block offset, then row number. The row number
+    # runs on over whatever blocks share a task, so it may only decide inside one block. A plain number
+    # keeps the later pick a hash aggregate.
+    path_hash = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(PATH_RANGE)).cast("decimal(12,0)")
+    block = F.col("_metadata.file_block_start").cast("decimal(15,0)")
+    row = (F.monotonically_increasing_id() % ROW_RANGE).cast("decimal(10,0)")
+    place = (block * F.lit(Decimal(10**10)) + row).cast("decimal(25,0)")
+    order = (path_hash * F.lit(Decimal(10**25))).cast("decimal(38,0)") + place
+    order = order.cast("decimal(38,0)")
     ordered = lines.select(series_id.alias("series_id"), "*", order.alias("ingest_ord"))
 
     unreadable = F.col(EXTRA).isNotNull()
@@ -96,7 +98,8 @@ def read_meter_text(
 
 
 def file_digests(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """SHA-256 of every file: ``(path, length, digest)``. One file must fit one record (2 GB)."""
+    """SHA-256 of every file: ``(path, length, digest)``. Spark's file source hands a file over as one
+    record, so a file must be below 2 GB; larger ones fail with an error."""
     files = spark.read.format("binaryFile").load(path)
     return files.select("path", "length", F.sha2("content", 256).alias("digest"))
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wattgrid.functions.timeaxis import as_keys
 from wattgrid.operators.forecast import align_predictions
@@ -38,9 +40,13 @@ def read_prediction_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("*", stem.alias("model"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+def _stored(spark: SparkSession, path: str, model: str, horizon: str) -> bool:
+    """Whether the table holds rows of this model and horizon."""
+    try:
+        found = read_predictions(spark, path)
+    except AnalysisException:  # nothing stored yet
+        return False
+    return not found.where((F.col("model") == model) & (F.col("horizon") == horizon)).isEmpty()
 
 
 def save_predictions(
@@ -53,26 +59,29 @@ def save_predictions(
     ts: str = "ts",
     if_exists: str = "overwrite",
 ) -> str:
-    """Write one model's forecasts aligned to the truth's timestamps.
+    """Write one model's forecasts of one horizon aligned to the truth's timestamps.
 
-    Only that model's partition is replaced. ``if_exists='reuse'`` keeps a stored result and skips
-    the computation.
+    Only that model's and horizon's partition is replaced. ``if_exists='reuse'`` keeps a stored result
+    of the same model and horizon and skips the computation.
     """
     if if_exists not in ("overwrite", "reuse"):
         raise ValueError(f"if_exists must be 'overwrite' or 'reuse', not {if_exists!r}")
     spark = truth.sparkSession
-    if if_exists == "reuse" and _exists(spark, f"{path}/model={model}"):
+    if if_exists == "reuse" and _stored(spark, path, model, horizon):
         return path
     names = as_keys(keys)
     aligned = align_predictions(truth.select(*names, ts, "y_true"), forecast, names, ts)
-    rows = aligned.select(*names, F.lit(horizon).alias("horizon"), ts, "y_true", "y_pred", F.lit(model).alias("model"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model").parquet(path)
+    rows = aligned.select(*names, ts, "y_true", "y_pred", F.lit(model).alias("model"), F.lit(horizon).alias("horizon"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "horizon").parquet(path)
     return path
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """The long prediction table; a filter on ``model`` prunes partitions."""
-    return spark.read.parquet(path)
+    """The long prediction table; filters on ``model`` and ``horizon`` prune partitions. Both are text,
+    also where their values look like numbers."""
+    names = ("model", "horizon")
+    fields = [StructField(f.name, StringType() if f.name in names else f.dataType) for f in spark.read.parquet(path).schema]
+    return spark.read.schema(StructType(fields)).parquet(path)
 
 
 def save_summary(df: DataFrame, path: str) -> str:

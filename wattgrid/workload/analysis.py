@@ -111,8 +111,7 @@ def load_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = b.sales_predictions(spark, sf_dir).where(~((F.year("ts") == 1998) & (F.month("ts") == 6)))
-    return b.rounded(ex.monthly_profile(paid, "y_true"), 4)
+    return b.rounded(ex.monthly_profile(b.sales_predictions(spark, sf_dir), "y_true"), 4)
 
 
 def decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +131,7 @@ def qq_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def actual_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(ex.actual_vs_predicted(b.naive_predictions(spark, sf_dir), ["naive_lag24", "naive_lag1"], "2024-01-25", 3))
+    return b.rounded(ex.actual_vs_predicted(b.naive_predictions(spark, sf_dir), ["naive_lag24", "naive_lag1"], "2024-01-24"))
 
 
 def nearest_week(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +342,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     ),
     "ex7_monthly_profile": (
         monthly_profile,
-        f"""WITH {b.SALES}, m AS (SELECT series_id, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month_start, avg(y_true) AS mean FROM sales WHERE NOT (year(ts) = 1998 AND month(ts) = 6) GROUP BY 1, 2),
+        f"""WITH {b.SALES}, m AS (SELECT series_id, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month_start, avg(y_true) AS mean FROM sales GROUP BY 1, 2),
         g AS (SELECT series_id, unnest(generate_series(min(month_start), max(month_start), INTERVAL 1 MONTH)) AS month_start FROM m GROUP BY 1)
         SELECT series_id, month_start, {b.r('mean', 4)} FROM g LEFT JOIN m USING (series_id, month_start)""",
     ),
@@ -357,7 +356,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     "ex10_actual_vs_predicted": (
         actual_vs_predicted,
         f"""WITH {b.NAIVE} SELECT series_id, ts, {b.r('y_true', 6, "max(y_true) FILTER (WHERE model = 'naive_lag24')")}, {b.r('naive_lag24', 6, "max(y_pred) FILTER (WHERE model = 'naive_lag24')")},
-        {b.r('naive_lag1', 6, "max(y_pred) FILTER (WHERE model = 'naive_lag1')")} FROM naive WHERE ts BETWEEN TIMESTAMP '2024-01-25' AND TIMESTAMP '2024-01-28' GROUP BY 1, 2""",
+        {b.r('naive_lag1', 6, "max(y_pred) FILTER (WHERE model = 'naive_lag1')")} FROM naive WHERE ts BETWEEN TIMESTAMP '2024-01-24' AND TIMESTAMP '2024-01-31' GROUP BY 1, 2""",
     ),
     "ex11_week_grid": (
         week_grid,
