@@ -31,7 +31,7 @@ def corpus():
             texts.append(" ".join(w))
     texts += [f"{texts[i]}\n{line if i % 2 else '  ' + line.upper() + ' '}\n" for i in range(30, 40)]
     texts += [f"{prose(rng, 30, words)} {passage} {prose(rng, 30, words)}" for _ in range(4)]
-    texts += ["x" * 1500, "ab" * 900, "", None, None, "one", "One", "two words", "two  words", "a b c d e", "A b\tc d e", "a b c d e f", "\n\n", "   ", "é" * 700, "日本 " * 300]
+    texts += ["x" * 1500, "ab" * 900, "", None, None, "one", "One", "two words", "two  words", "a b c d e", "A b\tc d e", "a b c d e f", "\n\n", "   ", "é" * 700, *["日本 " * n for n in (300, 10, 20, 30, 40)]]
     texts += [prose(rng, 40_000, words)]  # very long
     texts += ["Mail a.b@c.de or x@y, 10.0.0.1 999.1.1.1 4111 1111 1111 1111, +49 (30) 123-4567-8 +1 2", "a@b.com_c@d.com 1.2.3.4.5.6.7.8"]
     texts += ["You are all zogbrat and flurmog, " + prose(rng, 20, words) for _ in range(10)]

@@ -250,8 +250,7 @@ def test_op7_exchange_between_partitions_saves_sequences(spark):
     assert sorted(r["doc_id"] for r in dealt) == list(range(1500))
     bound = packing.fractional_bound(np.array(lengths), 2048)
     together = max(packing.best_fit_decreasing(sorted(lengths, reverse=True), 2048)[0]) + 1
-    assert bound <= check_packed(dealt, 2048) < check_packed(alone, 2048)
-    assert check_packed(dealt, 2048) <= together * 1.01
+    assert bound <= together <= check_packed(dealt, 2048) < check_packed(alone, 2048)
 
 
 def test_op8(spark, folder, documents):

@@ -27,7 +27,7 @@ from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattgrid.llm import components
@@ -228,11 +228,14 @@ def _classes(described: DataFrame) -> DataFrame:
 NO_ID = -(1 << 63)
 
 
-def _may_link(x: str, y: str) -> Column:
-    """Sizes and bitmaps allow a similarity of 0.75; symmetric."""
-    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    differing = sum((F.bit_count(F.get(f"{x}.bits", k).bitwiseXOR(F.get(f"{y}.bits", k))) for k in range(LONGS)), F.lit(0))
-    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * differing <= n + m)
+def _sizes_fit(n: Column, m: Column) -> Column:
+    return 4 * F.least(n, m) >= 3 * F.greatest(n, m)
+
+
+def _bitmaps_fit(x: Column, y: Column, n: Column, m: Column) -> Column:
+    """The bitmaps leave a similarity of 0.75 possible."""
+    differing = sum((F.bit_count(F.get(x, k).bitwiseXOR(F.get(y, k))) for k in range(LONGS)), F.lit(0))
+    return 7 * differing <= n + m
 
 
 def _needed_filter(pairs: DataFrame) -> np.ndarray:
@@ -245,7 +248,7 @@ def _needed_filter(pairs: DataFrame) -> np.ndarray:
 
 def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     """``a, b``: the pairs ``x, y`` of class ids whose full sets are similar enough. ``pairs`` must be a
-    stored table of distinct pairs."""
+    stored table of distinct pairs. The set of ``y`` travels to ``x``, so many pairs of one x are cheap."""
     context = documents.sparkSession.sparkContext
     held = context.broadcast(_needed_filter(pairs))
 
@@ -261,8 +264,8 @@ def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     full = rows.mapInArrow(members, "v bigint, members array<bigint>")
     ids = pairs.select(F.explode(F.array("x", "y")).alias("v")).distinct()
     full = staged(full.join(ids, "v", "left_semi"))
-    met = pairs.join(full.select(F.col("v").alias("x"), F.col("members").alias("mx")), "x")
-    met = met.join(full.select(F.col("v").alias("y"), F.col("members").alias("my")), "y")
+    met = pairs.join(full.select(F.col("v").alias("y"), F.col("members").alias("my")), "y")
+    met = met.join(full.select(F.col("v").alias("x"), F.col("members").alias("mx")), "x")
     common = F.size(F.array_intersect("mx", "my"))
     similar = 175 * common >= 75 * (F.size("mx") + F.size("my"))
     return met.where(similar).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
@@ -281,34 +284,44 @@ def links(documents: DataFrame, described: DataFrame) -> DataFrame:
     sizes = described.where(F.col("n").between(1, ceil(MOST_BOUNDARY * 4 / 3))).groupBy("n").count().collect()
     boundary = cheapest_boundary({r["n"]: r["count"] for r in sizes})
     classes = staged(_classes(described))
-    listed = _list_rows(documents, level, boundary).repartition("key")
-    ends = listed.groupBy("key").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low <> high").select("key")
-    shared = listed.join(ends.hint("shuffle_hash"), "key", "left_semi").distinct()
-    lists = staged(shared.join(classes, ["a", "b"]).select("key", "v", "n", "bits"))
+    # One shuffle by key finds the lists with different classes; a list streams through its task.
+    whole = Window.partitionBy("key")
+    listed = _list_rows(documents, level, boundary)
+    listed = listed.select("key", "a", "b", F.min("a").over(whole).alias("low"), F.max("a").over(whole).alias("high"))
+    shared = listed.where("low <> high").select("key", "a", "b").distinct()
+    lists = staged(shared.join(classes.select("a", "b", "v", "n"), ["a", "b"]).select("key", "v", "n"))
+    bits = classes.select("v", "n", "bits")
     found = None
     for turn in range(STAR_ROUNDS):
-        open_lists = _unsettled(lists, found)
+        rows = _unsettled(lists, found)
         drawn = F.xxhash64("v", F.pmod("key", F.lit(LEADERS)), F.lit(turn))
-        leaders = open_lists.groupBy("key").agg(F.min(F.struct(drawn.alias("d"), "v")).alias("lead")).select("key", "lead.v")
-        leaders = leaders.join(open_lists, ["key", "v"]).select("key", F.struct("v", "label", "n", "bits").alias("x"))
-        members = open_lists.select("key", F.struct("v", "label", "n", "bits").alias("y"))
-        found = _extended(documents, found, leaders.join(members, "key").where((F.col("x.label") != F.col("y.label")) & _may_link("x", "y")))
-    rest = _unsettled(lists, found)
-    left, right = (rest.select(F.col("key").alias(f"{s}_key"), F.struct("v", "label", "n", "bits").alias(s)) for s in ("x", "y"))
-    apart = (F.col("x_key") == F.col("y_key")) & (F.col("x.v") < F.col("y.v")) & (F.col("x.label") != F.col("y.label"))
-    return _extended(documents, found, left.join(right, apart & _may_link("x", "y")))
+        leaders = rows.groupBy("key").agg(F.min(F.struct(drawn.alias("d"), "v", "label", "n")).alias("lead"))
+        met = rows.join(leaders, "key").where((F.col("label") != F.col("lead.label")) & _sizes_fit(F.col("n"), F.col("lead.n")))
+        pairs = met.select(F.col("lead.v").alias("x"), F.col("v").alias("y")).distinct()
+        pairs = pairs.join(_renamed(bits, "x"), "x").join(_renamed(bits, "y"), "y")
+        found = _extended(documents, found, pairs.where(_bitmaps_fit(F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"))))
+    rest = _unsettled(lists, found).join(bits.drop("n"), "v")
+    left, right = (rest.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "label", "n", "bits")], F.col("v").alias(side)) for side in ("x", "y"))
+    fit = _sizes_fit(F.col("x_n"), F.col("y_n")) & _bitmaps_fit(F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"))
+    apart = (F.col("x_key") == F.col("y_key")) & (F.col("x") < F.col("y")) & (F.col("x_label") != F.col("y_label"))
+    return _extended(documents, found, left.join(right, apart & fit))
+
+
+def _renamed(bits: DataFrame, side: str) -> DataFrame:
+    return bits.select(F.col("v").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"))
 
 
 def _unsettled(lists: DataFrame, found: DataFrame | None) -> DataFrame:
-    """The lists whose classes do not all belong to one component yet."""
+    """``key, v, n, label``: the lists whose classes do not all belong to one component yet."""
     rows = lists.withColumn("label", F.col("v")) if found is None else staged(_labelled(lists, found))
     several = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     return rows.join(several, "key", "left_semi")
 
 
 def _extended(documents: DataFrame, found: DataFrame | None, met: DataFrame) -> DataFrame:
-    pairs = staged(met.select(F.least("x.v", "y.v").alias("x"), F.greatest("x.v", "y.v").alias("y")).distinct())
-    more = staged(_verified(documents, pairs))
+    """The links found so far and those among the pairs ``x, y``, each checked once."""
+    once = met.select("x", "y", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).dropDuplicates(["low", "high"])
+    more = staged(_verified(documents, staged(once.select("x", "y"))))
     return more if found is None else staged(found.unionByName(more))
 
 
