@@ -135,3 +135,21 @@ def test_differences_bounds_tail(make):
     assert tail.count() == 7
     bounds = ft.feature_bounds(df.withColumn("split", F.lit("train")), ["y"]).first()
     assert (bounds["feature"], bounds["min"], bounds["max"]) == ("y", 0.0, 2401.0)
+
+
+def test_lags_on_gaps_do_not_depend_on_bucket_size(spark, make):
+    full = make({"a": [float(i) for i in range(600)]})
+    gappy = full.where("NOT (y BETWEEN 100 AND 180 OR y % 7 = 3 OR y BETWEEN 300 AND 420)")
+    values = [r["y"] for r in gappy.orderBy("ts").collect()]
+    expected = {v: values[k - 24] if k >= 24 else None for k, v in enumerate(values)}
+    for rows in (64, 100, 4096):
+        found = ft.add_lag_features(gappy, [24], rows=rows, gaps="rows").collect()
+        assert {r["y"]: r["lag_24"] for r in found} == expected
+    with pytest.raises(Exception, match="a step is missing"):
+        ft.add_lag_features(gappy, [24], rows=64).collect()
+
+
+def test_windows_keep_null_members(spark, make):
+    df = make({"a": [1.0, 2.0, None, 4.0, 5.0, 6.0]})
+    found = {tuple(r["window"]): r["y"] for r in ft.lookback_windows(df, 3).collect()}
+    assert found == {(1.0, 2.0, None): 4.0, (2.0, None, 4.0): 5.0, (None, 4.0, 5.0): 6.0}

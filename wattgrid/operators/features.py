@@ -135,12 +135,13 @@ def add_lag_features(
     ts: str = "ts",
     step: int = HOUR,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
-    """Past values ``lag_k`` of the target on a gap-free grid."""
+    """Past values ``lag_k`` of the target, counted in rows (``gaps`` as in ``over_neighbours``)."""
     return over_neighbours(
         df,
         lambda d, over: d.selectExpr("*", *_lags(over, lags, target)),
-        keys=keys, ts=ts, step=step, before=max(lags), rows=rows,
+        keys=keys, ts=ts, step=step, before=max(lags), rows=rows, gaps=gaps,
     )
 
 
@@ -152,12 +153,13 @@ def add_rolling_features(
     ts: str = "ts",
     step: int = HOUR,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
     """Causal rolling mean and sample deviation; the current row is never in its own window."""
     return over_neighbours(
         df,
         lambda d, over: rolling_columns(d, over, windows, target),
-        keys=keys, ts=ts, step=step, before=max(windows), rows=rows,
+        keys=keys, ts=ts, step=step, before=max(windows), rows=rows, gaps=gaps,
     )
 
 
@@ -263,6 +265,14 @@ def direct_matrix(
     return moved.dropna(subset=[*features, target]).select(*names, ts, "split", target, *features)
 
 
+MEMBER = "y"
+
+
+def _members(target: str) -> str:
+    """Collects values in a frame; wrapped, because the aggregate leaves plain NULLs out."""
+    return f"collect_list(named_struct('{MEMBER}', {quoted(target)}))"
+
+
 def lookback_windows(
     df: DataFrame,
     length: int = LOOKBACK,
@@ -284,10 +294,10 @@ def lookback_windows(
     made = over_neighbours(
         slim,
         lambda d, over: d.selectExpr(
-            "*", f"collect_list({quoted(target)}) OVER ({over} ROWS BETWEEN {length} PRECEDING AND 1 PRECEDING) AS window"
+            "*", f"{_members(target)} OVER ({over} ROWS BETWEEN {length} PRECEDING AND 1 PRECEDING) AS window"
         ),
         keys=names, ts=ts, step=step, before=length, rows=rows,
-    ).where(F.size("window") == length)
+    ).where(F.size("window") == length).withColumn("window", F.col(f"window.{MEMBER}"))
     if start is not None:
         made = made.where(F.col(ts) >= lit_ts(start))
     return made
@@ -317,17 +327,17 @@ def context_windows(
     made = over_neighbours(
         slim,
         lambda d, over: d.selectExpr(
-            "*", f"collect_list({quoted(target)}) OVER ({over} ROWS BETWEEN {reach} PRECEDING AND {horizon} PRECEDING) AS context"
+            "*", f"{_members(target)} OVER ({over} ROWS BETWEEN {reach} PRECEDING AND {horizon} PRECEDING) AS context"
         ),
         keys=names, ts=ts, step=step, before=reach, rows=rows,
     )
     if start is not None:
         made = made.where(F.col(ts) >= lit_ts(start))
-    whole = F.size("context") == context
+    whole, values = F.size("context") == context, F.col(f"context.{MEMBER}")
     if not strict:
-        return made.where(whole)
+        return made.where(whole).withColumn("context", values)
     message = F.format_string(f"not enough history: need {reach} rows before %s", F.col(ts).cast("string"))
-    return made.withColumn("context", F.when(whole, F.col("context")).otherwise(F.raise_error(message)))
+    return made.withColumn("context", F.when(whole, values).otherwise(F.raise_error(message)))
 
 
 def scaler(df: DataFrame, target: str = "y", keys: str | Sequence[str] = "series_id") -> DataFrame:

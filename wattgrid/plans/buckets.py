@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from wattgrid.functions.timeaxis import as_keys, quoted, slot_sql
 
 BUCKET = "__bucket"
+POSITION = "__position"
+STEP = "__step"
 BUCKET_ROWS = 4096
 CHUNK = 4096
 SALTS = 16
@@ -73,18 +75,34 @@ def over_neighbours(
     before: int = 0,
     after: int = 0,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
-    """Apply window expressions that look at most ``before`` / ``after`` grid points away.
+    """Apply window expressions that look at most ``before`` / ``after`` rows away.
 
     ``build(frame, over)`` adds the columns with ``OVER ({over} ...)`` in SQL text; halo copies are
-    dropped afterwards. Frames count rows, so the series must be gap-free
-    (``cleaning.to_regular_grid``).
+    dropped afterwards. Frames count rows. ``gaps='fail'`` places rows by their timestamp, which
+    needs a gap-free series (``cleaning.to_regular_grid``), and stops the query at a missing step.
+    ``gaps='rows'`` places them by their position in the series: exact on series with gaps, at
+    the cost of counting the rows of each bucket first.
     """
+    if gaps not in ("fail", "rows"):
+        raise ValueError(f"gaps must be 'fail' or 'rows', not {gaps!r}")
     width = bucket_rows(max(before, after), rows)
-    spread = with_halo(df, slot_sql(ts, step), before=before, after=after, rows=width)
-    part = ", ".join(quoted(k) for k in [*as_keys(keys), BUCKET])
-    built = build(spread, f"PARTITION BY {part} ORDER BY {quoted(ts)}")
-    return built.where(F.col(BUCKET) == bucket_of(ts, step, width)).drop(BUCKET)
+    names = as_keys(keys)
+    if gaps == "rows":
+        place, source = POSITION, row_positions(df, keys=names, ts=ts, step=step, name=POSITION)
+    else:
+        place, source = slot_sql(ts, step), df
+    spread = with_halo(source, place, before=before, after=after, rows=width)
+    over = f"PARTITION BY {', '.join(quoted(k) for k in [*names, BUCKET])} ORDER BY {quoted(ts)}"
+    built = build(spread, over)
+    own = F.expr(f"{BUCKET} = cast(floor({place} / {width}) AS bigint)")
+    if gaps == "rows":
+        return built.where(own).drop(BUCKET, POSITION)
+    checked = built.selectExpr("*", f"{place} - lag({place}) OVER ({over}) AS {STEP}")
+    message = F.format_string("a step is missing before %s; complete the grid or ask for gaps='rows'", F.col(ts).cast("string"))
+    whole = F.when(F.col(STEP) > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return checked.where(own & whole).drop(BUCKET, STEP)
 
 
 def by_bucket(

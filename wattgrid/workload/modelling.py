@@ -33,6 +33,11 @@ def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(ft.add_lag_features(b.daily(spark, sf_dir), [1, 7, 28], step=DAY), 2)
 
 
+def lag_features_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ft.add_lag_features(b.hourly_gappy(spark, sf_dir), [1, 24, 168], rows=256, gaps="rows")
+    return b.rounded(found.select("series_id", "ts", "y", "lag_1", "lag_24", "lag_168"))
+
+
 def rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(ft.add_rolling_features(b.hourly(spark, sf_dir)))
 
@@ -339,6 +344,11 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"""WITH {b.DAILY}, lagged AS (SELECT *, {b.lag_sql([1, 7, 28])} FROM daily WINDOW w AS (PARTITION BY series_id ORDER BY ts))
         SELECT series_id, ts, {b.r('y', 2)}, {b.r('lag_1', 2)}, {b.r('lag_7', 2)}, {b.r('lag_28', 2)} FROM lagged""",
     ),
+    "fe3_lag_features_gappy": (
+        lag_features_gappy,
+        f"""WITH {b.GAPPY}, lagged AS (SELECT *, {b.lag_sql([1, 24, 168])} FROM gappy WINDOW w AS (PARTITION BY series_id ORDER BY ts))
+        SELECT series_id, ts, {b.r('y')}, {b.r('lag_1')}, {b.r('lag_24')}, {b.r('lag_168')} FROM lagged""",
+    ),
     "fe4_rolling_features": (
         rolling_features,
         f"WITH {b.HOURLY}, rolled AS (SELECT series_id, ts, y, {b.roll_sql()} FROM hourly) SELECT series_id, ts, {b.r('y')}, "
