@@ -90,10 +90,12 @@ def _idf(learners: DataFrame) -> np.ndarray:
 
 
 def _sample(learners: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` documents of each language (all of a language with fewer), by a hash of the text."""
+    """About ``rows`` documents of each language (all of a language with fewer), by a hash of the text.
+    The shares are broadcast, so that no text moves before it is drawn; they are far smaller than the
+    model, which holds several vectors for each language and goes to every task as well."""
     share = learners.groupBy("lang").agg((F.lit(float(rows)) / F.count("*")).alias("share"))
     drawn = F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
-    return learners.withColumn("drawn", drawn).join(share, "lang").where(F.col("drawn") < F.col("share")).select("lang", "text")
+    return learners.withColumn("drawn", drawn).join(F.broadcast(share), "lang").where(F.col("drawn") < F.col("share")).select("lang", "text")
 
 
 def spherical_kmeans(points: np.ndarray, k: int, iterations: int = ITERATIONS) -> np.ndarray:
