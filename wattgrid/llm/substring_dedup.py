@@ -142,18 +142,19 @@ def _possibly(documents: DataFrame, rows: DataFrame, wanted: bool = True) -> Dat
 
 
 def _keys(documents: DataFrame) -> DataFrame:
-    """``key, id, t`` for each run of each document row."""
+    """``key, id, t, m``: the different keys of each document row and how often each occurs."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors()
         for batch in batches:
             for lot in range(0, batch.num_rows, 1024):
                 part = batch.slice(lot, 1024)
-                found = [anchors.of_text(r.as_py())[0] for r in part["raw"]]
-                row = pa.array(np.repeat(np.arange(len(found)), [len(k) for k in found]))
-                yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64)), part["id"].take(row), part["t"].take(row)], names=["key", "id", "t"])
+                found = [np.unique(anchors.of_text(r.as_py())[0], return_counts=True) for r in part["raw"]]
+                row = pa.array(np.repeat(np.arange(len(found)), [len(k) for k, _ in found]))
+                key, times = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+                yield pa.record_batch([pa.array(key.view(np.int64)), part["id"].take(row), part["t"].take(row), pa.array(times)], names=["key", "id", "t", "m"])
 
-    return _rows(documents).where(F.octet_length("raw") >= LENGTH).mapInArrow(find, "key bigint, id bigint, t bigint")
+    return _rows(documents).where(F.octet_length("raw") >= LENGTH).mapInArrow(find, "key bigint, id bigint, t bigint, m bigint")
 
 
 _CONTEXT_DDL = "key bigint, id bigint, t bigint, start bigint, n bigint, context binary"
@@ -163,8 +164,9 @@ _CONTEXT_NAMES = ["key", "id", "t", "start", "n", "context"]
 def _contexts(documents: DataFrame) -> DataFrame:
     """Runs whose key occurs more than once, with their bytes."""
     keys = _keys(documents)
-    repeated = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    wanted = staged(keys.join(repeated, "key").groupBy("id", "t").agg(F.collect_set("key").alias("keys")))
+    # Stored, so that the adaptive planner may split a key that very many documents hold.
+    repeated = staged(keys.groupBy("key").agg(F.sum("m").alias("n")).where("n > 1").select("key"))
+    wanted = staged(keys.select("key", "id", "t").join(repeated, "key").groupBy("id", "t").agg(F.collect_set("key").alias("keys")))
     texts = _possibly(documents, wanted)
     left = texts.select(F.col("id").alias("l_id"), F.col("t").alias("l_t"), "raw")
     right = wanted.select(F.col("id").alias("r_id"), F.col("t").alias("r_t"), "keys")
