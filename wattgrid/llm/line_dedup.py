@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattgrid.session import staged
+
 LEAST_CHARS = 40
 LEAST_DOCS = 5
 
@@ -56,7 +58,9 @@ def _shared(keyed: DataFrame, least_docs: int) -> DataFrame:
 def dropped_positions(documents: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """``id, t, drop``: for each document text the sorted positions of the lines to drop."""
     keyed = _keyed(documents)
-    lost = keyed.join(_shared(keyed, least_docs), ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
+    # Stored, so that the adaptive planner may split a line that very many documents hold.
+    shared = staged(_shared(keyed, least_docs))
+    lost = keyed.join(shared, ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
     return lost.groupBy("id", "t").agg(F.array_sort(F.collect_set("at")).alias("drop"))
 
 
