@@ -136,10 +136,11 @@ def edited(documents: DataFrame, replaced: int = 4) -> DataFrame:
     rows = documents.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     size = F.floor(F.length("text") / replaced).cast("int")
     needed = rows.where(F.col("id") != NO_ID).groupBy("id").agg(F.max(size).alias("needed"))
-    asked = following(needed).join(needed, "id").select("next_id", F.col("id").alias("asker"), "needed")
+    # These sides grow with the documents: small as they look when compressed, they are not broadcast.
+    asked = following(needed).join(needed.hint("merge"), "id").select("next_id", F.col("id").alias("asker"), "needed")
     # The donor's head goes to the asker: one per id, at most a quarter of the asker's text long.
-    heads = rows.join(asked, F.col("id") == F.col("next_id")).groupBy("asker", "next_id").agg(F.min(F.expr("substring(text, 1, needed)")).alias("head"))
-    joined = rows.join(heads, F.col("id") == F.col("asker"), "left")
+    heads = rows.join(asked.hint("merge"), F.col("id") == F.col("next_id")).groupBy("asker", "next_id").agg(F.min(F.expr("substring(text, 1, needed)")).alias("head"))
+    joined = rows.join(heads.hint("merge"), F.col("id") == F.col("asker"), "left")
     kept = F.substr(F.col("text"), F.lit(1), F.length("text") - size)
     added = F.substr(F.coalesce("head", F.lit("")), F.lit(1), size)
     return joined.select("id", "text", "next_id", F.concat(kept, added).alias("edited"))
@@ -172,7 +173,7 @@ def compare(documents: DataFrame, radius: int = RADIUS, every: int = 50) -> Data
     same = held.select(F.col("f").alias("same"), F.col("copies"))
     found = queries.join(same, F.col("fingerprint") == F.col("same")).join(others, F.col("fingerprint") == F.col("left"), "left")
     counted = found.select(F.col("fingerprint").alias("q"), (F.col("copies") - 1 + F.coalesce("others", zero)).alias("near"))
-    rows = known.join(nexts, F.col("next_id") == F.col("n_id"), "left").join(counted, F.col("f") == F.col("q"), "left")
+    rows = known.join(nexts.hint("merge"), F.col("next_id") == F.col("n_id"), "left").join(counted, F.col("f") == F.col("q"), "left")
     return rows.select(
         F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "n_chars", "edited_sha256",
         hexadecimal(F.col("f")).alias("fingerprint"), hexadecimal(F.col("g")).alias("edited_fingerprint"),
