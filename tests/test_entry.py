@@ -6,7 +6,8 @@ from check_queries import connect, difference
 DATA = "/root/testdata/sf0.01"
 CHECKED = [
     "src2_compose_timestamp", "dq5_audit", "cl6_clean_and_resample", "fe9_model_matrix", "mt8_leaderboard",
-    "cv1_expanding_folds", "st1_kruskal_month", "ex3_box_statistics", "ex5_histogram",
+    "cv1_expanding_folds", "st1_kruskal_month", "ex3_box_statistics", "ex5_histogram", "fe3_lag_features_gappy",
+    "fe12_context_windows", "snk3_save_predictions", "snk6_reuse_predictions", "st4_ljung_box", "st6_kpss", "ex10_actual_vs_predicted",
 ]
 
 
