@@ -34,7 +34,7 @@ from wattgrid.llm import components
 from wattgrid.session import staged
 
 WORDS = 5
-SKETCH_BITS = 22
+SKETCH_BITS = 23
 SKETCH_BLOCK = 1 << 16
 BITMAP_BITS = 1024
 LONGS = BITMAP_BITS // 64
@@ -157,11 +157,11 @@ def rarity(documents: DataFrame) -> np.ndarray:
             for text in batch["text"]:
                 np.add.at(totals, (shingler(text.as_py()) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         for at in range(0, len(totals), SKETCH_BLOCK):
-            packed = zlib.compress(totals[at : at + SKETCH_BLOCK].astype("<i8").tobytes(), 1)
+            packed = zlib.compress(totals[at : at + SKETCH_BLOCK].astype("<u4").tobytes(), 1)
             yield pa.record_batch([pa.array([at // SKETCH_BLOCK]), pa.array([packed], pa.binary())], names=["block", "counts"])
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = sum(np.frombuffer(zlib.decompress(c.as_py()), "<i8") for batch in batches for c in batch["counts"])
+        total = sum(np.frombuffer(zlib.decompress(c.as_py()), "<u4").astype("<i8") for batch in batches for c in batch["counts"])
         yield pa.record_batch([pa.array([key[0].as_py()]), pa.array([total.tobytes()], pa.binary())], names=["block", "counts"])
 
     counted = _rows(documents).select("text").mapInArrow(count, "block bigint, counts binary")
@@ -261,9 +261,7 @@ def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
     rows = _rows(documents).select(F.coalesce("id", F.lit(NO_ID)).alias("v"), "text")
     rows = rows.select("v", F.pmod(F.xxhash64("v"), F.lit(1 << FILTER_BITS)).alias("k"), "text")
-    full = rows.mapInArrow(members, "v bigint, members array<bigint>")
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("v")).distinct()
-    full = staged(full.join(ids, "v", "left_semi"))
+    full = staged(rows.mapInArrow(members, "v bigint, members array<bigint>"))
     met = pairs.join(full.select(F.col("v").alias("y"), F.col("members").alias("my")), "y")
     met = met.join(full.select(F.col("v").alias("x"), F.col("members").alias("mx")), "x")
     common = F.size(F.array_intersect("mx", "my"))
