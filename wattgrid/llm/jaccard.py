@@ -34,7 +34,7 @@ from wattgrid.llm import components
 from wattgrid.session import staged
 
 WORDS = 5
-SKETCH_BITS = 23
+SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 16
 BITMAP_BITS = 1024
 LONGS = BITMAP_BITS // 64
