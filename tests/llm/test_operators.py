@@ -126,6 +126,27 @@ def test_op3_boundary_and_small_sets(spark):
     assert found == brute_groups(documents)[1]
 
 
+def test_op3_counts_all_links(spark, documents, monkeypatch):
+    """Links inside a group count as well, also across the blocks of a component."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
+    words = [f"w{k}" for k in range(120)]
+    near = [(1000 + k, " ".join(words[:20 * k + 9] + ["odd"] + words[20 * k + 10:])) for k in range(6)]  # all similar to all
+    near += [(1100 + k, " ".join([f"v{j}" for j in range(k, 120 + k)])) for k in range(0, 60, 6)]  # a chain
+    rows_in = documents + near + [(1200, near[0][1])]
+    frame = spark.createDataFrame(rows_in, "doc_id bigint, text string")
+    shingles = [(i, next(iter(brute_groups([(0, t)])[0][0]))) for i, t in rows_in]
+    apart = {s for _, s in shingles if s}
+    alike = lambda s, r: s != r and 100 * len(s & r) >= 75 * len(s | r)
+    linked = {s: sum(alike(s, r) for r in apart) for s in apart}
+    found = jaccard.groups(frame).select("doc_id", "n_shingles", "n_links").collect()
+    assert Counter(map(tuple, found)) == Counter((i, len(s), linked.get(s, 0)) for i, s in shingles)
+    assert all(linked[s] >= 5 for i, s in shingles if i in range(1000, 1006))
+    low = lambda x: (x is not None, x or 0)
+    named = {s: min((i for i, r in shingles if r == s), key=low) for s in apart}
+    pairs = Counter(tuple(sorted((named[s], named[r]), key=low)) for s in apart for r in apart if alike(s, r))
+    assert Counter(map(tuple, jaccard.pairs(frame).collect())) == Counter({p: n // 2 for p, n in pairs.items()})
+
+
 def test_op4(spark, folder, documents):
     found = rows(spark, "op4_toxicity", folder)
     assert len(found) == len(documents) and all(0 <= r["score"] <= 1 for r in found)

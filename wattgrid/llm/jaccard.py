@@ -10,7 +10,8 @@ texts, so that a passage many texts share stays out of the lists of texts that o
 Equal sets are one class (its member with the smallest id stands for it). Within the lists a few leaders
 are compared with everyone first; classes that this connects need no further comparison, and all other
 pairs of a list are compared if sizes and parity bitmaps (a lower bound of the difference) allow a link.
-Every reported link is checked on the full sets.
+That yields the components. Every link lies inside one, so all links follow from comparing the full sets
+of each component with one another, in blocks; ``groups`` counts them and ``pairs`` lists them.
 
 A text with fewer than five words is one shingle; a NULL, empty or wordless text has an empty set and
 links with nothing. Documents are told apart by ``doc_id``: rows with a NULL id form one document, and
@@ -42,6 +43,8 @@ LEAST_BOUNDARY, MOST_BOUNDARY = 2, 14
 LEADERS = 4
 STAR_ROUNDS = 2
 FILTER_BITS = 20
+BLOCK_SETS, BLOCK_MEMBERS = 256, 1 << 20
+COLUMNS = 1 << 13
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = 1 << 20
@@ -238,19 +241,25 @@ def _bitmaps_fit(x: Column, y: Column, n: Column, m: Column) -> Column:
     return 7 * differing <= n + m
 
 
-def _needed_filter(pairs: DataFrame) -> np.ndarray:
-    """A bit for each of 2^FILTER_BITS buckets of class ids that occur in pairs; bounded by its size."""
-    buckets = pairs.select(F.explode(F.array("x", "y")).alias("v")).select(F.pmod(F.xxhash64("v"), F.lit(1 << FILTER_BITS)).alias("k")).distinct()
+def _needed_filter(ids: DataFrame) -> np.ndarray:
+    """A bit for each of 2^FILTER_BITS buckets of the class ids ``v``; bounded by its size."""
+    buckets = ids.select(F.pmod(F.xxhash64("v"), F.lit(1 << FILTER_BITS)).alias("k")).distinct()
     held = np.zeros(1 << FILTER_BITS, bool)
     held[buckets.toPandas()["k"].to_numpy(np.int64)] = True
     return np.packbits(held)
 
 
+def _bucketed(documents: DataFrame) -> DataFrame:
+    """``v, k, text``: rows by id, with the id's bucket in the filter."""
+    rows = _rows(documents).select(F.coalesce("id", F.lit(NO_ID)).alias("v"), "text")
+    return rows.select("v", F.pmod(F.xxhash64("v"), F.lit(1 << FILTER_BITS)).alias("k"), "text")
+
+
 def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     """``a, b``: the pairs ``x, y`` of class ids whose full sets are similar enough. ``pairs`` must be a
     stored table of distinct pairs. The set of ``y`` travels to ``x``, so many pairs of one x are cheap."""
     context = documents.sparkSession.sparkContext
-    held = context.broadcast(_needed_filter(pairs))
+    held = context.broadcast(_needed_filter(pairs.select(F.explode(F.array("x", "y")).alias("v"))))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, needed = Shingler(), np.unpackbits(held.value).astype(bool)
@@ -259,9 +268,7 @@ def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
             found = [shingler(batch["text"][i].as_py()) for i in chosen.tolist()]
             yield pa.record_batch([batch["v"].take(pa.array(chosen)), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["v", "members"])
 
-    rows = _rows(documents).select(F.coalesce("id", F.lit(NO_ID)).alias("v"), "text")
-    rows = rows.select("v", F.pmod(F.xxhash64("v"), F.lit(1 << FILTER_BITS)).alias("k"), "text")
-    full = staged(rows.mapInArrow(members, "v bigint, members array<bigint>"))
+    full = staged(_bucketed(documents).mapInArrow(members, "v bigint, members array<bigint>"))
     met = pairs.join(full.select(F.col("v").alias("y"), F.col("members").alias("my")), "y")
     met = met.join(full.select(F.col("v").alias("x"), F.col("members").alias("mx")), "x")
     common = F.size(F.array_intersect("mx", "my"))
@@ -323,13 +330,102 @@ def _extended(documents: DataFrame, found: DataFrame | None, met: DataFrame) ->
     return more if found is None else staged(found.unionByName(more))
 
 
-def groups(documents: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for each document row. ``component_id`` is the smallest
-    ``doc_id`` that links reach, the row's own included."""
+def _blocks(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``v, a, b, label, block, blocks`` for each class (``a, b, v, n``) that has a link: its component, and
+    one of the blocks among which the sets of a component are dealt."""
+    held = classes.join(components.labels(found).select(F.col("node").alias("v"), "label"), "v")
+    shares = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_MEMBERS)).cast("int")
+    dealt = held.join(held.groupBy("label").agg(shares.alias("blocks")), "label")
+    return dealt.select("v", "a", "b", "label", F.pmod(F.xxhash64("a", "b"), "blocks").cast("int").alias("block"), "blocks")
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members each set on the left shares with each on the right."""
+    count = [len(s) for s in (*left, *right)]
+    owner, members = np.repeat(np.arange(len(count)), count), np.concatenate([*left, *right])
+    order = np.argsort(members, kind="stable")
+    owner, members = owner[order], members[order]
+    fresh = np.concatenate([[True], members[1:] != members[:-1]])
+    held = np.diff(np.append(np.flatnonzero(fresh), len(members)))
+    several = np.repeat(held > 1, held)  # a member of one set is not shared
+    owner, column = owner[several], np.cumsum(fresh[several]) - 1
+    common = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, [at, at + COLUMNS])
+        dense = np.zeros((len(count), int(column[hi - 1]) - at + 1), np.float32)
+        dense[owner[lo:hi], column[lo:hi] - at] = 1
+        common += np.rint(dense[: len(left)] @ dense[len(left) :].T).astype(np.int64)
+    return common
+
+
+def _compared(documents: DataFrame, blocks: DataFrame, counts: bool) -> DataFrame:
+    """All links between different sets of one component, ``blocks`` being stored. With ``counts``, as
+    ``a, b, n_links`` for each class and pair of blocks, else as ``x, y`` of class ids."""
+    held = documents.sparkSession.sparkContext.broadcast(_needed_filter(blocks))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        needed = np.unpackbits(held.value).astype(bool)
+        for batch in batches:
+            yield batch.select(["v", "text"]).filter(pa.array(needed[batch["k"].to_numpy()]))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            for lot in range(0, batch.num_rows, 64):
+                part = batch.slice(lot, 64)
+                found = [shingler(t.as_py()) for t in part["text"]]
+                own = list(zip(part["a"].to_pylist(), part["b"].to_pylist()))
+                same = [i for i, s in enumerate(found) if identity(s) == own[i]]  # rows of one id may be of several classes
+                sets = pa.array([found[i].view(np.int64) for i in same], pa.list_(pa.int64()))
+                rest = part.drop_columns(["text"]).take(pa.array(same, pa.int64()))
+                yield pa.record_batch([*rest.columns, sets], names=[*rest.schema.names, "members"])
+
+    def compare(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high, sides = key[1].as_py(), key[2].as_py(), {}
+        for batch in batches:
+            for i, (block, *own) in enumerate(zip(*(batch[c].to_pylist() for c in ("block", "v", "a", "b")))):
+                sides.setdefault(block, {})[tuple(own)] = batch["members"][i].values.to_numpy().view(np.uint64)
+        left, right = (list(sides.get(block, {}).items()) for block in (low, high))
+        if not left or not right:
+            return
+        n, m = (np.array([len(s) for _, s in side]) for side in (left, right))
+        similar = 175 * overlaps([s for _, s in left], [s for _, s in right]) >= 75 * (n[:, None] + m)
+        if low == high:
+            np.fill_diagonal(similar, False)
+        if counts:
+            ends = [(left, similar.sum(axis=1))] + [(right, similar.sum(axis=0))] * (low != high)
+            columns = [[own[k] for side, _ in ends for own, _ in side] for k in (1, 2)] + [np.concatenate([c for _, c in ends])]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "n_links"])
+        else:
+            x, y = np.nonzero(np.triu(similar) if low == high else similar)
+            ids = [np.array([own[0] for own, _ in side], np.int64)[at] for side, at in ((left, x), (right, y))]
+            yield pa.record_batch([pa.array(np.minimum(*ids)), pa.array(np.maximum(*ids))], names=["x", "y"])
+
+    texts = _bucketed(documents).mapInArrow(chosen, "v bigint, text binary")
+    once = texts.join(blocks, "v").distinct()
+    sets = once.mapInArrow(dealt, "v bigint, a bigint, b bigint, label bigint, block int, blocks int, members array<bigint>")
+    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("label", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "v", "a", "b", "members")
+    return met.groupBy("label", "low", "high").applyInArrow(compare, "a bigint, b bigint, n_links bigint" if counts else "x bigint, y bigint")
+
+
+def _joined(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored sets of all rows, the connecting links, and ``v, a, b, n`` of each class."""
     described = staged(sets(documents))
-    found = links(documents, described)
+    return described, links(documents, described), _classes(described).select("v", "a", "b", "n")
+
+
+def pairs(documents: DataFrame) -> DataFrame:
+    """``doc_x, doc_y``: all links between different sets, each set named by its smallest ``doc_id``;
+    the lower id first."""
+    _, found, classes = _joined(documents)
+    met = _compared(documents, staged(_blocks(classes, found)), counts=False)
+    return met.select(*(F.nullif(side, F.lit(NO_ID)).alias(f"doc_{side}") for side in ("x", "y")))
+
+
+def _grouped(described: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, a, b`` for each row."""
     ids = described.where("n > 0").select(F.coalesce("id", F.lit(NO_ID)).alias("id"), "a", "b")
-    classes = ids.groupBy("a", "b").agg(F.min("id").alias("v"))
     # Rows that share an id connect their classes.
     repeated = ids.join(classes, ["a", "b"]).select(F.col("id").alias("a"), F.col("v").alias("b")).where("a <> b")
     several = repeated.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
@@ -338,13 +434,24 @@ def groups(documents: DataFrame) -> DataFrame:
     by_class = classes.join(labels, "v", "left").select(F.col("a").alias("ca"), F.col("b").alias("cb"), F.coalesce("label", "v").alias("component"))
     rows = described.join(by_class, (F.col("a") == F.col("ca")) & (F.col("b") == F.col("cb")) & (F.col("n") > 0), "left")
     own = F.coalesce("component", F.coalesce("id", F.lit(NO_ID)))
-    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(own, F.lit(NO_ID)).alias("component_id"))
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(own, F.lit(NO_ID)).alias("component_id"), "a", "b")
+
+
+def groups(documents: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` for each document row. ``component_id`` is the smallest
+    ``doc_id`` that links reach, the row's own included; ``n_links`` counts the different sets that the
+    row's set is similar to."""
+    described, found, classes = _joined(documents)
+    met = _compared(documents, staged(_blocks(classes, found)), counts=True)
+    counted = staged(met.groupBy("a", "b").agg(F.sum("n_links").alias("n_links")))
+    rows = _grouped(described, found, classes).join(counted, ["a", "b"], "left")
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """The document with the smallest ``doc_id`` of each group, with all its columns; documents without
     words stay. Rows that share the kept id are one document and stay together."""
-    found = groups(documents).where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = _grouped(*_joined(documents)).where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("gone_id")).distinct()
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
     kept = rows.join(gone, F.coalesce(F.col("row.doc_id").cast("bigint"), F.lit(NO_ID)) == F.col("gone_id"), "left_anti")

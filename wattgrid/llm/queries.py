@@ -54,7 +54,7 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.groups(_table(spark, sf_dir, "documents"))
+    return jaccard.groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 OP3_SQL = r"""
