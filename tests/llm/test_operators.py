@@ -228,6 +228,23 @@ def test_op6_marks_terms_that_reveal_an_entity(spark):
     assert "zw" not in clean[0].lower().split() and "[email]" in clean[0] and "olin" not in clean[6]
 
 
+def test_op6_marks_terms_anywhere_in_the_document(spark):
+    """A surname in the heading, far from the address and under the same signature each time."""
+    import random
+
+    from wattgrid.llm import pii
+
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(400)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    sign = "kind regards from the office on the third floor please write to qx@mail.example.org or call us any day in the week"
+    texts = [f"Qarlsby {say(60)} {sign}" for _ in range(5)] + [f"{say(60)} {sign.replace('qx@', f'k{i}@')}" for i in range(30)] + [say(60) for _ in range(30)]
+    texts += [f"Copyname {say(60)} rr@mail.example.org"] * 8
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    marked = {r["doc_id"]: {texts[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"] if s["kind_no"] == 5} for r in pii.scan(frame).collect()}
+    assert {i: m for i, m in marked.items() if m} == {i: {"Qarlsby"} for i in range(5)}
+
+
 def test_op7(spark, folder, documents):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -2,12 +2,12 @@ r"""Personal data: patterns for the protected entities, information theory for t
 
 Base spans are e-mail addresses, IP addresses, payment cards and telephone numbers, found by pattern
 (leftmost, non-overlapping per kind) and checked. Each distinct value is a protected entity. From the
-whole corpus we count in how many documents an entity e, a word t and both together occur (t close to e);
-the disclosure of e by t is ``PMI(t, e) / IC(e)`` with ``PMI = log(N n(t, e) / (n(t) n(e)))`` and
-``IC = log(N / n(e))``: 1 if t never occurs without e. A word that discloses an entity to ``DISCLOSURE``
-or more, in at least ``LEAST_SUPPORT`` independent contexts, is marked wherever it occurs (kind
-``term``). Copies of a text are not independent: support is scaled by how many different words the
-contexts of an entity hold, so an entity whose contexts repeat each other marks nothing.
+whole corpus we count in how many documents an entity e, a word t and both together occur, all three by
+the different words of whole documents; the disclosure of e by t is ``PMI(t, e) / IC(e)`` with
+``PMI = log(N n(t, e) / (n(t) n(e)))`` and ``IC = log(N / n(e))``: 1 if t never occurs without e. A word
+that discloses an entity to ``DISCLOSURE`` or more, in at least ``LEAST_SUPPORT`` independent documents, is
+marked wherever it occurs (kind ``term``). Copies of a text are not independent: documents whose word sets
+have the same ``SKETCH`` minima of hashes count as one, so an entity in one page and its copies marks nothing.
 
 ``sanitise`` generalises base spans to their kind and removes marked terms. DataFrame functions only.
 
@@ -25,8 +25,7 @@ from wattgrid.session import staged
 KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE = 0.8
 LEAST_SUPPORT = 3.0
-CONTEXT_CHARS = 80
-CONTEXT_WORDS = 8
+SKETCH = 3
 
 # The stated patterns. Possessive repeats and the look-behind change no match: they spare retries inside
 # a run of characters that cannot lead to one, and deep recursion on long runs.
@@ -79,68 +78,83 @@ def _placed(found: DataFrame) -> DataFrame:
 
 
 def _matches(kind: str) -> Column:
-    """All matches of a kind's pattern in ``text``, in order: the match, its number, the length of the
-    gap before it, and the text close to it on either side."""
+    """All matches of a kind's pattern in ``text``, in order: the match, its number and the length of the
+    gap before it."""
     none = F.array().cast("array<string>")
     some = F.contains("text", F.lit(_HINTS[kind])) if kind in _HINTS else F.lit(True)
     matches = F.when(some, F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0))).otherwise(none)
     gaps = F.when(F.size(matches) > 0, F.split("text", PATTERNS[kind], -1)).otherwise(none)
-    left = lambda i: F.substr(F.get(gaps, i), -F.lit(CONTEXT_CHARS), F.lit(CONTEXT_CHARS))
     return F.transform(matches, lambda m, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("at"), F.length(F.get(gaps, i)).alias("gap"), m.alias("match"),
-        left(i).alias("left"), F.substr(F.get(gaps, i + 1), F.lit(1), F.lit(CONTEXT_CHARS)).alias("right"),
     ))
 
 
-def base_spans(documents: DataFrame) -> DataFrame:
-    """``id, t, kind, start, end, match, left, right``: valid matches with the text around them, once
-    for each document text (``t`` is its hash)."""
+def _matched(documents: DataFrame) -> DataFrame:
+    """``id, t, text, m``: the documents with matches, valid or not."""
     rows = _identified(documents)
     rows = rows.where(F.col("text").rlike("[0-9]") | F.contains("text", F.lit("@")))
     parts = [_matches(kind) for kind in KINDS]
-    found = rows.select("id", "t", F.flatten(F.array(*parts)).alias("m")).where(F.size("m") > 0)
+    return rows.select("id", "t", "text", F.flatten(F.array(*parts)).alias("m")).where(F.size("m") > 0)
+
+
+def base_spans(documents: DataFrame) -> DataFrame:
+    """``id, t, kind, start, end, match``: valid matches, once for each document text (``t`` is its
+    hash)."""
+    found = _matched(documents).select("id", "t", "m")
     once = found.groupBy("id", "t").agg(F.first("m").alias("m"))
     placed = _placed(once.select("id", "t", F.inline("m")))
     valid = F.lit(False)
     for kind in KINDS:
         valid = F.when(F.col("kind") == kind, _valid(kind, F.col("match"))).otherwise(valid)
-    return placed.where(valid).select("id", "t", "kind", "start", "end", "match", "left", "right")
+    return placed.where(valid).select("id", "t", "kind", "start", "end", "match")
+
 
+def _contexts(documents: DataFrame, spans: DataFrame, support: float) -> tuple[DataFrame, DataFrame]:
+    """``entities, words, mark`` of each document that holds an entity, where copies share the mark; and
+    ``entity, n_e``. An entity in fewer than ``support`` documents cannot have a term and is left out."""
+    mentions = spans.select(F.lower("match").alias("entity"), "id", "t").distinct()
+    often = staged(mentions.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support))
+    each = mentions.join(often.select("entity"), "entity").groupBy("id", "t").agg(F.collect_list("entity").alias("entities"))
+    each = each.select(F.col("id").alias("e_id"), F.col("t").alias("e_t"), "entities")
+    met = _matched(documents).select("id", "t", "text").join(each, F.col("id").eqNullSafe(F.col("e_id")) & (F.col("t") == F.col("e_t")))
+    once = met.select("id", "t", "text", "entities").dropDuplicates(["id", "t"])
+    mark = F.xxhash64(*map(_least_hash, range(SKETCH)))
+    return staged(once.withColumn("words", _words()).select("entities", "words", mark.alias("mark"))), often
 
-def _context_terms(spans: DataFrame) -> DataFrame:
-    """``entity, id, t, term``: the different words close to a mention of an entity in a document."""
-    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(_TERM), F.lit(0))
-    left, right = words(F.coalesce("left", F.lit(""))), words(F.coalesce("right", F.lit("")))
-    near = F.concat(F.slice(left, -F.least(F.size(left), F.lit(CONTEXT_WORDS)), CONTEXT_WORDS), F.slice(right, 1, CONTEXT_WORDS))
-    near = F.when(F.size(left) > 0, near).otherwise(F.slice(right, 1, CONTEXT_WORDS))
-    rows = spans.select(F.lower("match").alias("entity"), "id", "t", F.explode_outer(near).alias("term"))
-    return rows.distinct()
+
+def _least_hash(salt: int) -> Column:
+    return F.array_min(F.transform("words", lambda w: F.xxhash64(w, F.lit(salt))))
+
+
+def _pairs(contexts: DataFrame) -> DataFrame:
+    """``entity, term, mark``: each entity with each word of a document that holds it."""
+    return contexts.select(F.explode("entities").alias("entity"), "words", "mark").select("entity", F.explode("words").alias("term"), "mark")
 
 
 def revealing_terms(documents: DataFrame, spans: DataFrame, disclosure: float = DISCLOSURE, support: float = LEAST_SUPPORT) -> DataFrame:
     """``term``: the words that disclose some entity. ``spans`` must be a stored table."""
-    context = _context_terms(spans)
-    each = context.groupBy("entity", "term").agg(F.count("*").alias("n_te"))  # one row per document text
-    per_doc = context.groupBy("entity", "id", "t").agg(F.count("term").alias("width"))
-    entities = per_doc.groupBy("entity").agg(F.count("*").alias("n_e"), F.avg("width").alias("width"))
-    distinct = each.where(F.col("term").isNotNull()).groupBy("entity").agg(F.count("*").alias("n_words"))
-    independent = F.col("n_words") / F.greatest(F.col("width"), F.lit(1.0))
-    pairs = each.join(entities, "entity").join(distinct, "entity")
-    pairs = staged(pairs.where(F.col("term").isNotNull() & (F.col("n_te") * independent / F.col("n_e") >= support)).select("term", "n_te", "n_e"))
+    contexts, often = _contexts(documents, spans, support)
+    each = _pairs(contexts).groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
+    pairs = each.join(often, "entity")
     rows = _identified(documents)
     total = rows.select("id", "t").distinct().count()
-    # Document counts of the candidate words over the whole corpus.
-    words = _distinct_words(rows).join(pairs.select("term").distinct(), "term")
-    counts = words.groupBy("term").agg(F.count("*").alias("n_t"))
+    # Document counts of the words over the whole corpus.
+    counts = _distinct_words(rows).groupBy("term").agg(F.count("*").alias("n_t"))
     judged = pairs.join(counts, "term")
     information = F.log(F.lit(float(max(total, 1))) / F.col("n_e"))
     pmi = F.log(F.lit(float(max(total, 1))) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    return judged.where((information > 0) & (pmi >= F.lit(disclosure) * information)).select("term").distinct()
+    close = staged(judged.where((information > 0) & (pmi >= F.lit(disclosure) * information)).select("entity", "term"))
+    marks = _pairs(contexts).join(close, ["entity", "term"]).groupBy("entity", "term", "mark").count()
+    independent = marks.groupBy("entity", "term").agg(F.count("*").alias("n"))
+    return independent.where(F.col("n") >= support).select("term").distinct()
+
+
+def _words() -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))
 
 
 def _distinct_words(rows: DataFrame) -> DataFrame:
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))
-    return rows.select("id", "t", F.explode(words).alias("term"))
+    return rows.select("id", "t", F.explode(_words()).alias("term"))
 
 
 def term_spans(documents: DataFrame, terms: DataFrame) -> DataFrame:
