@@ -24,3 +24,8 @@ def test_flagship(spark):
 def test_query_equals_sql(spark, name):
     ours = entry.queries()[name](spark, DATA).toPandas()
     assert difference(ours, connect(DATA).sql(entry.oracle_sql()[name]).df()) is None
+
+
+def test_cv4_runs_all_folds(spark):
+    found = entry.queries()["cv4_cv_seasonal_ar"](spark, DATA)
+    assert found.agg({"fold": "max"}).first()[0] == 5

@@ -265,7 +265,7 @@ def cv_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_seasonal_ar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(boosting.cv_seasonal_ar(staged(b.featured(spark, sf_dir).select("series_id", "ts", "y", "split")), n_splits=3))
+    return b.rounded(boosting.cv_seasonal_ar(staged(b.featured(spark, sf_dir).select("series_id", "ts", "y", "split"))))
 
 
 # --- SQL --------------------------------------------------------------------------------------
