@@ -1,3 +1,4 @@
+import math
 import random
 
 import pyarrow as pa
@@ -67,13 +68,23 @@ def folder(tmp_path_factory):
         turns += [(c, k, role, prose(rng, 6, words)) for k, role in enumerate(roles)]
     turns += [(20, 0, "user", None), (20, 1, None, "no role"), (20, 1, "tool", "<s>[INST] \\1 \\0 </s>[TEXT]"), (None, None, "user", ""), (21, 5, "assistant", "first"), (21, 5, "assistant", "first")]
     save("conversations", pa.table({"conv_id": pa.array([x[0] for x in turns], pa.int64()), "turn": pa.array([x[1] for x in turns], pa.int64()), "role": [x[2] for x in turns], "text": [x[3] for x in turns], "state": ["s"] * len(turns)}))
+    vectors = [[rng.gauss(0.1, 0.3) for _ in range(6)] for _ in range(500)]
+    table = [(i, rng.randint(0, 3), v) for i, v in enumerate(vectors)]
+    table += [(600 + i, rng.randint(0, 3), vectors[i % 9]) for i in range(60)]  # ties
+    table += [(100, 2, vectors[3]), (100, 2, vectors[3]), (None, 1, vectors[4]), (None, 1, vectors[100]), (None, None, vectors[5])]  # repeats, NULL ids
+    table += [(901, None, vectors[0]), (902, 1, None), (903, 1, [None] + vectors[1][1:]), (904, 1, [math.inf] + vectors[1][1:]), (905, 1, [math.nan] + vectors[1][1:])]
+    table += [(700, 8, vectors[7]), (-100, 1, vectors[8]), (906, 1, [0.0] * 6), (800, 1, [-x for x in vectors[9]])]
+    save("embeddings", pa.table({
+        "vec_id": pa.array([x[0] for x in table], pa.int64()), "embedding": pa.array([x[2] for x in table], pa.list_(pa.float32())),
+        "label": pa.array([x[1] for x in table], pa.int32()), "v": ["x"] * len(table), "at": list(range(len(table))), "score": [0.5] * len(table),
+    }))
     return str(path)
 
 
 @pytest.fixture(scope="session")
 def empty_folder(folder, tmp_path_factory):
     path = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "benchmark", "labels", "conversations"):
+    for name in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         pq.write_table(pq.read_table(f"{folder}/{name}.parquet").slice(0, 0), path / f"{name}.parquet")
     return str(path)
 

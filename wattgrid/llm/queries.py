@@ -10,7 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattgrid.llm import chat, decontaminate, fingerprint, jaccard, language, line_dedup, packing, pii, substring_dedup, toxicity
+from wattgrid.llm import (
+    alignment, chat, decontaminate, exact_dedup, fingerprint, hard_negatives, jaccard, language, line_dedup, packing, pii, substring_dedup, toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,6 +160,52 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align(_table(spark, sf_dir, "documents"), paths)
+    digest = F.when(F.col("n_a") == 0, F.lit("")).otherwise(F.sha2("groups", 256))
+    return aligned.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.prepared(_table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v, row_number() OVER () AS no
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.no, a.vec_id AS anchor_id, b.vec_id, b.no AS row_no, a.label = b.label AS same,
+    CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.no <> b.no WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT no, anchor_id, vec_id AS positive_id, row_no AS p_no, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY no ORDER BY score DESC, vec_id, row_no) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.no, p.p_no ORDER BY s.score DESC, s.vec_id, s.row_no) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON p.no = s.no AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.classes(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH g AS (SELECT coalesce(text, '') AS body, max(doc_id) AS keep_id, count(*) AS group_size FROM documents GROUP BY 1)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(g.body) AS text_sha256
+FROM documents d JOIN g ON coalesce(d.text, '') = g.body
+"""
+
+
 QUERIES = {
     "op1_chat_formatting": (op1_chat_formatting, OP1_SQL),
     "op2_suffix_array_dedup": (op2_suffix_array_dedup, None),
@@ -169,4 +217,7 @@ QUERIES = {
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_language": (op9_language, None),
     "op10_fingerprints": (op10_fingerprints, None),
+    "op11_token_alignment": (op11_token_alignment, None),
+    "op12_hard_negatives": (op12_hard_negatives, OP12_SQL),
+    "op13_exact_dedup": (op13_exact_dedup, OP13_SQL),
 }
