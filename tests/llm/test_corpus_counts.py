@@ -204,7 +204,7 @@ def brute_copies(documents):
     return groups
 
 
-@pytest.mark.parametrize("widths", [(48, 8), (1, 2)])
+@pytest.mark.parametrize("widths", [(128, 8), (1, 2)])
 def test_op13(spark, folder, documents, widths):
     frame = spark.read.parquet(f"{folder}/documents.parquet")
     found = [r.asDict() for r in exact_dedup.classes(frame, *widths).collect()]

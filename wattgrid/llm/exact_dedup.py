@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from wattgrid.session import staged
 
-FIRST_BYTES = 48
+FIRST_BYTES = 128
 GROWTH = 8
 
 
@@ -38,7 +38,8 @@ def _level(rows: DataFrame, start: int, width: int) -> DataFrame:
     groups = staged(counted.select(
         F.col("class").alias("g"), F.col("digit").alias("d"), F.col("ended").alias("e"), "n", "keep", F.monotonically_increasing_id().alias("new"),
     ))
-    joined = cut.join(groups, (F.col("class") == F.col("g")) & (F.col("digit") == F.col("d")) & (F.col("ended") == F.col("e")), "left")
+    # Groups grow with the documents, so they are never broadcast.
+    joined = cut.join(groups.hint("merge"), (F.col("class") == F.col("g")) & (F.col("digit") == F.col("d")) & (F.col("ended") == F.col("e")), "left")
     return joined.select(
         "id", "carried", "raw", F.col("new").alias("class"), F.coalesce("n", F.lit(1)).alias("n"),
         F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep")).alias("keep"), (F.col("n").isNull() | F.col("ended")).alias("done"),
@@ -65,7 +66,7 @@ def _kept(finished: DataFrame) -> DataFrame:
     """Finished rows with ``kept``: the row with the largest id, the first of rows that repeat it."""
     largest = finished.where((F.col("n") > 1) & F.col("id").eqNullSafe(F.col("keep")))
     first = largest.groupBy("class").agg(F.min("at").alias("first")).select(F.col("class").alias("c"), "first")
-    joined = finished.join(first, (F.col("class") == F.col("c")) & (F.col("at") == F.col("first")), "left")
+    joined = finished.join(first.hint("merge"), (F.col("class") == F.col("c")) & (F.col("at") == F.col("first")), "left")
     return joined.withColumn("kept", (F.col("n") == 1) | F.col("c").isNotNull())
 
 
