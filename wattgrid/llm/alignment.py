@@ -2,8 +2,8 @@
 
 Both token sequences cut the same bytes. Every pair of neighbouring cuts, of either tokenizer, encloses bytes
 of exactly one token each: one link. Cuts that both share bound the groups. A space that follows a visible
-character is a shared cut, whatever stands around it, so texts are split there and each different unit
-is tokenised and aligned once per batch or less (a bounded cache per worker process).
+character is a shared cut, whatever stands around it, so texts are split there, and each different unit of
+a slice of texts is tokenised and aligned once.
 
 Counts of id pairs. A first pass over the texts gives the different pairs with their number per task. The
 different pairs are indexed by a minimal perfect hash, built in parts of bounded size; tasks add their numbers
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,8 @@ SEGMENT_KEYS = 1 << 21
 PART_KEYS = 1 << 15
 SLICE = 1 << 14
 FAN = 64
-SLICE_BYTES = 8 << 20
-CACHED_UNITS = 150_000
-CACHED_LENGTH = 64
+SLICE_BYTES = 16 << 20
+ENCODED_AT_ONCE = 20_000
 
 # A space that follows white space (or begins the text) may belong to what stands before it.
 _IRREGULAR = r"[\t\n\x0b\f\r\x1c-\x1f \x{85}\p{Z}] |^ "
@@ -53,102 +53,117 @@ _LETTER_BYTE = {chr(b): b for b in _OWN} | {chr(256 + k): b for k, b in enumerat
 PATHS = tuple[str, str]
 
 
-class Units(dict):
-    """For each unit (without its leading space) the alignment of the two tokenizers, filled on demand:
-    tokens of A and B, groups, links, the links' packed pair keys, and the groups' text; None if a
-    tokenizer does not give the bytes back."""
+class Tokens:
+    """Both tokenizers of a process, with the bytes of their tokens."""
 
     def __init__(self, paths: PATHS):
-        super().__init__()
         import sentencepiece
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(paths[0])
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=paths[1])
-        self.n_b = self.b.vocab_size()
-        self.bytes_a = {i: bytes(_LETTER_BYTE.get(c, 0) for c in piece) for piece, i in self.a.get_vocab().items()}
+        self.n_a, self.n_b = self.a.get_vocab_size(), self.b.vocab_size()
+        of_a = {i: bytes(_LETTER_BYTE.get(c, 0) for c in piece) for piece, i in self.a.get_vocab().items()}
+        self.bytes_a = [of_a.get(i, b"") for i in range(self.n_a)]
         self.bytes_b = [self._piece(i) for i in range(self.n_b)]
+        self.sizes = [np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b)]
         self.space = self.b.piece_to_id("▁")
+        # An id as it stands in a group's text, with the sign that follows inside a group and at its end.
+        told = [f"{i}{sign}" for n, signs in ((self.n_a, ",|"), (self.n_b, ",;")) for i in range(n) for sign in signs]
+        self.told = pa.array(told, pa.string())
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def _aligned(self, unit: str, a: list[int], b: list[int]) -> tuple | None:
-        raw = f" {unit}".encode()
-        piece_a, piece_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(piece_a) != raw or b"".join(piece_b) != raw:
-            return None
-        i = j = 0
-        end_a, end_b = len(piece_a[0]), len(piece_b[0])
-        pairs, groups, first_a, first_b = [], [], 0, 0
-        while True:
-            pairs.append(a[i] * self.n_b + b[j])
-            done_a, done_b = end_a <= end_b, end_b <= end_a
-            if done_a and done_b:
-                groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-                first_a, first_b = i + 1, j + 1
-                if end_a == len(raw):
-                    break
-            if done_a:
-                i += 1
-                end_a += len(piece_a[i])
-            if done_b:
-                j += 1
-                end_b += len(piece_b[j])
-        return len(a), len(b), len(groups), len(pairs), np.array(pairs, np.int64).tobytes(), ";".join(groups)
-
-    def of(self, units: list[str]) -> list[tuple | None]:
-        """The alignments of different units."""
-        missing = [u for u in units if u not in self]
-        if len(self) + len(missing) > CACHED_UNITS:
-            self.clear()
-            missing = units
-        fresh = {}
-        ids_a = self.a.encode_batch_fast([f" {u}" for u in missing], add_special_tokens=False)
-        ids_b = self.b.encode(missing, num_threads=1)
-        for unit, x, y in zip(missing, ids_a, ids_b):
-            # The tokenizer gives an empty text no token, not even its leading space.
-            found = self._aligned(unit, x.ids, y if unit else [self.space])
-            (self if len(unit) <= CACHED_LENGTH and len(self) < CACHED_UNITS else fresh)[unit] = found
-        return [fresh[u] if u in fresh else self[u] for u in units]
-
-
-_LOADED: dict[PATHS, Units] = {}
-
-
-def _units(paths: PATHS) -> Units:
-    """The process's cache of units for these tokenizers."""
+    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both tokenizers for each unit with its leading space."""
+        a = [e.ids for e in self.a.encode_batch_fast([f" {u}" for u in units], add_special_tokens=False)]
+        # The sentence-piece model puts the space itself, but gives an empty text no token.
+        return a, [ids if u else [self.space] for u, ids in zip(units, self.b.encode(units, num_threads=1))]
+
+    def given_back(self, units: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Whether both tokenizers' bytes are the unit's bytes."""
+        raw = [f" {u}".encode() for u in units]
+        joined = [[b"".join([table[i] for i in ids]) for ids in lists] for table, lists in ((self.bytes_a, a), (self.bytes_b, b))]
+        return np.array([r == x == y for r, x, y in zip(raw, *joined)], bool)
+
+
+_LOADED: dict[PATHS, Tokens] = {}
+
+
+def _tokens(paths: PATHS) -> Tokens:
+    """The process's tokenizers."""
     if paths not in _LOADED:
-        _LOADED[paths] = Units(paths)
+        _LOADED[paths] = Tokens(paths)
     return _LOADED[paths]
 
 
-class Block:
-    """The alignments of some texts: rows of units, each unit aligned once.
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64)
+
+
+class Aligned:
+    """The alignment of different units, each given without its leading space: per unit the numbers of
+    tokens, groups and links, and the pair key of each link, unit after unit. Units that a tokenizer does not
+    give back are not ``good`` and have no tokens."""
+
+    def __init__(self, tokens: Tokens, units: list[str]):
+        parts = []
+        for at in range(0, len(units), ENCODED_AT_ONCE):  # the tokenizers' results are large objects
+            some = units[at : at + ENCODED_AT_ONCE]
+            a, b = tokens.encode(some)
+            good = tokens.given_back(some, a, b)
+            if not good.all():
+                a, b = ([ids if ok else [] for ids, ok in zip(lists, good)] for lists in (a, b))
+            parts.append((good, _flat(a), _flat(b), np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)))
+        self.good, a, b, self.n_a, self.n_b = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 5
+        self.tokens, self.a, self.b = tokens, a, b
+        # All units stand behind one another; every unit's end is a cut of both tokenizers.
+        end_a, end_b = np.cumsum(tokens.sizes[0][a]), np.cumsum(tokens.sizes[1][b])
+        cut_a, cut_b = (np.zeros((int(end_a[-1]) if len(a) else 0) + 1, bool) for _ in range(2))
+        cut_a[end_a] = cut_b[end_b] = True
+        cuts = np.flatnonzero(cut_a | cut_b)
+        # The bytes up to a cut belong to the tokens that begin after the cuts before it.
+        self.link_a = np.cumsum(cut_a)[cuts] - cut_a[cuts]
+        self.link_b = np.cumsum(cut_b)[cuts] - cut_b[cuts]
+        self.pairs = a[self.link_a] * tokens.n_b + b[self.link_b]
+        shared = cut_a & cut_b
+        self.group_a, self.group_b = (np.cumsum(shared)[e] - shared[e] for e in (end_a, end_b))
+        # Up to and with each unit: its last token of A ends where the unit does.
+        last = np.cumsum(self.n_a)
+        ends = np.concatenate([np.zeros(1, np.int64), end_a])[last]
+        self.n_links, self.n_groups = (np.diff(np.cumsum(x)[ends], prepend=0) for x in (cut_a | cut_b, shared))
+
+    def told(self) -> pa.Array:
+        """The groups of each unit as text, each with a semicolon behind it."""
+        groups = int(self.group_a[-1]) + 1 if len(self.a) else 0
+        first_a, first_b = (np.searchsorted(g, np.arange(groups + 1)) for g in (self.group_a, self.group_b))
+        code = np.zeros(len(self.a) + len(self.b), np.int64)
+        # Before a token of A stand the earlier tokens of A and the earlier groups' tokens of B.
+        i, j = np.arange(len(self.a)), np.arange(len(self.b))
+        code[i + first_b[self.group_a]] = 2 * self.a + (i + 1 == first_a[self.group_a + 1])
+        code[j + first_a[self.group_b + 1]] = 2 * (self.tokens.n_a + self.b) + (j + 1 == first_b[self.group_b + 1])
+        offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.n_a + self.n_b)]).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), self.tokens.told.take(pa.array(code))), "")
+
 
-    ``rows`` are the texts' positions in the batch, ``unit`` the number of each text's units in order,
-    ``first`` where a text's units begin, ``found`` the alignment of each different unit."""
+class Block:
+    """Some texts of a batch: ``rows`` are their positions, ``unit`` the number of each text's units in
+    order, ``first`` where a text's units begin, ``found`` the alignment of the different units. Texts that are
+    not given back are left out."""
 
-    def __init__(self, units: Units, rows: np.ndarray, words: pa.Array, counts: np.ndarray):
+    def __init__(self, tokens: Tokens, rows: np.ndarray, words: pa.Array, counts: np.ndarray):
         coded = words.dictionary_encode()
-        found = units.of(coded.dictionary.to_pylist())
+        self.found = Aligned(tokens, coded.dictionary.to_pylist())
         self.unit = coded.indices.to_numpy()
-        first = np.cumsum(counts) - counts
-        bad = np.array([f is None for f in found], bool)
-        if bad.any():  # texts that are not given back have no tokens
-            good = np.add.reduceat(bad[self.unit].astype(np.int64), first) == 0
-            self.unit = self.unit[np.repeat(good, counts)]
-            rows, counts = rows[good], counts[good]
-            first = np.cumsum(counts) - counts
-        self.rows, self.first, self.counts = rows, first, counts
-        self.found = [f or (0, 0, 0, 0, b"", "") for f in found]
-        self.links = np.array([f[3] for f in self.found], np.int64)
-
-    def pairs(self) -> np.ndarray:
-        """The pair keys of all different units, one after another."""
-        return np.frombuffer(b"".join([f[4] for f in self.found]), np.int64)
+        if not self.found.good.all():
+            bad = np.logical_or.reduceat(~self.found.good[self.unit], np.cumsum(counts) - counts)
+            self.unit = self.unit[np.repeat(~bad, counts)]
+            rows, counts = rows[~bad], counts[~bad]
+        self.rows, self.first = rows, np.cumsum(counts) - counts
+        self.held = np.bincount(self.unit, minlength=len(self.found.good))
 
     def sums(self, per_unit: np.ndarray) -> np.ndarray:
         """For each text the sum over its units."""
@@ -157,22 +172,28 @@ class Block:
     def unit_sums(self, per_link: np.ndarray) -> np.ndarray:
         """For each different unit the sum over its links."""
         total = np.concatenate([np.zeros(1, np.int64), np.cumsum(per_link)])
-        ends = np.cumsum(self.links)
-        return total[ends] - total[ends - self.links]
+        ends = np.cumsum(self.found.n_links)
+        return total[ends] - total[ends - self.found.n_links]
+
+    def told(self) -> pa.Array:
+        """The groups of each text."""
+        offsets = np.append(self.first, len(self.unit)).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), self.found.told().take(pa.array(self.unit))), "")
+        return pc.utf8_rtrim(texts, ";")
 
 
-def _blocks(units: Units, texts: pa.Array) -> Iterator[Block]:
+def _blocks(tokens: Tokens, texts: pa.Array) -> Iterator[Block]:
     """The texts that have any bytes, split into units; regular white space is split by Arrow."""
     irregular = pc.match_substring_regex(texts, _IRREGULAR)
     rows = np.arange(len(texts))
     plain = pc.and_(pc.greater(pc.binary_length(texts), 0), pc.invert(irregular)).fill_null(False).to_numpy(zero_copy_only=False)
     if plain.any():
         words = pc.split_pattern(texts.filter(pa.array(plain)), " ")
-        yield Block(units, rows[plain], words.flatten(), pc.list_value_length(words).to_numpy().astype(np.int64))
+        yield Block(tokens, rows[plain], words.flatten(), pc.list_value_length(words).to_numpy().astype(np.int64))
     odd = irregular.fill_null(False).to_numpy(zero_copy_only=False)
     if odd.any():
         split = [[u[1:] for u in _UNIT.split(f" {t}")] for t in texts.filter(pa.array(odd)).to_pylist()]
-        yield Block(units, rows[odd], pa.array([u for s in split for u in s], pa.string()), np.array([len(s) for s in split], np.int64))
+        yield Block(tokens, rows[odd], pa.array([u for s in split for u in s], pa.string()), np.array([len(s) for s in split], np.int64))
 
 
 def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -198,12 +219,11 @@ def pair_counts(documents: DataFrame, paths: PATHS) -> DataFrame:
     """``pair, n``: the different pair keys of each task's texts with their number of links."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, keys, counts, size = _units(paths), [], [], 0
+        tokens, keys, counts, size = _tokens(paths), [], [], 0
         for batch in batches:
             for piece in _sliced(batch):
-                for block in _blocks(units, piece["text"]):
-                    held = np.bincount(block.unit, minlength=len(block.found))
-                    key, n = _merged([block.pairs()], [np.repeat(held, block.links)])
+                for block in _blocks(tokens, piece["text"]):
+                    key, n = _merged([block.found.pairs], [np.repeat(block.held, block.found.n_links)])
                     keys.append(key[n > 0])
                     counts.append(n[n > 0])
                     size += len(keys[-1])
@@ -327,28 +347,26 @@ def align(documents: DataFrame, paths: PATHS, segment_keys: int = SEGMENT_KEYS)
     its links' corpus-wide counts, and ``groups``, the aligned ids as `a1,a2|b1;a3|b2,b3`. ``paths`` name
     a byte-level BPE tokenizer and a sentence-piece model that puts a space before the text."""
     counted = staged(pair_counts(documents, paths))
-    n_b = Units(paths).n_b
+    n_b = _tokens(paths).n_b
     shared, best = corpus_counts(documents.sparkSession, counted, n_b, segment_keys)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, corpus = _units(paths), Counts(shared)
+        tokens, corpus = _tokens(paths), Counts(shared)
         for batch in batches:
             for piece in _sliced(batch):
                 values = np.zeros((len(_NUMBERS), len(piece)), np.int64)
                 rows, texts = [np.zeros(0, np.int64)], []
-                for block in _blocks(units, piece["text"]):
-                    pairs = block.pairs()
-                    used = np.repeat(np.bincount(block.unit, minlength=len(block.found)) > 0, block.links)
-                    counts = np.zeros(len(pairs), np.int64)
-                    key, inverse = np.unique(pairs[used], return_inverse=True)
+                for block in _blocks(tokens, piece["text"]):
+                    found = block.found
+                    used = np.repeat(block.held > 0, found.n_links)
+                    counts = np.zeros(len(used), np.int64)
+                    key, inverse = np.unique(found.pairs[used], return_inverse=True)
                     counts[used] = corpus.look_up(key)[inverse]
-                    for k in range(4):
-                        values[k, block.rows] = block.sums(np.array([f[k] for f in block.found], np.int64))
-                    values[4, block.rows] = block.sums(block.unit_sums((counts == best[pairs % n_b]).astype(np.int64) * used))
-                    values[5, block.rows] = block.sums(block.unit_sums(counts))
-                    told = pa.array([f[5] for f in block.found], pa.string()).take(pa.array(block.unit))
-                    offsets = np.append(block.first, len(block.unit)).astype(np.int32)
-                    texts.append(pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), told), ";"))
+                    best_links = used & (counts == best[found.pairs % n_b])
+                    per_unit = [found.n_a, found.n_b, found.n_groups, found.n_links, block.unit_sums(best_links), block.unit_sums(counts)]
+                    for k, number in enumerate(per_unit):
+                        values[k, block.rows] = block.sums(number)
+                    texts.append(block.told())
                     rows.append(block.rows)
                 at = np.concatenate(rows)
                 place = np.full(len(piece), len(at), np.int64)  # rows without tokens take the empty text
