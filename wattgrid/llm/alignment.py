@@ -22,8 +22,8 @@ that tie with its highest count are best ones. Extra columns are ignored; an emp
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,9 @@ SEGMENT_KEYS = 1 << 21
 PART_KEYS = 1 << 15
 SLICE = 1 << 14
 FAN = 64
-SLICE_BYTES = 16 << 20
-ENCODED_AT_ONCE = 20_000
+SLICE_BYTES = 8 << 20
+JOINED = 128
+LOTS_AT_ONCE = 64
 
 # A space that follows white space (or begins the text) may belong to what stands before it.
 _IRREGULAR = r"[\t\n\x0b\f\r\x1c-\x1f \x{85}\p{Z}] |^ "
@@ -54,7 +55,8 @@ PATHS = tuple[str, str]
 
 
 class Tokens:
-    """Both tokenizers of a process, with the bytes of their tokens."""
+    """Both tokenizers, with the bytes of their tokens. Made by each task: a copied tokenizer forgets that
+    special tokens are plain text."""
 
     def __init__(self, paths: PATHS):
         import sentencepiece
@@ -77,64 +79,75 @@ class Tokens:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both tokenizers for each unit with its leading space."""
-        a = [e.ids for e in self.a.encode_batch_fast([f" {u}" for u in units], add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both tokenizers for each text with a leading space."""
+        a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
         # The sentence-piece model puts the space itself, but gives an empty text no token.
-        return a, [ids if u else [self.space] for u, ids in zip(units, self.b.encode(units, num_threads=1))]
+        return a, [ids if t else [self.space] for t, ids in zip(texts, self.b.encode(texts, num_threads=1))]
 
-    def given_back(self, units: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
-        """Whether both tokenizers' bytes are the unit's bytes."""
-        raw = [f" {u}".encode() for u in units]
+    def given_back(self, texts: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Whether both tokenizers' bytes are the text's bytes."""
+        raw = [f" {t}".encode() for t in texts]
         joined = [[b"".join([table[i] for i in ids]) for ids in lists] for table, lists in ((self.bytes_a, a), (self.bytes_b, b))]
         return np.array([r == x == y for r, x, y in zip(raw, *joined)], bool)
 
 
-_LOADED: dict[PATHS, Tokens] = {}
-
-
-def _tokens(paths: PATHS) -> Tokens:
-    """The process's tokenizers."""
-    if paths not in _LOADED:
-        _LOADED[paths] = Tokens(paths)
-    return _LOADED[paths]
-
-
-def _flat(lists: list[list[int]]) -> np.ndarray:
+def _flat(lists: Iterable[list[int]]) -> np.ndarray:
     return np.fromiter(chain.from_iterable(lists), np.int64)
 
 
 class Aligned:
-    """The alignment of different units, each given without its leading space: per unit the numbers of
-    tokens, groups and links, and the pair key of each link, unit after unit. Units that a tokenizer does not
-    give back are not ``good`` and have no tokens."""
-
-    def __init__(self, tokens: Tokens, units: list[str]):
-        parts = []
-        for at in range(0, len(units), ENCODED_AT_ONCE):  # the tokenizers' results are large objects
-            some = units[at : at + ENCODED_AT_ONCE]
-            a, b = tokens.encode(some)
-            good = tokens.given_back(some, a, b)
-            if not good.all():
-                a, b = ([ids if ok else [] for ids, ok in zip(lists, good)] for lists in (a, b))
-            parts.append((good, _flat(a), _flat(b), np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)))
-        self.good, a, b, self.n_a, self.n_b = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 5
-        self.tokens, self.a, self.b = tokens, a, b
+    """The alignment of different units, given without their leading spaces. ``place`` is the number that
+    each unit has here; by it stand the numbers of tokens, groups and links of the units, and behind one
+    another the pair keys of their links. Units that a tokenizer does not give back are the last ones, from
+    ``n_good`` on, and have no tokens."""
+
+    def __init__(self, tokens: Tokens, words: pa.Array):
+        units = words.to_pylist()
+        # Units that end visibly can be read as one text: the space of the next one is a shared cut.
+        joined = [i for i, u in enumerate(units) if u and not u[-1].isspace()]
+        lots = [joined[at : at + JOINED] for at in range(0, len(joined), JOINED)]
+        lots += [[i] for i, u in enumerate(units) if not u or u[-1].isspace()]
+        order, bad, a, b = [], [], [], []
+        for at in range(0, len(lots), LOTS_AT_ONCE):  # the tokenizers' results are large objects
+            self._encode(tokens, units, lots[at : at + LOTS_AT_ONCE], order, bad, a, b)
+        self.n_good = len(order)
+        self.tokens, self.a, self.b = tokens, *(np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
+        order = np.array(order + bad, np.int64)
+        self.place = np.empty(len(units), np.int64)
+        self.place[order] = np.arange(len(units))
         # All units stand behind one another; every unit's end is a cut of both tokenizers.
-        end_a, end_b = np.cumsum(tokens.sizes[0][a]), np.cumsum(tokens.sizes[1][b])
-        cut_a, cut_b = (np.zeros((int(end_a[-1]) if len(a) else 0) + 1, bool) for _ in range(2))
+        size = pc.binary_length(words).to_numpy()[order].astype(np.int64) + 1
+        size[self.n_good :] = 0
+        end_a, end_b = np.cumsum(tokens.sizes[0][self.a]), np.cumsum(tokens.sizes[1][self.b])
+        cut_a, cut_b = (np.zeros(int(size.sum()) + 1, bool) for _ in range(2))
         cut_a[end_a] = cut_b[end_b] = True
         cuts = np.flatnonzero(cut_a | cut_b)
-        # The bytes up to a cut belong to the tokens that begin after the cuts before it.
-        self.link_a = np.cumsum(cut_a)[cuts] - cut_a[cuts]
-        self.link_b = np.cumsum(cut_b)[cuts] - cut_b[cuts]
-        self.pairs = a[self.link_a] * tokens.n_b + b[self.link_b]
+        cut_a, cut_b = cut_a[cuts], cut_b[cuts]
         shared = cut_a & cut_b
-        self.group_a, self.group_b = (np.cumsum(shared)[e] - shared[e] for e in (end_a, end_b))
-        # Up to and with each unit: its last token of A ends where the unit does.
-        last = np.cumsum(self.n_a)
-        ends = np.concatenate([np.zeros(1, np.int64), end_a])[last]
-        self.n_links, self.n_groups = (np.diff(np.cumsum(x)[ends], prepend=0) for x in (cut_a | cut_b, shared))
+        # What ends at a cut belongs to the tokens and the group that begin after the cuts before it.
+        a_before, b_before, g_before = (np.cumsum(c) - c for c in (cut_a, cut_b, shared))
+        self.pairs = self.a[a_before] * tokens.n_b + self.b[b_before]
+        self.group_a, self.group_b = g_before[cut_a], g_before[cut_b]
+        units_end = np.searchsorted(cuts, np.cumsum(size), side="right")
+        # The numbers of cuts of either kind up to each unit's end.
+        upto = lambda c: np.concatenate([np.zeros(1, np.int64), np.cumsum(c)])[units_end]
+        self.n_links = np.diff(units_end, prepend=0)
+        self.n_a, self.n_b, self.n_groups = (np.diff(upto(c), prepend=0) for c in (cut_a, cut_b, shared))
+
+    def _encode(self, tokens: Tokens, units: list[str], lots: list[list[int]], order: list, bad: list, a: list, b: list) -> None:
+        """Append the lots' units and ids; a lot that is not given back is tried unit by unit."""
+        texts = [" ".join([units[i] for i in lot]) for lot in lots]
+        ids_a, ids_b = tokens.encode(texts)
+        good = tokens.given_back(texts, ids_a, ids_b)
+        order += chain.from_iterable(compress(lots, good))
+        a.append(_flat(compress(ids_a, good)))
+        b.append(_flat(compress(ids_b, good)))
+        left = [lot for lot, ok in zip(lots, good) if not ok]
+        bad += [lot[0] for lot in left if len(lot) == 1]
+        single = [[i] for lot in left if len(lot) > 1 for i in lot]
+        for at in range(0, len(single), JOINED):
+            self._encode(tokens, units, single[at : at + JOINED], order, bad, a, b)
 
     def told(self) -> pa.Array:
         """The groups of each unit as text, each with a semicolon behind it."""
@@ -156,14 +169,14 @@ class Block:
 
     def __init__(self, tokens: Tokens, rows: np.ndarray, words: pa.Array, counts: np.ndarray):
         coded = words.dictionary_encode()
-        self.found = Aligned(tokens, coded.dictionary.to_pylist())
-        self.unit = coded.indices.to_numpy()
-        if not self.found.good.all():
-            bad = np.logical_or.reduceat(~self.found.good[self.unit], np.cumsum(counts) - counts)
+        self.found = Aligned(tokens, coded.dictionary)
+        self.unit = self.found.place[coded.indices.to_numpy()]
+        if self.found.n_good < len(self.found.place):
+            bad = np.maximum.reduceat(self.unit, np.cumsum(counts) - counts) >= self.found.n_good
             self.unit = self.unit[np.repeat(~bad, counts)]
             rows, counts = rows[~bad], counts[~bad]
         self.rows, self.first = rows, np.cumsum(counts) - counts
-        self.held = np.bincount(self.unit, minlength=len(self.found.good))
+        self.held = np.bincount(self.unit, minlength=len(self.found.place))
 
     def sums(self, per_unit: np.ndarray) -> np.ndarray:
         """For each text the sum over its units."""
@@ -219,7 +232,7 @@ def pair_counts(documents: DataFrame, paths: PATHS) -> DataFrame:
     """``pair, n``: the different pair keys of each task's texts with their number of links."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, keys, counts, size = _tokens(paths), [], [], 0
+        tokens, keys, counts, size = Tokens(paths), [], [], 0
         for batch in batches:
             for piece in _sliced(batch):
                 for block in _blocks(tokens, piece["text"]):
@@ -347,11 +360,11 @@ def align(documents: DataFrame, paths: PATHS, segment_keys: int = SEGMENT_KEYS)
     its links' corpus-wide counts, and ``groups``, the aligned ids as `a1,a2|b1;a3|b2,b3`. ``paths`` name
     a byte-level BPE tokenizer and a sentence-piece model that puts a space before the text."""
     counted = staged(pair_counts(documents, paths))
-    n_b = _tokens(paths).n_b
+    n_b = Tokens(paths).n_b
     shared, best = corpus_counts(documents.sparkSession, counted, n_b, segment_keys)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, corpus = _tokens(paths), Counts(shared)
+        tokens, corpus = Tokens(paths), Counts(shared)
         for batch in batches:
             for piece in _sliced(batch):
                 values = np.zeros((len(_NUMBERS), len(piece)), np.int64)
