@@ -21,6 +21,7 @@ that tie with its highest count are best ones. Extra columns are ignored; an emp
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable, Iterator
 from itertools import chain, compress
@@ -38,7 +39,7 @@ SEGMENT_KEYS = 1 << 21
 PART_KEYS = 1 << 15
 SLICE = 1 << 14
 FAN = 64
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 5 << 20
 JOINED = 128
 LOTS_AT_ONCE = 64
 
@@ -59,6 +60,7 @@ class Tokens:
     special tokens are plain text."""
 
     def __init__(self, paths: PATHS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
 
