@@ -58,7 +58,7 @@ class TreeParams:
 # The tuned configuration of the next-hour model, shared by the day-ahead model.
 TUNED = TreeParams(
     rounds=221, depth=6, rate=0.03567663137948074, row_share=0.8099098641033556, column_share=0.6727299868828402,
-    min_weight=10.0, l1=0.0, l2=1.0,
+    min_weight=10.0, l1=0.007066305219717406, l2=1.092249700165663,
 )
 
 

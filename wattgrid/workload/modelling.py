@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattgrid.functions.timeaxis import DAY
-from wattgrid.operators import boosting, features as ft, forecast, metrics as mt, validation
+from wattgrid.operators import boosting, features as ft, forecast, metrics as mt, trees, validation
 from wattgrid.session import scratch_path, staged
 from wattgrid.sources import tables
 from wattgrid.workload import base as b
@@ -129,11 +131,70 @@ def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosting.feature_importances(spark, boosting.fit_direct(matrix, names, params=SMALL), 15)
 
 
+FIRST_FEATURES = ["lag_1", "lag_24", "lag_168", "hour", "dayofweek"]
+FIRST = trees.TreeParams(rounds=2, depth=2, rate=0.5, row_share=1.0, column_share=1.0, min_weight=5, l1=0.5, l2=2.0)
+FIRST_BINS = 8
+
+
+def boosted_first_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two trees of a fit without draws, all candidates' rules but small enough to follow in SQL."""
+    matrix = staged(b.featured(spark, sf_dir).select("series_id", "ts", "split", "y", *FIRST_FEATURES))
+    model = trees.fit(matrix, FIRST_FEATURES, FIRST, bins=FIRST_BINS)
+    return b.rounded(trees.score({"boosted": model}, matrix.where(F.col("split") == "test")), 4)
+
+
+def _first_trees_sql() -> str:
+    """The same in SQL: cut points, then per level the sums by node, feature and bin, and the best split."""
+    p, n = FIRST, len(FIRST_FEATURES)
+    t = lambda x: f"sign({x}) * greatest(abs({x}) - {p.l1}, 0)"
+    score = lambda g, h: f"pow({t(g)}, 2) / ({h} + {p.l2})"
+    parts = [
+        b.FEATURED,
+        "every AS (SELECT row_number() OVER (ORDER BY series_id, ts) AS id, * FROM featured)",
+        f"long AS (SELECT id, split, unnest(range(0, {n})) AS f, unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in FIRST_FEATURES)}]) AS x FROM every)",
+        "ranked AS (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) AS rn, count(*) OVER (PARTITION BY f) AS n FROM long WHERE split = 'train')",
+        f"edges AS (SELECT DISTINCT f, x AS e FROM ranked, (SELECT unnest(range(1, {FIRST_BINS})) AS k) AS ks WHERE rn = ceil(n * k / {FIRST_BINS}))",
+        "binned AS (SELECT id, l.f, count(e) AS bin FROM long l LEFT JOIN edges ON l.f = edges.f AND e <= x GROUP BY 1, 2)",
+        "m0 AS (SELECT id, split, y, (SELECT avg(y) FROM every WHERE split = 'train') AS p FROM every)",
+    ]
+    for tree in range(1, p.rounds + 1):
+        node = f"n{tree}_0"
+        parts.append(f"{node} AS (SELECT *, 0 AS node FROM m{tree - 1})")
+        for level in range(p.depth):
+            tag = f"{tree}_{level}"
+            parts += [
+                f"h{tag} AS (SELECT node, f, bin, sum(p - y) AS g, count(*) AS h FROM {node} JOIN binned USING (id) "
+                f"WHERE split = 'train' AND node >= {2**level - 1} GROUP BY ALL)",
+                f"c{tag} AS (SELECT node, f, bin, sum(g) OVER w AS lg, sum(h) OVER w AS lh, sum(g) OVER v AS tg, sum(h) OVER v AS th FROM h{tag} "
+                "WINDOW w AS (PARTITION BY node, f ORDER BY bin), v AS (PARTITION BY node, f))",
+                f"q{tag} AS (SELECT node, f, bin, ({score('lg', 'lh')} + {score('(tg - lg)', '(th - lh)')} - {score('tg', 'th')}) / 2 AS gain "
+                f"FROM c{tag} WHERE lh >= {p.min_weight} AND th - lh >= {p.min_weight})",
+                f"s{tag} AS (SELECT node, f AS sf, bin AS sbin FROM (SELECT *, max(gain) OVER (PARTITION BY node) AS top FROM q{tag}) "
+                "WHERE gain > 1e-12 AND gain >= top * (1 - 1e-9) QUALIFY row_number() OVER (PARTITION BY node ORDER BY f, bin) = 1)",
+                f"n{tree}_{level + 1} AS (SELECT x.id, x.split, x.y, x.p, CASE WHEN sf IS NULL THEN x.node ELSE 2 * x.node + 1 + CAST(bin > sbin AS INTEGER) END AS node "
+                f"FROM {node} x LEFT JOIN s{tag} s ON x.node = s.node LEFT JOIN binned b ON x.id = b.id AND s.sf = b.f)",
+            ]
+            node = f"n{tree}_{level + 1}"
+        parts += [
+            f"v{tree} AS (SELECT node, -{p.rate} * ({t('sum(p - y)')}) / (count(*) + {p.l2}) AS v FROM {node} WHERE split = 'train' GROUP BY 1)",
+            f"m{tree} AS (SELECT id, split, y, p + v AS p FROM {node} JOIN v{tree} USING (node))",
+        ]
+    return (
+        f"WITH {', '.join(parts)} SELECT series_id, 'boosted' AS model, 'h=1' AS horizon, ts, {b.r('y_true', 4, 'm.y')}, {b.r('y_pred', 4, 'p')} "
+        f"FROM m{p.rounds} m JOIN every USING (id) WHERE m.split = 'test'"
+    )
+
+
+SEARCH_ROUNDS = 2
+FOLD_ROUNDS = 10
+
+
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 20 candidates over all 5 folds at their drawn settings, but for the number of rounds."""
     matrix, names = _matrix(spark, sf_dir)
-    candidates = [boosting.BoostParams(**{**vars(p), "rounds": 2, "depth": 2 + i}) for i, p in enumerate(boosting.draw_params(2))]
-    found = boosting.random_search(matrix, names, candidates, n_splits=2)
-    return boosting.score(found.model, matrix.where(F.col("split") == "test"), "boosted_tuned")
+    candidates = [dataclasses.replace(p, rounds=SEARCH_ROUNDS) for p in trees.draw_params()]
+    model, _ = trees.search(matrix, names, candidates)
+    return trees.score({"boosted_tuned": model}, matrix.where(F.col("split") == "test"))
 
 
 def reload_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +322,7 @@ def cv_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cv_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix, names = _matrix(spark, sf_dir)
-    return boosting.cv_boosted(matrix, names, n_splits=2, params=boosting.BoostParams(rounds=2, depth=3, max_bins=32))
+    return trees.cross_validate(matrix, names, trees.TreeParams(rounds=FOLD_ROUNDS))
 
 
 def cv_seasonal_ar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +474,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     "fc1_naive_forecasts": (naive_forecasts, f"WITH {b.NAIVE} SELECT series_id, model, horizon, ts, {b.r('y_true')}, {b.r('y_pred')} FROM naive"),
     "fc2_boosted_early_stopping": (boosted_early_stopping, None),
     "fc3_boosted_direct": (boosted_direct, None),
+    "fc3_boosted_first_trees": (boosted_first_trees, _first_trees_sql()),
     "fc4_feature_importances": (feature_importances, None),
     "fc5_random_search": (random_search, None),
     "fc6_seasonal_ar_fit": (
