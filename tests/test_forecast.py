@@ -95,3 +95,51 @@ def test_cv_of_the_seasonal_model(split):
     folds = boosting.cv_seasonal_ar(split, n_splits=3, fit_window=200).collect()
     assert sorted((r["series_id"], r["fold"]) for r in folds) == [(s, f) for s in "ab" for f in (1, 2, 3)]
     assert all(r["val_mae"] < 2 for r in folds)
+
+
+def test_nearest_times_equal_brute_force(spark):
+    """Requests before, between, on and after the rows, in buckets without any, of unknown series and without a time."""
+    import datetime as dt
+    import random
+
+    rng, start = random.Random(4), dt.datetime(2024, 1, 1)
+    rows = {s: sorted({start + dt.timedelta(minutes=30 * rng.randrange(4000)) for _ in range(60)}) for s in "ab"}
+    rows["b"] = [t for t in rows["b"] if not start + dt.timedelta(days=20) < t < start + dt.timedelta(days=60)]
+    asked = [(k, rng.choice("ab"), start + dt.timedelta(minutes=15 * rng.randrange(-500, 9000))) for k in range(400)]
+    asked += [(500, "a", rows["a"][3]), (501, "a", rows["a"][0] + (rows["a"][1] - rows["a"][0]) / 2), (502, "c", start), (503, None, start), (504, "a", None), (505, "a", rows["a"][3])]
+    table = spark.createDataFrame([(s, t) for s in rows for t in rows[s]] + [(None, start)], "series_id string, ts timestamp_ntz")
+    requests = spark.createDataFrame(asked, "k int, series_id string, requested timestamp_ntz")
+    expected = {}
+    for _, s, t in asked:
+        near = rows.get(s, [start] if s is None else [])
+        expected[s, t] = min(near, key=lambda r: (abs(r - t), -r.timestamp()), default=None) if t is not None else None
+    for width in (3, 50, 4096):
+        found = forecast.nearest_times(requests, table, rows=width).collect()
+        assert {(r["series_id"], r["requested"]): r["ts"] for r in found} == expected
+        assert len(found) == len(expected)
+    scored = table.where("series_id IS NOT NULL").selectExpr(
+        "series_id", "inline(array(struct('m' AS model, 'h=1' AS horizon, 1.0D AS y_pred), struct('m' AS model, 'h=24' AS horizon, 3.0D AS y_pred)))", "ts", "2.0D AS y_true"
+    ).where("horizon = 'h=1' OR series_id = 'a'")
+    found = forecast.forecast_requests(requests, scored).collect()
+    number = {"a": 2, "b": 1}
+    assert len(found) == sum(number.get(s, 1) if t is not None else 1 for _, s, t in asked)
+    assert {(r["k"], r["horizon"]): r["error"] for r in found if r["k"] in (500, 502, 504)} == {(500, "h=1"): -1.0, (500, "h=24"): 1.0, (502, None): None, (504, None): None}
+
+
+def test_chain_survives_one_missing_value(make):
+    """Features, warm-up, day-ahead matrix and scale of a series with one missing target: rows are counted."""
+    from wattgrid.operators import features as ft
+    from wattgrid.operators import metrics as mt
+
+    values = [float(i % 24 + i / 100) for i in range(400)]
+    values[200] = None
+    kept = ft.drop_warmup(ft.chronological_split(ft.build_features(make({"a": values}), lags=[1], windows=[2]), "2024-01-16"))
+    times = [r["ts"] for r in kept.orderBy("ts").collect()]
+    lags = [r["lag_1"] for r in kept.orderBy("ts").collect()]
+    moved = ft.direct_matrix(kept, 24).orderBy("ts").collect()
+    assert len(times) == 400 - 2 - 2 and len(moved) == len(times) - 24 - 1  # the row of the hole has no target
+    at = {t: i for i, t in enumerate(times)}
+    assert [r["lag_1"] for r in moved] == [lags[at[r["ts"]] - 24] for r in moved]
+    train = [r["y"] for r in kept.where("split = 'train'").orderBy("ts").collect()]
+    expected = [abs(b - a) for a, b in zip(train, train[24:]) if a is not None and b is not None]
+    assert mt.seasonal_naive_scale(kept.where("split = 'train'")).first()["scale"] == pytest.approx(sum(expected) / len(expected))

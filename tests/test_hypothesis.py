@@ -188,3 +188,14 @@ def test_odd_series_keep_their_rows(odd):
     assert tests["good"]["verdict"] == "stationary" and tests["dead"]["verdict"] is None and tests["void"]["kpss_stat"] is None
     assert tests["short"]["adf_stat"] is None and tests["short"]["kpss_stat"] is not None
     assert set(by_series(hy.summarize(odd, ljung_lags=[24]))) == set(tests)
+
+
+def test_dead_meter_changes_no_other_bandwidth(make, monkeypatch):
+    """A constant series has no KPSS result and does not widen the pass over the others."""
+    reaches = []
+    products = hy.bucket_products
+    monkeypatch.setattr(hy, "bucket_products", lambda df, reach, *rest: reaches.append(reach) or products(df, reach, *rest))
+    found = {r["series_id"]: r for r in hy.kpss(make({"noise": NOISE, "dead": np.full(900, 2.0)})).collect()}
+    alone = hy.kpss(make({"noise": NOISE})).first()
+    assert found["noise"] == alone and found["dead"]["kpss_stat"] is None and found["dead"]["kpss_lags"] is None
+    assert reaches[:2] == reaches[2:]

@@ -88,6 +88,7 @@ def rolling_statistics(
     daily: int = 24,
     weekly: int = 168,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
     """Daily and weekly rolling mean, weekly deviation and its band; the current row is included."""
 
@@ -95,7 +96,7 @@ def rolling_statistics(
         return rolling_columns(d, over, sorted({daily, weekly}), target, shift=0, prefix="__r")
 
     rolled = over_neighbours(
-        df.select(*as_keys(keys), ts, target), build, keys=keys, ts=ts, step=step, before=max(daily, weekly), rows=rows
+        df.select(*as_keys(keys), ts, target), build, keys=keys, ts=ts, step=step, before=max(daily, weekly), rows=rows, gaps=gaps
     )
     mean, std = F.col(f"__r_mean_{weekly}"), F.col(f"__r_std_{weekly}")
     return rolled.select(

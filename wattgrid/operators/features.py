@@ -173,8 +173,10 @@ def build_features(
     step: int = HOUR,
     calendar: DataFrame | None = None,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
-    """All feature families; lags and rolling windows share one shuffle and one sort.
+    """All feature families; lags and rolling windows share one shuffle and one sort (``gaps`` as in
+    ``over_neighbours``).
 
     The date columns are computed between two window steps. That keeps the generated code of each
     step small enough to be compiled, and the columns out of the shuffle.
@@ -186,7 +188,7 @@ def build_features(
         return rolling_columns(flagged, over, windows, target)
 
     made = over_neighbours(
-        df, build, keys=keys, ts=ts, step=step, before=max([*lags, *windows]), rows=rows
+        df, build, keys=keys, ts=ts, step=step, before=max([*lags, *windows]), rows=rows, gaps=gaps
     )
     if calendar is not None:
         made = add_holiday_flag(made, ts, calendar)
@@ -244,11 +246,13 @@ def direct_matrix(
     step: int = HOUR,
     include_origin: bool = False,
     rows: int | None = None,
+    gaps: str = "rows",
 ) -> DataFrame:
     """Matrix for forecasting ``horizon`` steps ahead, one row per predicted timestamp.
 
     Calendar columns are those of the predicted time; lag and rolling columns are the ones known
-    ``horizon`` rows earlier. With ``include_origin`` the value at the origin itself is added.
+    ``horizon`` rows earlier. With ``include_origin`` the value at the origin itself is added. The
+    input has usually lost rows (``drop_warmup``), so rows are counted by position.
     """
     history = history_columns(df)
 
@@ -260,7 +264,7 @@ def direct_matrix(
         return d.selectExpr(*rest, *moved)
 
     names = as_keys(keys)
-    moved = over_neighbours(df, shifted, keys=names, ts=ts, step=step, before=horizon, rows=rows)
+    moved = over_neighbours(df, shifted, keys=names, ts=ts, step=step, before=horizon, rows=rows, gaps=gaps)
     features = [*CALENDAR_FEATURES, *history, *(["origin_value"] if include_origin else [])]
     return moved.dropna(subset=[*features, target]).select(*names, ts, "split", target, *features)
 
@@ -283,6 +287,7 @@ def lookback_windows(
     start: str | None = None,
     stop: str | None = None,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
     """``(window, y)`` pairs: the ``length`` values before each row of ``[start, stop)``."""
     names = as_keys(keys)
@@ -296,7 +301,7 @@ def lookback_windows(
         lambda d, over: d.selectExpr(
             "*", f"{_members(target)} OVER ({over} ROWS BETWEEN {length} PRECEDING AND 1 PRECEDING) AS window"
         ),
-        keys=names, ts=ts, step=step, before=length, rows=rows,
+        keys=names, ts=ts, step=step, before=length, rows=rows, gaps=gaps,
     ).where(F.size("window") == length).withColumn("window", F.col(f"window.{MEMBER}"))
     if start is not None:
         made = made.where(F.col(ts) >= lit_ts(start))
@@ -314,6 +319,7 @@ def context_windows(
     start: str | None = None,
     strict: bool = True,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
     """The ``context`` values that end ``horizon`` rows before each target row.
 
@@ -329,7 +335,7 @@ def context_windows(
         lambda d, over: d.selectExpr(
             "*", f"{_members(target)} OVER ({over} ROWS BETWEEN {reach} PRECEDING AND {horizon} PRECEDING) AS context"
         ),
-        keys=names, ts=ts, step=step, before=reach, rows=rows,
+        keys=names, ts=ts, step=step, before=reach, rows=rows, gaps=gaps,
     )
     if start is not None:
         made = made.where(F.col(ts) >= lit_ts(start))
@@ -371,12 +377,13 @@ def seasonal_difference(
     ts: str = "ts",
     step: int = HOUR,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
-    """``y - y(period rows earlier)``, undefined rows dropped."""
+    """``y - y(period rows earlier)``, undefined rows dropped (``gaps`` as in ``over_neighbours``)."""
     made = over_neighbours(
         df,
         lambda d, over: d.selectExpr("*", f"{quoted(target)} - lag({quoted(target)}, {period}) OVER ({over}) AS {quoted(name)}"),
-        keys=keys, ts=ts, step=step, before=period, rows=rows,
+        keys=keys, ts=ts, step=step, before=period, rows=rows, gaps=gaps,
     )
     return made.where(F.col(name).isNotNull())
 

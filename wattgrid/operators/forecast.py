@@ -6,11 +6,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from wattgrid.functions.timeaxis import HOUR, as_keys, lit_ts, plus_seconds, quoted, seconds_between
+from wattgrid.functions.timeaxis import HOUR, as_keys, lit_ts, naive, plus_seconds, quoted, seconds_between
 from wattgrid.operators.features import recent_tail
-from wattgrid.plans.buckets import attach, over_neighbours
+from wattgrid.plans.buckets import BUCKET, BUCKET_ROWS, attach, bucket_of, over_neighbours
 
 NAIVE_LAGS = [1, 24, 168]
 FIT_WINDOW = 90 * 24
@@ -42,7 +42,7 @@ def align_predictions(
 
 
 def _seasonal_terms(
-    df: DataFrame, period: int, target: str, names: list[str], ts: str, step: int, rows: int | None
+    df: DataFrame, period: int, target: str, names: list[str], ts: str, step: int, rows: int | None, gaps: str
 ) -> DataFrame:
     """Seasonal difference ``d`` and its lags 1, period, period + 1, with the seasonal base."""
     def build(d: DataFrame, over: str) -> DataFrame:
@@ -60,7 +60,7 @@ def _seasonal_terms(
         )
 
     slim = df.select(*names, ts, F.col(target).cast("double").alias(target), "split")
-    return over_neighbours(slim, build, keys=names, ts=ts, step=step, before=2 * period + 1, rows=rows)
+    return over_neighbours(slim, build, keys=names, ts=ts, step=step, before=2 * period + 1, rows=rows, gaps=gaps)
 
 
 _TERMS = ["one", "d1", "d2", "d3"]
@@ -93,6 +93,7 @@ def fit_seasonal_ar(
     ts: str = "ts",
     step: int = HOUR,
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
     """Regress the seasonal difference on its lags 1, period and period + 1, per series.
 
@@ -101,7 +102,7 @@ def fit_seasonal_ar(
     """
     names = as_keys(keys)
     train = df.where(F.col("split") == "train")
-    terms = _seasonal_terms(train, period, target, names, ts, step, rows)
+    terms = _seasonal_terms(train, period, target, names, ts, step, rows, gaps)
     if fit_window is not None:
         terms = recent_tail(terms, fit_window, names, ts, step)
     used = terms.dropna(subset=["d", "d1", "d2", "d3"]).withColumn("one", F.lit(1.0))
@@ -126,11 +127,12 @@ def seasonal_ar_forecast(
     model: str = "seasonal_ar",
     split: str = "test",
     rows: int | None = None,
+    gaps: str = "fail",
 ) -> DataFrame:
     """One-step forecasts: the value one season back plus the fitted seasonal difference."""
     names = as_keys(keys)
     scored = attach(
-        _seasonal_terms(df, period, target, names, ts, step, rows).where(F.col("split") == split), fitted, names
+        _seasonal_terms(df, period, target, names, ts, step, rows, gaps).where(F.col("split") == split), fitted, names
     )
     y_pred = (
         F.col("base") + F.col("b_one") + F.col("b_d1") * F.col("d1") + F.col("b_d2") * F.col("d2") + F.col("b_d3") * F.col("d3")
@@ -163,6 +165,73 @@ def forecast_at(
     )
 
 
+def nearest_times(
+    requests: DataFrame,
+    table: DataFrame,
+    keys: str | Sequence[str] = "series_id",
+    requested: str = "requested",
+    ts: str = "ts",
+    step: int = HOUR,
+    rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """``(keys, requested, ts)``: for each different request the table's nearest timestamp of its series; of
+    two equally near ones the later. NULL where the series has no rows or the request no time.
+
+    Requests and rows meet in time buckets; what lies before and after a bucket comes from one row per
+    bucket, so neither a long series nor a hot one is gathered.
+    """
+    names = as_keys(keys)
+    asked = requests.select(*names, naive(requested).alias("__t")).distinct()
+    known = table.select(*names, naive(ts).alias("__t")).where("__t IS NOT NULL").distinct()
+    marks = known.select("*", F.col("__t").alias("__row"), F.lit(0).alias("__kind")).unionByName(
+        asked.select("*", F.lit(None).cast("timestamp_ntz").alias("__row"), F.lit(1).alias("__kind"))
+    ).withColumn(BUCKET, bucket_of("__t", step, rows))
+    buckets = marks.groupBy(*names, BUCKET).agg(F.min("__row").alias("__first"), F.max("__row").alias("__last"))
+    along = Window.partitionBy(*names).orderBy(BUCKET)
+    carried = buckets.select(
+        *names, BUCKET,
+        F.last("__last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
+        F.first("__first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
+    )
+    inside = Window.partitionBy(*names, BUCKET).orderBy("__t", "__kind")
+    placed = marks.select(
+        *names, BUCKET, "__t", "__kind",
+        F.last("__row", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("__low"),
+        F.first("__row", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing)).alias("__high"),
+    ).where("__kind = 1")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*names, BUCKET]]
+    met = placed.alias("r").join(carried.alias("c"), same)
+    low, high = F.coalesce("__low", "__before"), F.coalesce("__high", "__after")
+    later = seconds_between("__t", high) <= seconds_between(low, "__t")
+    near = F.when(low.isNull() | later, high).otherwise(low)
+    return met.select(*[F.col(f"r.{c}").alias(c) for c in names], F.col("__t").alias(requested), F.when(F.col("__t").isNotNull(), near).alias(ts))
+
+
+def forecast_requests(
+    requests: DataFrame,
+    scored: DataFrame,
+    keys: str | Sequence[str] = "series_id",
+    requested: str = "requested",
+    ts: str = "ts",
+    step: int = HOUR,
+    rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """Forecasts of every model and horizon at the row nearest to each requested time.
+
+    ``scored`` are rows of the prediction table, made by stored models from the matrices of their horizons.
+    All columns of ``requests`` are kept, with one row per model and horizon that has a forecast there; a
+    request whose series has none keeps one row with NULLs.
+    """
+    names = as_keys(keys)
+    near = nearest_times(requests, scored, names, requested, ts, step, rows)
+    found = [F.col(f"q.{c}").eqNullSafe(F.col(f"n.{c}")) for c in names] + [naive(F.col(f"q.{requested}")).eqNullSafe(F.col(f"n.{requested}"))]
+    placed = requests.alias("q").join(near.alias("n"), found, "left").select("q.*", F.col(f"n.{ts}").alias(ts))
+    each = F.struct("model", "horizon", F.col("y_true").alias("actual"), F.col("y_pred").alias("forecast"))
+    made = scored.groupBy(*names, ts).agg(F.sort_array(F.collect_list(each)).alias("__made"))
+    joined = placed.join(made, [*names, ts], "left").select(*[F.col(c) for c in requests.columns], ts, F.inline_outer("__made"))
+    return joined.withColumn("error", F.col("forecast") - F.col("actual"))
+
+
 def forecast_context(
     series: DataFrame, moment: str, before: int = 48, after: int = 6, ts: str = "ts", step: int = HOUR
 ) -> DataFrame:

@@ -353,7 +353,8 @@ def _kpss_sized(products: DataFrame, names: list[str]) -> DataFrame:
     s1 = _weighted(pilot, lambda i, c: i * c * 2 / n)
     ratio = s1 / F.nullif(s0, F.lit(0.0))
     gamma = F.pow(ratio * ratio, F.lit(1 / 3)) * 1.1447
-    bandwidth = F.least(F.floor(gamma * F.pow(n, F.lit(1 / 3))), n - 1).cast("int")
+    # A constant series has no bandwidth; it must not set the number of lags for the others.
+    bandwidth = F.when(ratio.isNotNull(), F.least(F.floor(gamma * F.pow(n, F.lit(1 / 3))), n - 1)).cast("int")
     return joined.select(*names, "n", "__sq", "__g", bandwidth.alias("kpss_lags"))
 
 

@@ -57,11 +57,13 @@ def seasonal_naive_scale(
     ts: str = "ts",
     step: int = HOUR,
     rows: int | None = None,
+    gaps: str = "rows",
 ) -> DataFrame:
-    """Mean absolute seasonal difference of the training target: ``(keys, scale)``."""
+    """Mean absolute seasonal difference of the training target: ``(keys, scale)``. Training rows may have
+    been dropped, so the period counts rows."""
     names = as_keys(keys)
     slim = train.select(*names, ts, F.col(target).cast("double").alias(target))
-    diffs = seasonal_difference(slim, period, target, "__d", names, ts, step, rows)
+    diffs = seasonal_difference(slim, period, target, "__d", names, ts, step, rows, gaps)
     return diffs.groupBy(*names).agg(F.avg(F.abs("__d")).alias("scale"))
 
 
@@ -210,14 +212,16 @@ def rolling_errors(
     keys: str | Sequence[str] = "series_id",
     ts: str = "ts",
     step: int = HOUR,
+    gaps: str = "rows",
 ) -> DataFrame:
-    """MAE and MASE over the last ``window`` realised grid points, per series and model."""
+    """MAE and MASE over the last ``window`` predictions, per series and model; hours without a
+    prediction do not count unless ``gaps='fail'`` forbids them."""
     names = as_keys(keys)
     errors = predictions.select(*names, "model", ts, F.abs(F.col("y_true") - F.col("y_pred")).alias("__err"))
     rolled = over_neighbours(
         errors,
         lambda d, over: rolling_columns(d, over, [window], "__err", shift=0, prefix="__r"),
-        keys=[*names, "model"], ts=ts, step=step, before=window,
+        keys=[*names, "model"], ts=ts, step=step, before=window, gaps=gaps,
     ).select(*names, "model", ts, F.col(f"__r_mean_{window}").alias("rolling_mae"))
     if isinstance(scale, DataFrame):
         rolled = attach(rolled, scale.select(*names, "scale"), names)

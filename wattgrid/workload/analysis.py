@@ -59,6 +59,13 @@ def kpss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(hy.kpss(_hourly(spark, sf_dir)))
 
 
+def kpss_dead_meter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A constant series beside the others: it has no result and changes no other one's."""
+    live = _hourly(spark, sf_dir).select("series_id", "ts", "y")
+    dead = live.select(F.concat(F.lit("dead "), "series_id").alias("series_id"), "ts", F.lit(3.0).alias("y"))
+    return b.rounded(hy.kpss(live.unionByName(dead)))
+
+
 def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joint reading over p-values spread across the event values."""
     pairs = b.table(spark, sf_dir, "events").select(
@@ -299,6 +306,10 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     ),
     "st5_adf": (adf, None),
     "st6_kpss": (kpss, f"WITH {_KPSS}"),
+    "st6_kpss_dead_meter": (
+        kpss_dead_meter,
+        f"WITH {_KPSS} UNION ALL SELECT DISTINCT 'dead ' || series_id, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT) FROM hourly",
+    ),
     "st7_verdict": (
         verdict,
         f"""WITH p AS (SELECT event_id, value / 5000 AS adf_pvalue, event_id % 100 / 1000 AS kpss_pvalue FROM events),

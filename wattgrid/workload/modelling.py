@@ -143,14 +143,14 @@ def boosted_first_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(trees.score({"boosted": model}, matrix.where(F.col("split") == "test")), 4)
 
 
-def _first_trees_sql() -> str:
-    """The same in SQL: cut points, then per level the sums by node, feature and bin, and the best split."""
+def _first_trees(source: str, horizon: str = "h=1") -> str:
+    """The same trees on a CTE in SQL: cut points, then per level the sums by node, feature and bin, and the
+    best split; the forecasts of its test rows."""
     p, n = FIRST, len(FIRST_FEATURES)
     t = lambda x: f"sign({x}) * greatest(abs({x}) - {p.l1}, 0)"
     score = lambda g, h: f"pow({t(g)}, 2) / ({h} + {p.l2})"
     parts = [
-        b.FEATURED,
-        "every AS (SELECT row_number() OVER (ORDER BY series_id, ts) AS id, * FROM featured)",
+        f"every AS (SELECT row_number() OVER (ORDER BY series_id, ts) AS id, * FROM {source})",
         f"long AS (SELECT id, split, unnest(range(0, {n})) AS f, unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in FIRST_FEATURES)}]) AS x FROM every)",
         "ranked AS (SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) AS rn, count(*) OVER (PARTITION BY f) AS n FROM long WHERE split = 'train')",
         f"edges AS (SELECT DISTINCT f, x AS e FROM ranked, (SELECT unnest(range(1, {FIRST_BINS})) AS k) AS ks WHERE rn = ceil(n * k / {FIRST_BINS}))",
@@ -180,8 +180,8 @@ def _first_trees_sql() -> str:
             f"m{tree} AS (SELECT id, split, y, p + v AS p FROM {node} JOIN v{tree} USING (node))",
         ]
     return (
-        f"WITH {', '.join(parts)} SELECT series_id, 'boosted' AS model, 'h=1' AS horizon, ts, {b.r('y_true', 4, 'm.y')}, {b.r('y_pred', 4, 'p')} "
-        f"FROM m{p.rounds} m JOIN every USING (id) WHERE m.split = 'test'"
+        f"(WITH {', '.join(parts)} SELECT series_id, 'boosted' AS model, '{horizon}' AS horizon, ts, m.y AS y_true, p AS y_pred "
+        f"FROM m{p.rounds} m JOIN every USING (id) WHERE m.split = 'test')"
     )
 
 
@@ -223,6 +223,31 @@ def forecast_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(forecast.forecast_at(b.naive_predictions(spark, sf_dir), "2024-01-26 18:30:00"))
 
 
+def direct_matrix_after_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain on a series whose target is missing here and there: its rows drop out of the features."""
+    holed = b.hourly(spark, sf_dir).withColumn("y", F.when(F.dayofmonth("ts") * 24 + F.hour("ts") != 500, F.col("y")))
+    made = ft.drop_warmup(ft.chronological_split(ft.build_features(holed, lags=[1, 24], windows=[24]), b.TEST_START))
+    return b.rounded(ft.direct_matrix(made).select("series_id", "ts", "split", "y", "lag_1", "lag_24", "roll_mean_24", "roll_std_24"))
+
+
+def scale_after_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    holed = b.hourly(spark, sf_dir).withColumn("y", F.when(F.dayofmonth("ts") * 24 + F.hour("ts") != 500, F.col("y")))
+    return b.rounded(mt.seasonal_naive_scale(holed.where("y IS NOT NULL")))
+
+
+def forecast_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event asks for its time of day 14 days later; the next-hour and the next-day model answer."""
+    features = staged(b.featured(spark, sf_dir))
+    made = None
+    for horizon, matrix in (("h=1", features), ("h=24", staged(ft.direct_matrix(features)))):
+        model = trees.fit(matrix, FIRST_FEATURES, FIRST, bins=FIRST_BINS)
+        scored = trees.score({"boosted": model}, matrix.where(F.col("split") == "test"), horizon)
+        made = scored if made is None else made.unionByName(scored)
+    events = b.table(spark, sf_dir, "events")
+    asked = events.select("event_id", F.col("event_type").alias("series_id"), (F.col("ts") + F.expr("INTERVAL 14 DAYS")).alias("requested"))
+    return b.rounded(forecast.forecast_requests(asked, staged(made)), 4)
+
+
 def forecast_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(forecast.forecast_context(b.hourly(spark, sf_dir), "2024-01-26 19:00:00"))
 
@@ -436,6 +461,16 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
             FROM featured WINDOW w AS (PARTITION BY series_id ORDER BY ts))
         SELECT series_id, ts, split, {b.r('y')}, {_all([*ft.CALENDAR_FEATURES, *b.HISTORY])} FROM moved WHERE {' AND '.join(f'{c} IS NOT NULL' for c in b.HISTORY)}""",
     ),
+    "fe10_direct_matrix_after_loss": (
+        direct_matrix_after_loss,
+        f"""WITH {b.HOURLY}, holed AS (SELECT series_id, ts, CASE WHEN day(ts) * 24 + hour(ts) <> 500 THEN y END AS y FROM hourly),
+        made AS (SELECT series_id, ts, y, CASE WHEN ts < TIMESTAMP '{b.TEST_START}' THEN 'train' ELSE 'test' END AS split, {b.lag_sql([1, 24])}, {b.roll_sql([24])}
+            FROM holed WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+        kept AS (SELECT * FROM made WHERE lag_1 IS NOT NULL AND lag_24 IS NOT NULL AND roll_mean_24 IS NOT NULL AND roll_std_24 IS NOT NULL),
+        moved AS (SELECT series_id, ts, split, y, {', '.join(f'lag({c}, 24) OVER w AS {c}' for c in ('lag_1', 'lag_24', 'roll_mean_24', 'roll_std_24'))}
+            FROM kept WINDOW w AS (PARTITION BY series_id ORDER BY ts))
+        SELECT series_id, ts, split, {', '.join(b.r(c) for c in ('y', 'lag_1', 'lag_24', 'roll_mean_24', 'roll_std_24'))} FROM moved WHERE lag_1 IS NOT NULL AND y IS NOT NULL""",
+    ),
     "fe11_lookback_windows": (
         lookback_windows,
         f"""WITH {b.HOURLY}, x AS (SELECT series_id, ts, y, count(y) OVER f AS n, first_value(y) OVER f AS oldest, last_value(y) OVER f AS newest, sum(y) OVER f AS total
@@ -474,7 +509,10 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     "fc1_naive_forecasts": (naive_forecasts, f"WITH {b.NAIVE} SELECT series_id, model, horizon, ts, {b.r('y_true')}, {b.r('y_pred')} FROM naive"),
     "fc2_boosted_early_stopping": (boosted_early_stopping, None),
     "fc3_boosted_direct": (boosted_direct, None),
-    "fc3_boosted_first_trees": (boosted_first_trees, _first_trees_sql()),
+    "fc3_boosted_first_trees": (
+        boosted_first_trees,
+        f"WITH {b.FEATURED} SELECT series_id, model, horizon, ts, {b.r('y_true', 4)}, {b.r('y_pred', 4)} FROM {_first_trees('featured')}",
+    ),
     "fc4_feature_importances": (feature_importances, None),
     "fc5_random_search": (random_search, None),
     "fc6_seasonal_ar_fit": (
@@ -492,6 +530,19 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"""WITH {b.NAIVE}, near AS (SELECT series_id, arg_min(ts, abs(date_diff('second', TIMESTAMP '2024-01-26 18:30:00', ts)) * 10 - (ts > TIMESTAMP '2024-01-26 18:30:00')::INT) AS ts FROM naive GROUP BY 1)
         SELECT series_id, model, horizon, ts, {b.r('actual', 6, 'y_true')}, {b.r('forecast', 6, 'y_pred')}, {b.r('error', 6, 'y_pred - y_true')} FROM naive JOIN near USING (series_id, ts)""",
     ),
+    "fc7_forecast_requests": (
+        forecast_requests,
+        f"""WITH {b.FEATURED}, moved AS (SELECT series_id, ts, split, y, hour, dayofweek, {_DIRECT_COLUMNS} FROM featured WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+        direct AS (SELECT * FROM moved WHERE {' AND '.join(f'{c} IS NOT NULL' for c in b.HISTORY)}),
+        made AS MATERIALIZED (SELECT * FROM {_first_trees('featured')} UNION ALL SELECT * FROM {_first_trees('direct', 'h=24')}),
+        asked AS (SELECT event_id, event_type AS series_id, ts + INTERVAL 14 DAY AS requested FROM events),
+        times AS (SELECT DISTINCT series_id, ts FROM made),
+        low AS (SELECT a.*, t.ts AS low FROM asked a ASOF LEFT JOIN times t ON a.series_id = t.series_id AND a.requested >= t.ts),
+        both_ AS (SELECT l.*, t.ts AS high FROM low l ASOF LEFT JOIN times t ON l.series_id = t.series_id AND l.requested <= t.ts),
+        near AS (SELECT event_id, series_id, requested, CASE WHEN low IS NULL OR high - requested <= requested - low THEN high ELSE low END AS ts FROM both_)
+        SELECT event_id, n.series_id, requested, n.ts, model, horizon, {b.r('actual', 4, 'y_true')}, {b.r('forecast', 4, 'y_pred')}, {b.r('error', 4, 'y_pred - y_true')}
+        FROM near n LEFT JOIN made m ON n.series_id = m.series_id AND n.ts = m.ts""",
+    ),
     "fc7_forecast_context": (
         forecast_context,
         f"WITH {b.HOURLY} SELECT series_id, ts, {b.r('y')} FROM hourly WHERE ts BETWEEN TIMESTAMP '2024-01-24 19:00:00' AND TIMESTAMP '2024-01-27 01:00:00'",
@@ -505,6 +556,12 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"""WITH {b.DAILY}, d AS (SELECT series_id, y - lag(y, 7) OVER (PARTITION BY series_id ORDER BY ts) AS d FROM daily WHERE ts < TIMESTAMP '{b.DAILY_TEST_START}')
         SELECT series_id, {b.r('scale', 4, 'avg(abs(d))')} FROM d GROUP BY 1""",
     ),
+    "mt5_scale_after_loss": (
+        scale_after_loss,
+        f"""WITH {b.HOURLY}, kept AS (SELECT series_id, ts, y FROM hourly WHERE y IS NOT NULL AND day(ts) * 24 + hour(ts) <> 500),
+        d AS (SELECT series_id, y - lag(y, 24) OVER (PARTITION BY series_id ORDER BY ts) AS d FROM kept)
+        SELECT series_id, {b.r('scale', 6, 'avg(abs(d))')} FROM d GROUP BY 1""",
+    ),
     "mt6_mase": (
         mase,
         f"WITH {b.NAIVE}, {_SCALE} SELECT series_id, model, {b.r('mase', 6, f'avg({_ERR}) / nullif(any_value(scale), 0)')} FROM naive JOIN scale USING (series_id) GROUP BY 1, 2",
