@@ -12,9 +12,11 @@ own. Extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import os
 import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +30,12 @@ END_ID = 0
 PIECES_PER_PARTITION = 20_000
 ROUNDS = 6
 CACHED_WORDS = 300_000
+JOINED, LOTS_AT_ONCE = 128, 64
+TEXTS_AT_ONCE = 500
 
 # Splitting a word here never changes its ids: the tokenizer separates these from letters as well. The
 # apostrophe (contractions) and the characters of special tokens are left out.
-_EDGES = "".join(c for c in string.punctuation if c not in "'<|>")
+_EDGES = "".join(c for c in string.punctuation if c not in "'<|>").encode()
 
 
 # The printable stand-ins of bytes in byte-level vocabularies: printable Latin-1 characters stand for
@@ -40,6 +44,11 @@ _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _OWN)}
 
 
+def _is_letters(word: bytes) -> bool:
+    """Letters of ASCII, or of any script once decoded."""
+    return word.isalpha() or (not word.isascii() and word.decode("utf-8", "surrogatepass").isalpha())
+
+
 class WordIds(dict):
     """Ids of words between ASCII white space, as packed unsigned 32-bit numbers; filled on demand.
 
@@ -49,33 +58,56 @@ class WordIds(dict):
     def __init__(self, tokenizer, limit: int = CACHED_WORDS):
         super().__init__()
         self.tokenizer, self.limit, self.parts = tokenizer, limit, {}
+        self.ending = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.ending[[i for piece, i in tokenizer.get_vocab().items() if piece.endswith("</w>")]] = True
 
-    def _part(self, part: str, letters: bool) -> bytes:
+    def _part(self, part: bytes) -> bytes:
+        """Ids of an edge or of a word that is no single unit."""
         if not part:
             return b""
         found = self.parts.get(part)
         if found is None:
             if len(self.parts) >= self.limit:
                 self.parts.clear()
-            if letters:
-                # One unit of letters: the merges alone decide, over the byte alphabet of the vocabulary.
-                spelt = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                ids = [t.id for t in self.tokenizer.model.tokenize(spelt)]
-            else:
-                ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+            ids = self.tokenizer.encode(part.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
             found = self.parts[part] = np.array(ids, "<u4").tobytes()
         return found
 
-    def __missing__(self, word: bytes) -> bytes:
+    def _unit(self, word: bytes) -> bytes:
+        """Ids of one unit of letters: the merges alone decide, over the byte alphabet of the vocabulary."""
         text = word.decode("utf-8", "surrogatepass")
-        tail = text.lstrip(_EDGES)
+        plain = text.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(text)
+        if not plain.isalpha():
+            return self._part(word)
+        spelt = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], "<u4").tobytes()
+
+    def learn(self, words: Iterable[bytes]) -> None:
+        """Tokenise many new words of letters at once, as texts: a unit of letters ends in a token that is
+        marked as a word's end."""
+        if len(self) > self.limit // 2:
+            self.clear()
+        plain = [c for c in {w.strip(_EDGES) for w in words if w not in self} if c not in self and _is_letters(c)]
+        lots = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
+        for at in range(0, len(lots), LOTS_AT_ONCE):
+            some = lots[at : at + LOTS_AT_ONCE]
+            texts = [b" ".join(lot).decode("utf-8", "surrogatepass") for lot in some]
+            for lot, found in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(found.ids, "<u4")
+                ends = (4 * (np.flatnonzero(self.ending[ids]) + 1)).tolist()
+                if len(ends) == len(lot):  # else one of them is no single unit, and each is looked up alone
+                    raw = ids.tobytes()
+                    self.update((w, raw[a:b]) for w, a, b in zip(lot, [0, *ends], ends))
+
+    def __missing__(self, word: bytes) -> bytes:
+        tail = word.lstrip(_EDGES)
         core = tail.rstrip(_EDGES)
-        plain = core.lower() if core.isascii() else self.tokenizer.normalizer.normalize_str(core)
-        if not core or plain.isalpha():
-            before, after = text[: len(text) - len(tail)], tail[len(core):]
-            ids = self._part(before, False) + self._part(plain, True) + self._part(after, False)
+        if len(core) == len(word):
+            ids = self._unit(word) if _is_letters(word) else self._part(word)
+        elif not core or _is_letters(core):
+            ids = self._part(word[: len(word) - len(tail)]) + (self[core] if core else b"") + self._part(tail[len(core):])
         else:
-            ids = self._part(text, False)
+            ids = self._part(word)
         if len(self) >= self.limit:
             self.clear()
         self[word] = ids
@@ -101,13 +133,18 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     @F.arrow_udf(PIECE_DDL)
     def tokenised(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         words = WordIds(Tokenizer.from_file(tokenizer_path))
         lookup = words.__getitem__
         for texts in batches:
-            raw = texts.cast(pa.binary())
-            yield pa.array([cut(b"".join(map(lookup, (t.as_py() or b"").split())) + end, capacity) for t in raw], _PIECES)
+            raw, made = texts.cast(pa.binary()), []
+            for lot in range(0, len(raw), TEXTS_AT_ONCE):
+                split = [(t or b"").split() for t in raw[lot : lot + TEXTS_AT_ONCE].to_pylist()]
+                words.learn(set(chain.from_iterable(split)))
+                made += [cut(b"".join(map(lookup, s)) + end, capacity) for s in split]
+            yield pa.array(made, _PIECES)
 
     rows = documents.select("doc_id", F.explode(tokenised(F.col("text"))).alias("p"))
     return rows.select("doc_id", "p.piece", "p.start", "p.length", "p.ids_crc32")
