@@ -24,6 +24,7 @@ SEASONAL_PERIOD = 24
 LJUNG_BOX_LAGS = [24, 168, 720]
 # Fixed value: 97.5 % point of the standard normal distribution.
 Z975 = 1.959963984540054
+ARRAY_SALTS = 64
 
 
 def _fields(df: DataFrame, names: Sequence[str]) -> str:
@@ -239,25 +240,29 @@ def _gram_kernel(names: list[str], width: int, reach: int) -> Callable[[pd.DataF
             return pd.DataFrame()
         x = _regressors(values, low - origin, high - origin, order)
         row = {name: pdf[name].iloc[0] for name in names}
-        row |= {"n": n, "gram": (x.T @ x).ravel()}
+        row |= {BUCKET: int(pdf[BUCKET].iloc[0]), "n": n, "gram": (x.T @ x)[np.triu_indices(x.shape[1])]}
         return pd.DataFrame([row])
 
     return kernel
 
 
 def _adf_statistic(n: int, gram: np.ndarray, head: np.ndarray) -> tuple[float, int]:
-    """Lag order by AIC on the common sample, then the t statistic on that order's own sample."""
+    """Lag order by AIC on the common sample, then the t statistic on that order's own sample. ``gram`` is
+    the upper triangle, row by row."""
     order = adf_max_lag(n)
-    full = gram.reshape(order + 3, order + 3)
+    full = np.zeros((order + 3, order + 3))
+    full[np.triu_indices(order + 3)] = gram
+    full = np.triu(full) + np.triu(full, 1).T
     common = n - 1 - order
+    # One triangular sweep eliminates the regressors in order: what it has explained up to a regressor is
+    # what the nested regression of that order explains.
+    root = np.linalg.cholesky(full[:-1, :-1])
+    explained = np.cumsum(np.linalg.solve(root, full[:-1, -1]) ** 2)
     best = (math.inf, 0)
     for p in range(order + 1):
-        k = p + 2
-        xx, xy = full[:k, :k], full[:k, -1]
-        ssr = full[-1, -1] - xy @ np.linalg.solve(xx, xy)
-        if ssr <= 0:
-            continue
-        best = min(best, (common * math.log(ssr / common) + 2 * k, p))
+        ssr = full[-1, -1] - explained[p + 1]
+        if ssr > 0:
+            best = min(best, (common * math.log(ssr / common) + 2 * (p + 2), p))
     p = best[1]
     keep = [*range(p + 2), order + 2]
     own = full[np.ix_(keep, keep)]
@@ -272,6 +277,20 @@ def _adf_statistic(n: int, gram: np.ndarray, head: np.ndarray) -> tuple[float, i
     return float(beta[1] / math.sqrt(variance * inverse[1, 1])), p
 
 
+def _summed_arrays(df: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """Arrays of equal length added up per key, in two steps, so that a long series is no single task's."""
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf[names].head(1).reset_index(drop=True)
+        out[column] = [np.sum(np.stack(pdf[column].to_list()), axis=0)]
+        return out
+
+    schema = f"{_fields(df, names)}, {column} array<double>"
+    salted = df.select(*names, column, F.pmod(F.col(BUCKET), F.lit(ARRAY_SALTS)).alias("__salt"))
+    once = salted.groupBy(*names, "__salt").applyInPandas(add, schema)
+    return once.groupBy(*names).applyInPandas(add, schema)
+
+
 def adf(
     df: DataFrame,
     target: str = "y",
@@ -293,16 +312,15 @@ def adf(
     standing = _standing(df, target, names, ts, step).withColumn("z", z).select(*names, "pos", "n", "z")
     spread = with_halo(standing, "pos", before=reach, rows=width)
     partial = spread.groupBy(*names, BUCKET).applyInPandas(
-        _gram_kernel(names, width, reach), f"{_fields(spread, names)}, n bigint, gram array<double>"
+        _gram_kernel(names, width, reach), f"{_fields(spread, names)}, {BUCKET} bigint, n bigint, gram array<double>"
     )
-    cells = partial.select(*names, "n", F.posexplode("gram").alias("i", "g")).groupBy(*names, "n", "i").agg(F.sum("g").alias("g"))
-    grams = cells.groupBy(*names, "n").agg(F.sort_array(F.collect_list(F.struct("i", "g"))).alias("gram"))
+    grams = _summed_arrays(partial, "gram", [*names, "n"])
     heads = (
         standing.where(F.col("pos") <= adf_max_lag(F.col("n")))
         .groupBy(*names)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "z"))).alias("head"))
     )
-    ready = grams.join(heads, names).select(*names, "n", F.col("gram.g").alias("gram"), F.col("head.z").alias("head"))
+    ready = grams.join(heads, names).select(*names, "n", "gram", F.col("head.z").alias("head"))
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

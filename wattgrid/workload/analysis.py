@@ -59,6 +59,11 @@ def kpss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(hy.kpss(_hourly(spark, sf_dir)))
 
 
+def adf_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistic and chosen lag order, without the table-based p-value."""
+    return b.rounded(hy.adf(_hourly(spark, sf_dir)).select("series_id", "adf_stat", "adf_lags"))
+
+
 def kpss_dead_meter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A constant series beside the others: it has no result and changes no other one's."""
     live = _hourly(spark, sf_dir).select("series_id", "ts", "y")
@@ -252,6 +257,42 @@ kpss AS (SELECT series_id, sq / (n * n) / longrun AS k, CAST(lags AS BIGINT) AS
 SELECT series_id, {b.r('kpss_stat', 6, 'k')}, {b.r('kpss_pvalue', 6, """CASE WHEN k <= 0.347 THEN 0.10 WHEN k <= 0.463 THEN 0.10 - (k - 0.347) * 0.05 / 0.116
     WHEN k <= 0.574 THEN 0.05 - (k - 0.463) * 0.025 / 0.111 WHEN k <= 0.739 THEN 0.025 - (k - 0.574) * 0.015 / 0.165 ELSE 0.01 END""")}, kpss_lags FROM kpss"""
 
+
+
+def _swept(name: str, source: str) -> str:
+    """A recursive CTE that eliminates one regressor after the other from a matrix ``a`` of K x K numbers."""
+    cell = "a[q + 1] - a[(q // K) * K + k_] * a[(k_ - 1) * K + q % K + 1] / a[(k_ - 1) * K + k_]"
+    return f"""{name} AS (SELECT series_id, n, M, p, K, a, 1 AS k_ FROM {source} UNION ALL
+    SELECT series_id, n, M, p, K, list_transform(range(0, K * K), lambda q: CASE WHEN q // K + 1 > k_ AND q % K + 1 > k_ THEN {cell} ELSE 0 END) AS a, k_ + 1 FROM {name} WHERE k_ < K)"""
+
+
+def _gram_sql(name: str, source: str) -> str:
+    """Sums of products of all pairs of entries of the vectors ``v``, as one list per series."""
+    return f"""{name} AS (SELECT series_id, n, M, p, K, list(s ORDER BY i, j) AS a FROM (
+    SELECT series_id, n, M, p, len(v) AS K, i, j, sum(v[i] * v[j]) AS s FROM {source}, range(1, 200) AS x(i), range(1, 200) AS y(j)
+    WHERE i <= len(v) AND j <= len(v) GROUP BY ALL) GROUP BY ALL)"""
+
+
+_ADF = f"""RECURSIVE {b.HOURLY},
+adf_x AS (SELECT series_id, y, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS t, count(*) OVER w AS n, avg(y) OVER w AS m, stddev_pop(y) OVER w AS s
+    FROM hourly WHERE y IS NOT NULL WINDOW w AS (PARTITION BY series_id)),
+adf_z AS (SELECT series_id, n, t, (y - m) / s AS z FROM adf_x),
+adf_l AS (SELECT series_id, n, CAST(least(ceil(12 * pow(n / 100, 0.25)), n // 2 - 2) AS BIGINT) AS M, list(z ORDER BY t) AS z, list(d ORDER BY t) AS d
+    FROM (SELECT *, z - lag(z) OVER (PARTITION BY series_id ORDER BY t) AS d FROM adf_z) GROUP BY ALL),
+adf_v AS (SELECT series_id, n, M, 0 AS p, list_concat([1.0, z[t - 1]], list_transform(range(1, M + 1), lambda o: d[t - o]), [d[t]]) AS v
+    FROM adf_l, range(1, 100000) AS r(t) WHERE t BETWEEN M + 2 AND n),
+{_gram_sql('adf_g', 'adf_v')},
+{_swept('adf_s', 'adf_g')},
+adf_c AS (SELECT series_id, n, M, k_ - 3 AS p, a[K * K] AS ssr, n - 1 - M AS common FROM adf_s WHERE k_ >= 3),
+adf_p AS (SELECT series_id, n, M, p FROM adf_c WHERE ssr > 0
+    QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY common * ln(ssr / common) + 2 * (p + 2), p) = 1),
+adf_o AS (SELECT l.series_id, l.n, l.M, p, list_concat([1.0], list_transform(range(1, p + 1), lambda o: d[t - o]), [z[t - 1], d[t]]) AS v
+    FROM adf_l l JOIN adf_p USING (series_id), range(1, 100000) AS r(t) WHERE t BETWEEN p + 2 AND l.n),
+{_gram_sql('adf_h', 'adf_o')},
+{_swept('adf_t', 'adf_h')},
+adf_f AS (SELECT series_id, n, p, a[(K - 2) * K + K - 1] AS zz, a[(K - 2) * K + K] AS zy, a[K * K] AS yy FROM adf_t WHERE k_ = K - 1)
+SELECT series_id, {b.r('adf_stat', 6, 'zy / zz / sqrt((yy - zy * zy / zz) / (n - 1 - p - (p + 2)) / zz)')}, p AS adf_lags FROM adf_f"""
+
 _PACF = f"""RECURSIVE {_ACF}, r AS (SELECT series_id, list(acf ORDER BY lag) AS r FROM acf GROUP BY 1),
 d AS (SELECT series_id, r, 1 AS k, [r[2]] AS phi, 1 - r[2] * r[2] AS v FROM r
     UNION ALL SELECT series_id, r, k + 1, list_concat(list_transform(range(1, k + 1), lambda j: phi[j] - last * phi[k + 1 - j]), [last]), v * (1 - last * last) FROM (
@@ -305,6 +346,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         SELECT series_id, lag, {b.r('statistic', 4)} FROM q WHERE lag IN (24, 48, 168)""",
     ),
     "st5_adf": (adf, None),
+    "st5_adf_orders": (adf_orders, f"WITH {_ADF}"),
     "st6_kpss": (kpss, f"WITH {_KPSS}"),
     "st6_kpss_dead_meter": (
         kpss_dead_meter,
