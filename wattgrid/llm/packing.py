@@ -29,8 +29,8 @@ CAPACITY = 2048
 END_ID = 0
 PIECES_PER_PARTITION = 20_000
 ROUNDS = 6
-CACHED_WORDS = 300_000
-JOINED, LOTS_AT_ONCE = 128, 64
+CACHED_WORDS = 800_000
+JOINED = 1024
 TEXTS_AT_ONCE = 500
 
 # Splitting a word here never changes its ids: the tokenizer separates these from letters as well. The
@@ -41,6 +41,7 @@ _EDGES = "".join(c for c in string.punctuation if c not in "'<|>").encode()
 # The printable stand-ins of bytes in byte-level vocabularies: printable Latin-1 characters stand for
 # themselves, the others for the characters from 256 on, in order.
 _OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_END, _MARK = "</w>", b"\x01"  # a word's end in the vocabulary; a byte that no word of letters holds
 _BYTE_LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _OWN)}
 
 
@@ -49,6 +50,24 @@ def _is_letters(word: bytes) -> bool:
     return word.isalpha() or (not word.isascii() and word.decode("utf-8", "surrogatepass").isalpha())
 
 
+def _merges(tokenizer):
+    """The tokenizer's merges alone, for units that end in the mark. Ids of such vocabularies are their merges'
+    ranks: single bytes first, then bytes that end a word, then the merges in their order."""
+    import tiktoken
+
+    special, byte, ranks = tokenizer.get_added_tokens_decoder(), {c: b for b, c in _letters().items()}, {}
+    for piece, i in tokenizer.get_vocab().items():
+        if i not in special:
+            body = piece.removesuffix(_END)
+            ranks[bytes(byte[c] for c in body) + (_MARK if body != piece else b"")] = i
+    return tiktoken.Encoding("words", pat_str=r"[^\x01]*\x01", mergeable_ranks=ranks, special_tokens={})
+
+
+def _letters() -> dict[int, str]:
+    """The vocabulary's letter of each byte."""
+    return {b: chr(b) for b in _OWN} | _BYTE_LETTERS
+
+
 class WordIds(dict):
     """Ids of words between ASCII white space, as packed unsigned 32-bit numbers; filled on demand.
 
@@ -59,7 +78,8 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer, self.limit, self.parts = tokenizer, limit, {}
         self.ending = np.zeros(tokenizer.get_vocab_size(), bool)
-        self.ending[[i for piece, i in tokenizer.get_vocab().items() if piece.endswith("</w>")]] = True
+        self.ending[[i for piece, i in tokenizer.get_vocab().items() if piece.endswith(_END)]] = True
+        self.merges = _merges(tokenizer)
 
     def _part(self, part: bytes) -> bytes:
         """Ids of an edge or of a word that is no single unit."""
@@ -83,21 +103,21 @@ class WordIds(dict):
         return np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], "<u4").tobytes()
 
     def learn(self, words: Iterable[bytes]) -> None:
-        """Tokenise many new words of letters at once, as texts: a unit of letters ends in a token that is
-        marked as a word's end."""
-        if len(self) > self.limit // 2:
+        """Tokenise many new words of letters at once: by the vocabulary's merges, each as one unit."""
+        fresh = {w.strip(_EDGES) for w in words if w not in self}
+        plain = [c for c in fresh if c not in self and _is_letters(c)]
+        if len(self) + len(fresh) > self.limit:
             self.clear()
-        plain = [c for c in {w.strip(_EDGES) for w in words if w not in self} if c not in self and _is_letters(c)]
-        lots = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
-        for at in range(0, len(lots), LOTS_AT_ONCE):
-            some = lots[at : at + LOTS_AT_ONCE]
-            texts = [b" ".join(lot).decode("utf-8", "surrogatepass") for lot in some]
-            for lot, found in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                ids = np.array(found.ids, "<u4")
-                ends = (4 * (np.flatnonzero(self.ending[ids]) + 1)).tolist()
-                if len(ends) == len(lot):  # else one of them is no single unit, and each is looked up alone
-                    raw = ids.tobytes()
-                    self.update((w, raw[a:b]) for w, a, b in zip(lot, [0, *ends], ends))
+        for at in range(0, len(plain), JOINED):
+            lot = plain[at : at + JOINED]
+            text = (_MARK.join(lot) + _MARK).decode("utf-8", "surrogatepass")
+            text = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
+            ids = np.array(self.merges.encode_ordinary(text), "<u4")
+            ends = (4 * (np.flatnonzero(self.ending[ids]) + 1)).tolist()
+            # A letter may become several signs in lower case; such a lot is looked up word by word.
+            if len(ends) == len(lot) and text.replace(_MARK.decode(), "").isalpha():
+                raw = ids.tobytes()
+                self.update((w, raw[a:b]) for w, a, b in zip(lot, [0, *ends], ends))
 
     def __missing__(self, word: bytes) -> bytes:
         tail = word.lstrip(_EDGES)
