@@ -46,7 +46,7 @@ def test_audit_equals_its_parts(raw):
     assert found["missing_p"] == 1 and found["missing_Voltage"] == 1 and found["missing_rate"] == pytest.approx(0.2)
     assert found["voltage"] == 2 and found["negative"] == 1
     assert found["expected_rows"] == 20001 and found["n_gaps"] == 2
-    assert "rows: 5" in found["summary"] and "largest 19995 min" in found["summary"]
+    assert found["summary"].startswith("5 of 20,001 expected readings") and "longest lasts 19995 minutes" in found["summary"]
     assert one(quality.duplicate_timestamps(raw))["n_duplicated"] == 1
     assert one(quality.range_violations(raw, rules))["voltage"] == 2
 

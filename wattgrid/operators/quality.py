@@ -150,17 +150,12 @@ def audit(
     report = found.withColumn(
         "missing_rate", F.coalesce(missing / F.nullif(cells, F.lit(0)), F.lit(0.0))
     ).withColumn("coverage", F.col("n_rows") / F.col("expected_rows"))
-    violated = F.concat_ws(", ", *[F.format_string(f"{n}: %d", F.col(n)) for n in rules]) if rules else F.lit("")
+    broken = F.concat_ws("; ", *[F.format_string(f"{n} in %d rows", F.col(n)) for n in rules]) if rules else F.lit("none checked")
     summary = F.format_string(
-        "rows: %,d\nmissing rate: %.4f%%\nduplicated timestamps: %d\n"
-        "timestamp gaps: %d (largest %.0f min)\ncoverage vs expected grid: %.4f%%\nrange violations: {%s}",
-        F.col("n_rows"),
-        F.col("missing_rate") * 100,
-        F.col("n_duplicated_timestamps"),
-        F.col("n_gaps"),
-        F.col("largest_gap_minutes"),
-        F.col("coverage") * 100,
-        violated,
+        "%,d of %,d expected readings (%.2f percent), %d of them repeat a time. "
+        "%d breaks in the grid, the longest lasts %.0f minutes. %.4f percent of the values are empty. Broken rules: %s.",
+        F.col("n_rows"), F.col("expected_rows"), F.col("coverage") * 100, F.col("n_duplicated_timestamps"),
+        F.col("n_gaps"), F.col("largest_gap_minutes"), F.col("missing_rate") * 100, broken,
     )
     return report.select(
         *names,

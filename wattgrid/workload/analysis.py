@@ -130,6 +130,10 @@ def decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(ex.decompose(b.hourly(spark, sf_dir), 24).drop("phase"), 7)
 
 
+def decompose_week_of_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.rounded(ex.decompose(b.hourly(spark, sf_dir), 168).drop("phase"), 6)
+
+
 def decompose_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(ex.decompose(b.daily(spark, sf_dir), 7, step=DAY).drop("phase"), 3)
 
@@ -400,6 +404,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         SELECT series_id, month_start, {b.r('mean', 4)} FROM g LEFT JOIN m USING (series_id, month_start)""",
     ),
     "ex8_decompose": (decompose, _decompose_sql("hourly", b.HOURLY, 24, 7)),
+    "ex8_decompose_week_of_hours": (decompose_week_of_hours, _decompose_sql("hourly", b.HOURLY, 168, 6)),
     "ex8_decompose_weekly": (decompose_weekly, _decompose_sql("daily", b.DAILY, 7, 3)),
     "ex9_qq_points": (qq_points, f"WITH {_QQ} SELECT series_id, model, i, {b.r('ordered', 4)}, {b.r('theoretical', 4)} FROM qq"),
     "ex9_qq_line": (
