@@ -185,6 +185,13 @@ def _first_trees(source: str, horizon: str = "h=1") -> str:
     )
 
 
+def early_stopping_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops after five rounds without progress on the newest tenth of each series."""
+    matrix, names = _matrix(spark, sf_dir)
+    model = trees.fit_early_stopping(matrix, names, trees.TreeParams(rounds=30, depth=3, rate=0.3), patience=5)
+    return trees.score({"boosted": model}, matrix.where(F.col("split") == "test"))
+
+
 SEARCH_ROUNDS = 2
 FOLD_ROUNDS = 10
 
@@ -508,6 +515,7 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     ),
     "fc1_naive_forecasts": (naive_forecasts, f"WITH {b.NAIVE} SELECT series_id, model, horizon, ts, {b.r('y_true')}, {b.r('y_pred')} FROM naive"),
     "fc2_boosted_early_stopping": (boosted_early_stopping, None),
+    "fc2_early_stopping_trees": (early_stopping_trees, None),
     "fc3_boosted_direct": (boosted_direct, None),
     "fc3_boosted_first_trees": (
         boosted_first_trees,
