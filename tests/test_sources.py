@@ -128,3 +128,57 @@ def test_horizons_of_a_model_are_stored_side_by_side(spark, tmp_path):
     tables.save_predictions(truth, truth.withColumn("y_pred", F.lit(7.0)), path, "1", "h=24", if_exists="reuse")
     stored = {(r["model"], r["horizon"]): r["y_pred"] for r in tables.read_predictions(spark, path).collect()}
     assert stored == {("01", "h=1"): 1.0, ("01", "h=24"): 2.0, ("1", "h=1"): 3.0, ("1", "h=24"): 7.0}
+
+
+def test_digest_of_a_file_above_two_gigabytes(spark, tmp_path):
+    """A file of zeros that takes no disk; no record of Spark could hold it."""
+    import hashlib
+
+    size = (1 << 31) + 10
+    with open(tmp_path / "zeros", "wb") as f:
+        f.truncate(size)
+    (tmp_path / "small").write_bytes(b"abc")
+    (tmp_path / "none").write_bytes(b"")
+    found = {r["path"].rsplit("/", 1)[1]: (r["length"], r["digest"]) for r in meter_text.file_digests(spark, str(tmp_path)).collect()}
+    expected, piece = hashlib.sha256(), bytes(1 << 20)
+    for _ in range(size >> 20):
+        expected.update(piece)
+    expected.update(bytes(size % (1 << 20)))
+    assert found["zeros"] == (size, expected.hexdigest())
+    assert found["small"] == (3, hashlib.sha256(b"abc").hexdigest()) and "none" not in found
+    chunked = meter_text.file_digests(spark, str(tmp_path / "small"), whole_below=0, chunk=2).first()
+    assert chunked["digest"] == found["small"][1]
+
+
+def test_content_digest(spark):
+    schema = "a long, b long"
+    rows = [(1, None), (None, 1), (2, 3), (2, 3)]
+    df = spark.createDataFrame(rows, schema)
+    digest = tables.content_digest(df)
+    assert tables.content_digest(spark.createDataFrame(rows[::-1], schema).repartition(3).select("b", "a")) == digest
+    for changed in (rows[:3], [(1, None), (1, None), (2, 3), (2, 3)], [(1, None), (None, 1), (3, 2), (2, 3)]):
+        assert tables.content_digest(spark.createDataFrame(changed, schema)) != digest
+    assert tables.content_digest(df.limit(0)) != digest
+
+
+def test_results_are_kept_only_while_inputs_are_unchanged(spark, make, tmp_path):
+    path = f"file://{tmp_path}/predictions"
+    truth = make({"a": [1.0, 2.0]}).withColumnRenamed("y", "y_true")
+
+    def save(value, inputs=truth, **more):
+        forecast = truth.select("series_id", "ts", F.lit(value).alias("y_pred"))
+        tables.save_predictions(truth, forecast, path, "m", if_exists="unchanged", inputs=[inputs], **more)
+        return {r["y_pred"] for r in tables.read_predictions(spark, path).collect()}
+
+    assert save(1.0) == {1.0}
+    assert save(2.0) == {1.0}  # kept
+    assert save(3.0, parameters={"p": 1}) == {3.0}  # other parameters
+    assert save(4.0, truth.withColumn("y_true", F.col("y_true") + 1), parameters={"p": 1}) == {4.0}  # other input
+    assert save(5.0, truth.withColumn("y_true", F.col("y_true") + 1), parameters={"p": 1}) == {4.0}
+    number, digest, state = tables.last_commit(spark, path, "m", "h=1")
+    assert state == "finished"
+    tables._commit(spark, path, (number + 1, "m", "h=1", digest, "started"))  # a write that never ended
+    assert save(6.0, truth.withColumn("y_true", F.col("y_true") + 1), parameters={"p": 1}) == {6.0}
+    forecast = truth.select("series_id", "ts", F.lit(7.0).alias("y_pred"))
+    tables.save_predictions(truth, forecast, path, "m")  # a plain overwrite leaves no digest to reuse
+    assert save(8.0, truth.withColumn("y_true", F.col("y_true") + 1), parameters={"p": 1}) == {8.0}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wattgrid.functions.holidays import flag_dates, flag_french_holidays
 from wattgrid.functions.timeaxis import HOUR, as_keys, lit_ts, plus_seconds, quoted
+from wattgrid.plans.blocks import block_windows
 from wattgrid.plans.buckets import attach, over_neighbours
 
 LAGS = [1, 24, 48, 168, 336]
@@ -269,14 +270,6 @@ def direct_matrix(
     return moved.dropna(subset=[*features, target]).select(*names, ts, "split", target, *features)
 
 
-MEMBER = "y"
-
-
-def _members(target: str) -> str:
-    """Collects values in a frame; wrapped, because the aggregate leaves plain NULLs out."""
-    return f"collect_list(named_struct('{MEMBER}', {quoted(target)}))"
-
-
 def lookback_windows(
     df: DataFrame,
     length: int = LOOKBACK,
@@ -296,16 +289,8 @@ def lookback_windows(
         slim = slim.where(F.col(ts) < lit_ts(stop))
     if start is not None:
         slim = slim.where(F.col(ts) >= plus_seconds(lit_ts(start), -length * step))
-    made = over_neighbours(
-        slim,
-        lambda d, over: d.selectExpr(
-            "*", f"{_members(target)} OVER ({over} ROWS BETWEEN {length} PRECEDING AND 1 PRECEDING) AS window"
-        ),
-        keys=names, ts=ts, step=step, before=length, rows=rows, gaps=gaps,
-    ).where(F.size("window") == length).withColumn("window", F.col(f"window.{MEMBER}"))
-    if start is not None:
-        made = made.where(F.col(ts) >= lit_ts(start))
-    return made
+    made = block_windows(slim, target, length, 1, "window", keys=names, ts=ts, step=step, start=start, rows=rows, gaps=gaps)
+    return made.where(F.size("window") == length)
 
 
 def context_windows(
@@ -330,20 +315,12 @@ def context_windows(
     slim = df.select(*names, ts, target)
     if start is not None:
         slim = slim.where(F.col(ts) >= plus_seconds(lit_ts(start), -reach * step))
-    made = over_neighbours(
-        slim,
-        lambda d, over: d.selectExpr(
-            "*", f"{_members(target)} OVER ({over} ROWS BETWEEN {reach} PRECEDING AND {horizon} PRECEDING) AS context"
-        ),
-        keys=names, ts=ts, step=step, before=reach, rows=rows, gaps=gaps,
-    )
-    if start is not None:
-        made = made.where(F.col(ts) >= lit_ts(start))
-    whole, values = F.size("context") == context, F.col(f"context.{MEMBER}")
+    made = block_windows(slim, target, reach, horizon, "context", keys=names, ts=ts, step=step, start=start, rows=rows, gaps=gaps)
+    whole = F.size("context") == context
     if not strict:
-        return made.where(whole).withColumn("context", values)
+        return made.where(whole)
     message = F.format_string(f"not enough history: need {reach} rows before %s", F.col(ts).cast("string"))
-    return made.withColumn("context", F.when(whole, values).otherwise(F.raise_error(message)))
+    return made.withColumn("context", F.when(whole, F.col("context")).otherwise(F.raise_error(message)))
 
 
 def scaler(df: DataFrame, target: str = "y", keys: str | Sequence[str] = "series_id") -> DataFrame:

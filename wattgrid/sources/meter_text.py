@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from decimal import Decimal
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -14,6 +17,8 @@ BAD_RECORD = "_bad_record"
 EXTRA = "_extra"
 ROW_RANGE = 1 << 33
 PATH_RANGE = 10**12
+WHOLE_FILE = 64 << 20
+CHUNK_BYTES = 4 << 20
 # The file's own markers and formats.
 MISSING = "?"
 STAMP_FORMAT = "d/M/yyyy H:mm:ss"
@@ -97,11 +102,36 @@ def read_meter_text(
     )
 
 
-def file_digests(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """SHA-256 of every file: ``(path, length, digest)``. Spark's file source hands a file over as one
-    record, so a file must be below 2 GB; larger ones fail with an error."""
+def file_digests(
+    spark: SparkSession, path: str | list[str], whole_below: int = WHOLE_FILE, chunk: int = CHUNK_BYTES
+) -> DataFrame:
+    """SHA-256 of every file: ``(path, length, digest)``.
+
+    Files below ``whole_below`` bytes are records of Spark's binary source and stay in the JVM. Larger
+    ones are listed by that source without their content and read ``chunk`` bytes at a time, so a task
+    holds one chunk whatever the size of the file. For these the file system must be one that Arrow opens
+    (local, HDFS, S3, GCS, Azure). A digest is sequential, so one file is one task's work.
+    Empty files are not listed, as in all of Spark's file sources; a manifest reports them as missing.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "length", F.sha2("content", 256).alias("digest"))
+    small = files.where(F.col("length") < whole_below)
+    whole = small.select("path", "length", F.sha2("content", 256).alias("digest"))
+    large = files.where(F.col("length") >= whole_below).select("path", "length")
+    return whole.unionByName(large.mapInArrow(lambda it: _chunked_digests(it, chunk), "path string, length bigint, digest string"))
+
+
+def _chunked_digests(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, length in zip(batch["path"].to_pylist(), batch["length"].to_pylist()):
+            system, inside = fs.FileSystem.from_uri(path)
+            digest, n = hashlib.sha256(), 0
+            with system.open_input_stream(inside, buffer_size=0) as stream:
+                while piece := stream.read(chunk):
+                    digest.update(piece)
+                    n += len(piece)
+            if n != length:
+                raise OSError(f"{path} had {length} bytes when listed, {n} when read")
+            yield pa.record_batch([pa.array([path]), pa.array([n], pa.int64()), pa.array([digest.hexdigest()])], names=["path", "length", "digest"])
 
 
 def integrity_mismatches(digests: DataFrame, manifest: DataFrame) -> DataFrame:

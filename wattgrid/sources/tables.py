@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from wattgrid.functions.timeaxis import as_keys
+from wattgrid.functions.timeaxis import as_keys, quoted
 from wattgrid.operators.forecast import align_predictions
 
 
@@ -49,6 +51,47 @@ def _stored(spark: SparkSession, path: str, model: str, horizon: str) -> bool:
     return not found.where((F.col("model") == model) & (F.col("horizon") == horizon)).isEmpty()
 
 
+def content_digest(df: DataFrame) -> str:
+    """Digest of the rows as a set with repetitions, whatever their order and partitions.
+
+    Two 64-bit hashes of each row are added up exactly, and their sums, the number of rows and the columns'
+    names and types are digested. One pass; a NULL differs from every value, and the column it stands in counts.
+    """
+    names = sorted(df.columns)
+    # A NULL leaves Spark's hash of a row as it was, so the pattern of NULLs is hashed with it.
+    empty = [F.col(quoted(c)).isNull() for c in names]
+    cells = [F.col(quoted(c)) for c in names]
+    sums = [
+        F.sum(F.xxhash64(F.lit(seed), *cells, *empty).cast("decimal(38,0)")).alias(f"h{seed}") for seed in (1, 2)
+    ]
+    found = df.agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    kinds = dict(df.dtypes)
+    text = repr(([(c, kinds[c]) for c in names], found["n"], str(found["h1"]), str(found["h2"])))
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+_COMMITS = "seq bigint, model string, horizon string, digest string, state string"
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(_COMMITS).json(f"{path}/_commits")
+    except AnalysisException:  # nothing committed yet
+        return None
+
+
+def last_commit(spark: SparkSession, path: str, model: str, horizon: str) -> tuple[int, str | None, str | None]:
+    """Number, digest and state of the newest entry on this model and horizon; ``(0, None, None)`` without one."""
+    log = _commits(spark, path)
+    mine = None if log is None else log.where((F.col("model") == model) & (F.col("horizon") == horizon))
+    last = None if mine is None else mine.agg(F.max_by(F.struct("seq", "digest", "state"), "seq").alias("l")).first()["l"]
+    return (0, None, None) if last is None else (last["seq"], last["digest"], last["state"])
+
+
+def _commit(spark: SparkSession, path: str, entry: tuple) -> None:
+    spark.createDataFrame([entry], _COMMITS).coalesce(1).write.mode("append").json(f"{path}/_commits")
+
+
 def save_predictions(
     truth: DataFrame,
     forecast: DataFrame,
@@ -58,21 +101,41 @@ def save_predictions(
     keys: str | Sequence[str] = "series_id",
     ts: str = "ts",
     if_exists: str = "overwrite",
+    inputs: Sequence[DataFrame] | None = None,
+    parameters: Mapping[str, object] | None = None,
 ) -> str:
     """Write one model's forecasts of one horizon aligned to the truth's timestamps.
 
     Only that model's and horizon's partition is replaced. ``if_exists='reuse'`` keeps a stored result
-    of the same model and horizon and skips the computation.
+    of the same model and horizon, whatever it was made from, and skips the computation.
+    ``if_exists='unchanged'`` keeps it only if the log beside the table says that a write of the same inputs
+    and ``parameters`` was finished: ``inputs`` are the tables the forecast was made from (default: truth and
+    forecast themselves), compared by :func:`content_digest`. Writes that are logged note their start before
+    the first row and their end after the last, so an interrupted one is done again. One writer at a time
+    per model and horizon.
     """
-    if if_exists not in ("overwrite", "reuse"):
-        raise ValueError(f"if_exists must be 'overwrite' or 'reuse', not {if_exists!r}")
+    if if_exists not in ("overwrite", "reuse", "unchanged"):
+        raise ValueError(f"if_exists must be 'overwrite', 'reuse' or 'unchanged', not {if_exists!r}")
     spark = truth.sparkSession
     if if_exists == "reuse" and _stored(spark, path, model, horizon):
         return path
     names = as_keys(keys)
+    number, known, state = last_commit(spark, path, model, horizon)
+    digest = None
+    if if_exists == "unchanged":
+        tables = [content_digest(df) for df in (inputs if inputs is not None else (truth, forecast))]
+        settings = json.dumps([tables, names, ts, dict(parameters or {})], sort_keys=True, default=str)
+        digest = hashlib.sha256(settings.encode()).hexdigest()
+        if (known, state) == (digest, "finished"):
+            return path
+    logged = digest is not None or number > 0
+    if logged:  # a plain overwrite of a logged result is logged as well: it is no longer what the log says
+        _commit(spark, path, (number + 1, model, horizon, digest, "started"))
     aligned = align_predictions(truth.select(*names, ts, "y_true"), forecast, names, ts)
     rows = aligned.select(*names, ts, "y_true", "y_pred", F.lit(model).alias("model"), F.lit(horizon).alias("horizon"))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "horizon").parquet(path)
+    if logged:
+        _commit(spark, path, (number + 2, model, horizon, digest, "finished"))
     return path
 
 

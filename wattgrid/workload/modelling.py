@@ -81,6 +81,14 @@ def context_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.element_at("context", -1).alias("newest")), 4)
 
 
+def context_windows_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contexts of 1,024 days for every day that has one."""
+    made = ft.context_windows(b.daily(spark, sf_dir), 24, 1024, strict=False, step=DAY)
+    weighted = F.aggregate(F.zip_with("context", F.sequence(F.lit(1), F.lit(1024)), lambda v, i: v * i), F.lit(0.0), lambda a, v: a + v)
+    return b.rounded(made.select("series_id", "ts", "y", F.element_at("context", 1).alias("oldest"), F.element_at("context", 512).alias("middle"),
+                                 F.element_at("context", -1).alias("newest"), (weighted / 1e6).alias("weighted")), 3)
+
+
 def standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = ft.chronological_split(b.hourly(spark, sf_dir), b.TEST_START)
     fitted = ft.scaler(split)
@@ -490,6 +498,14 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
             FROM hourly WINDOW f AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 279 PRECEDING AND 24 PRECEDING))
         SELECT series_id, ts, {b.r('y', 4)}, n, {b.r('oldest', 4)}, {b.r('newest', 4)} FROM x WHERE ts >= TIMESTAMP '{b.TEST_START}'""",
     ),
+    "fe12_context_windows_long": (
+        context_windows_long,
+        f"""WITH {b.DAILY}, n AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS rn FROM daily),
+        x AS (SELECT series_id, ts, y, count(y) OVER f AS n, first_value(y) OVER f AS oldest, nth_value(y, 512) OVER f AS middle, last_value(y) OVER f AS newest,
+            sum(y * rn) OVER f - sum(y) OVER f * (min(rn) OVER f - 1) AS weighted
+            FROM n WINDOW f AS (PARTITION BY series_id ORDER BY ts ROWS BETWEEN 1047 PRECEDING AND 24 PRECEDING))
+        SELECT series_id, ts, {b.r('y', 3)}, {b.r('oldest', 3)}, {b.r('middle', 3)}, {b.r('newest', 3)}, {b.r('weighted', 3, 'weighted / 1e6')} FROM x WHERE n = 1024""",
+    ),
     "fe13_standardise": (
         standardise,
         f"""WITH {b.HOURLY}, s AS (SELECT *, CASE WHEN ts < TIMESTAMP '{b.TEST_START}' THEN 'train' ELSE 'test' END AS split FROM hourly),
