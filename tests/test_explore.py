@@ -125,3 +125,15 @@ def test_rolling_errors(make):
     )
     got = mt.rolling_errors(df, 5, 2.0).orderBy("ts").collect()
     assert got[3]["rolling_mae"] is None and got[9]["rolling_mae"] == pytest.approx(7.0) and got[9]["rolling_mase"] == pytest.approx(3.5)
+
+
+def test_selected_order_statistics(spark):
+    values = [float(i * i % 97) for i in range(1000)]
+    df = spark.createDataFrame([("a", "m", v) for v in values] + [("b", "m", 1.0), ("b", "m", None), ("c", "m", 5.0), ("c", "m", 4.0)], "series_id string, model string, residual double")
+    whole = {(r["series_id"], r["i"]): (r["ordered"], r["theoretical"]) for r in ex.qq_points(df).collect()}
+    for points in (2, 7, 500, 999, 1000, 2000):
+        got = ex.qq_points(df, points=points).where("series_id = 'a'").collect()
+        n = min(points, 1000)
+        assert [r["i"] for r in sorted(got, key=lambda r: r["i"])] == [1 + k * 999 // (n - 1) for k in range(n)]
+        assert all(whole["a", r["i"]] == (r["ordered"], r["theoretical"]) for r in got)
+    assert ex.qq_points(df, points=7).where("series_id <> 'a'").count() == 3

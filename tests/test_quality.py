@@ -72,3 +72,24 @@ def test_target_mismatch(spark, make):
     series = make({"a": [1.0, 2.0]})
     predictions = series.select("series_id", F.lit("m").alias("model"), "ts", (F.col("y") + F.when(F.col("y") > 1, 1).otherwise(0)).alias("y_true"))
     assert quality.target_mismatches(predictions, series).first()["n_mismatch"] == 1
+
+
+def test_merged_states_equal_the_audit(spark):
+    """Parts that overlap in time, repeat times across parts and leave holes; NULL times in two parts."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [("a", start + dt.timedelta(minutes=m), None if m % 7 == 0 else float(m % 300)) for m in (*range(500), *range(40_000, 90_000, 3))]
+    rows += [("a", start + dt.timedelta(minutes=m), 1.0) for m in (3, 3, 40_000)] + [("b", start, 2.0), ("a", None, 1.0), ("a", None, None)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, y double")
+    rules = {"large": F.col("y") > 290}
+    parts = [df.where(F.pmod(F.xxhash64("ts", "y"), F.lit(3)) == i) for i in range(3)]
+    states = [quality.audit_state(p, ["y"], rules) for p in [*parts, df.limit(0)]]
+    first = quality.merge_audit_states(states[0].unionByName(states[2]))
+    merged = quality.audit_of_states(states[1].unionByName(first).unionByName(states[3]), ["y"], ["large"])
+    whole = quality.audit(df, ["y"], rules)
+    assert merged.columns == whole.columns
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
+    assert merged.where("n_duplicated_timestamps = 4 AND largest_gap_minutes > 39000").count() == 1
+    off = spark.createDataFrame([("a", start + dt.timedelta(seconds=1), 1.0)], df.schema)
+    with pytest.raises(Exception, match="not on the grid"):
+        quality.audit_state(off, ["y"]).collect()
+    assert quality.audit_state(off, ["y"], resolution=1).count() == 1

@@ -206,12 +206,17 @@ def decompose(
 
 
 def qq_points(
-    df: DataFrame, value: str = "residual", keys: str | Sequence[str] = ("series_id", "model")
+    df: DataFrame, value: str = "residual", keys: str | Sequence[str] = ("series_id", "model"), points: int | None = None
 ) -> DataFrame:
     """Ordered values against normal quantiles at Filliben's plotting positions.
 
-    Equal values are counted, ranked by value ranges and spread out again in chunks.
+    Equal values are counted, ranked by value ranges and spread out again in chunks. With ``points`` only
+    that many order statistics are selected, equally spaced in rank and with both ends: a counted value
+    knows which of the wanted ranks fall into its own ranks, so no other row is made. A group of fewer
+    values gives all of them.
     """
+    if points is not None and points < 2:
+        raise ValueError("at least the two ends are selected")
     names = as_keys(keys)
     counts = (
         df.where(F.col(value).isNotNull())
@@ -219,11 +224,19 @@ def qq_points(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranked = cumulative(counts, names, "ordered").select(*names, "ordered", "ties", "upto", "total")
-    points = expand(ranked, F.col("upto") - F.col("ties") + 1, F.col("upto"), "i")
+    if points is None:
+        made = expand(ranked, F.col("upto") - F.col("ties") + 1, F.col("upto"), "i")
+    else:
+        # The k-th wanted rank is 1 + (k - 1) * (total - 1) div (points - 1).
+        steps = points - 1
+        first = F.expr(f"if(total <= {points}, upto - ties + 1, 1 + ((upto - ties) * {steps} + total - 2) div (total - 1))")
+        last = F.expr(f"if(total <= {points}, upto, least({points}, (upto * {steps} + total - 2) div (total - 1)))")
+        rank = F.expr(f"if(total <= {points}, k, 1 + ((k - 1) * (total - 1)) div {steps})")
+        made = expand(ranked, first, last, "k").withColumn("i", rank)
     n, i = F.col("total").cast("double"), F.col("i").cast("double")
     top = F.pow(F.lit(0.5), F.lit(1.0) / n)
     position = F.when(i == n, top).when(i == 1, F.lit(1.0) - top).otherwise((i - 0.3175) / (n + 0.365))
-    return points.select(*names, "i", "ordered", normal_quantile(position).alias("theoretical"))
+    return made.select(*names, "i", "ordered", normal_quantile(position).alias("theoretical"))
 
 
 def qq_line(points: DataFrame, keys: str | Sequence[str] = ("series_id", "model")) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wattgrid.functions.timeaxis import MINUTE, as_keys, naive, seconds_between, slot
+from wattgrid.functions.timeaxis import MINUTE, as_keys, from_epoch, naive, seconds_between, slot, slot_sql
 from wattgrid.plans.buckets import BUCKET, BUCKET_ROWS
 
 VOLTAGE_MIN = 220.0
@@ -72,6 +74,11 @@ def _continuity(cells: DataFrame, names: list[str], step: int, sums: Sequence[st
             *[F.sum(c).alias(c) for c in sums],
         )
     )
+    return _series_continuity(buckets, names, step, sums)
+
+
+def _series_continuity(buckets: DataFrame, names: list[str], step: int, sums: Sequence[str]) -> DataFrame:
+    """Gap statistics of a series from one row per bucket."""
     in_series = Window.partitionBy(*names).orderBy(BUCKET)
     edge = seconds_between(F.lag("__last").over(in_series), F.col("__first"))
     span = seconds_between(F.min("__first"), F.max("__last"))
@@ -145,6 +152,10 @@ def audit(
     sums = {c: F.sum(c) for c in counters}
     sums["n_duplicated_timestamps"] = F.sum(F.col("n_rows") - 1)
     found = _continuity(_cells(per_ts, names, ts, step, sums), names, step, list(sums))
+    return _report(found, names, columns, list(rules))
+
+
+def _report(found: DataFrame, names: list[str], columns: Sequence[str], rules: Sequence[str]) -> DataFrame:
     missing = sum((F.col(f"missing_{c}") for c in columns), F.lit(0))
     cells = F.col("n_rows") * len(columns)
     report = found.withColumn(
@@ -172,6 +183,99 @@ def audit(
     )
 
 
+# Bits of one presence map; the size of Spark's bitmap aggregates.
+MAP_BITS = 8 * 4096
+
+
+def audit_state(
+    df: DataFrame,
+    columns: Sequence[str],
+    rules: Mapping[str, Column] | None = None,
+    keys: str | Sequence[str] = "series_id",
+    ts: str = "ts",
+    resolution: int = MINUTE,
+) -> DataFrame:
+    """The audit as a state that merges: one row per series and bucket of ``MAP_BITS`` times.
+
+    A bucket holds its number of rows, of missing cells and of broken rules, and a bitmap of the times it has
+    seen. Store the state of each new file next to the others and read the report from all of
+    them with :func:`audit_of_states`; no file is read twice. Times must lie on the ``resolution`` in
+    seconds; others stop the query. Rows without a time are counted in a bucket of their own (NULL).
+    """
+    names = as_keys(keys)
+    rules = dict(rules or {})
+    place = slot_sql(ts, resolution)
+    off_grid = F.format_string("%s is not on the grid of the audit", F.col(ts).cast("string"))
+    on_grid = from_epoch(F.expr(f"{place} * {resolution}")) == naive(ts)
+    checked = F.when(~on_grid, F.raise_error(off_grid).cast("bigint")).otherwise(F.expr(place))
+    placed = df.withColumn("__place", checked)
+    return placed.groupBy(*names, F.expr(f"floor(__place / {MAP_BITS})").cast("bigint").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in columns],
+        *[F.count_if(rule).alias(n) for n, rule in rules.items()],
+        F.expr(f"bitmap_construct_agg(pmod(__place, {MAP_BITS}))").alias("seen"),
+    )
+
+
+def merge_audit_states(states: DataFrame, keys: str | Sequence[str] = "series_id") -> DataFrame:
+    """One state from several of any order: counts add up, bitmaps are united."""
+    at = [*as_keys(keys), "bucket"]
+    counters = [c for c in states.columns if c not in (*at, "seen")]
+    return states.groupBy(*at).agg(*[F.sum(c).alias(c) for c in counters], F.bitmap_or_agg("seen").alias("seen"))
+
+
+def _map_statistics(maps: Iterator[pa.Array], resolution: int, step: int) -> Iterator[pa.Array]:
+    """First and last set bit, number and size of the jumps over ``step`` seconds, number of set bits."""
+    names = ("first", "last", "gaps", "largest", "n")
+    kind = pa.struct([(n, pa.int64()) for n in names])
+    for batch in maps:
+        found = []
+        for m in batch:
+            at = np.flatnonzero(np.unpackbits(np.frombuffer(m.as_py() or b"", np.uint8), bitorder="little"))
+            jumps = np.diff(at)
+            wide = jumps[jumps * resolution > step]
+            ends = (int(at[0]), int(at[-1])) if len(at) else (None, None)
+            found.append(dict(zip(names, (*ends, len(wide), int(wide.max()) if len(wide) else None, len(at)))))
+        yield pa.array(found, kind)
+
+
+def audit_of_states(
+    states: DataFrame,
+    columns: Sequence[str],
+    rules: Sequence[str] = (),
+    keys: str | Sequence[str] = "series_id",
+    step: int = MINUTE,
+    resolution: int = MINUTE,
+) -> DataFrame:
+    """The report of :func:`audit` from any number of states of :func:`audit_state`.
+
+    Bits of a map are walked in the task that holds it; between buckets only ends are compared.
+    """
+    names = as_keys(keys)
+    merged = merge_audit_states(states, names)
+
+    @F.arrow_udf("first long, last long, gaps long, largest long, n long")
+    def statistics(maps: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _map_statistics(maps, resolution, step)
+
+    seen = merged.withColumn("__m", statistics(F.col("seen")))
+
+    def time(bit: str) -> Column:
+        return from_epoch(F.expr(f"(bucket * {MAP_BITS} + __m.{bit}) * {resolution}"))
+
+    # Rows without a time are equal in it: all but one of them repeat it.
+    distinct = F.when(F.col("bucket").isNull(), F.lit(1)).otherwise(F.col("__m.n"))
+    counters = ["n_rows", *[f"missing_{c}" for c in columns], *rules]
+    buckets = seen.select(
+        *names, F.col("bucket").alias(BUCKET), *counters,
+        time("first").alias("__first"), time("last").alias("__last"),
+        F.col("__m.gaps").alias("__gaps"), (F.col("__m.largest") * resolution).cast("double").alias("__largest"),
+        (F.col("n_rows") - distinct).alias("n_duplicated_timestamps"),
+    )
+    found = _series_continuity(buckets, names, step, [*counters, "n_duplicated_timestamps"])
+    return _report(found, names, columns, rules)
+
+
 def failed_expectations(metrics: DataFrame, expectations: DataFrame) -> DataFrame:
     """Metrics that miss their approved value.
 

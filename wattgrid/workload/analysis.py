@@ -9,6 +9,7 @@ from wattgrid.functions.timeaxis import DAY
 from wattgrid.operators import explore as ex, hypothesis as hy, metrics as mt, monitor as mn, boosting, features as ft
 from wattgrid.session import scratch_path, staged
 from wattgrid.sources import tables
+from wattgrid.streaming import alerts
 from wattgrid.workload import base as b
 from wattgrid.workload.modelling import SMALL
 
@@ -142,6 +143,10 @@ def qq_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(ex.qq_points(_sales_residuals(spark, sf_dir)), 4)
 
 
+def qq_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.rounded(ex.qq_points(_sales_residuals(spark, sf_dir), points=500), 4)
+
+
 def qq_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(ex.qq_line(ex.qq_points(_sales_residuals(spark, sf_dir))), 3)
 
@@ -193,6 +198,36 @@ def retrain_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mn.retrain_decision(drift, errors, "2024-01-31", "2024-01-10")
 
 
+def _fitted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive predictions with the time of the fit in use: lag 24 is renewed in time, lag 1 late, lag 168 never."""
+    day, model = F.col("ts"), F.col("model")
+    renewed = ((model == "naive_lag24") & (day >= F.lit("2024-01-25"))) | ((model == "naive_lag1") & (day >= F.lit("2024-01-27")))
+    fitted = F.when(renewed, F.lit("2024-01-24")).otherwise(F.lit("2024-01-10")).cast("timestamp_ntz")
+    return b.naive_predictions(spark, sf_dir).withColumn("fitted_at", fitted)
+
+
+_ALERTS = {"scale": 200.0, "window": 24, "limit": 1.0, "hold": 6, "max_age_days": 16}
+
+
+def retrain_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mn.retrain_alerts(_fitted_predictions(spark, sf_dir), **_ALERTS)
+
+
+def retrain_alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same alerts from a stream over the stored predictions, up to its last watermark."""
+    source, sink, state = (scratch_path(spark, n) for n in ("predictions", "alerts", "alert-state"))
+    made = _fitted_predictions(spark, sf_dir)
+    made.write.parquet(source)
+    before = spark.conf.get(alerts.PROVIDER)
+    spark.conf.set(alerts.PROVIDER, alerts.ROCKS_DB)
+    try:
+        found = alerts.retrain_alerts_stream(spark.readStream.schema(made.schema).parquet(source), **_ALERTS, lateness="90 minutes")
+        found.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(alerts.PROVIDER, before)
+    return spark.read.schema(found.schema).parquet(sink)
+
+
 def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day-ahead scoring of all origins with one stored model."""
     matrix = staged(ft.direct_matrix(b.featured(spark, sf_dir)))
@@ -205,6 +240,22 @@ def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- SQL --------------------------------------------------------------------------------------
 
 
+def _alerts_sql(until: str) -> str:
+    return f"""WITH {b.NAIVE}, e AS (SELECT *, avg(abs(y_true - y_pred)) OVER f AS mae, count(abs(y_true - y_pred)) OVER f AS n,
+        CASE WHEN (model = 'naive_lag24' AND ts >= TIMESTAMP '2024-01-25') OR (model = 'naive_lag1' AND ts >= TIMESTAMP '2024-01-27')
+            THEN TIMESTAMP '2024-01-24' ELSE TIMESTAMP '2024-01-10' END AS fitted_at
+        FROM naive WINDOW f AS (PARTITION BY series_id, model ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)),
+    h AS (SELECT *, n = 24 AND mae / 200 >= 1 AS hot, row_number() OVER (PARTITION BY series_id, model ORDER BY ts) AS rn FROM e),
+    i AS (SELECT *, rn - row_number() OVER (PARTITION BY series_id, model, hot ORDER BY ts) AS island FROM h),
+    q AS (SELECT series_id, model, 'error' AS kind, nth_value(ts, 6) OVER w AS ts, first_value(ts) OVER w AS since FROM i WHERE hot
+            WINDOW w AS (PARTITION BY series_id, model, island ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+        UNION SELECT series_id, model, 'age', due, fitted_at FROM (
+            SELECT series_id, model, fitted_at, fitted_at + INTERVAL 16 DAY AS due, lead(min(ts)) OVER (PARTITION BY series_id, model ORDER BY min(ts)) AS following
+            FROM e GROUP BY 1, 2, 3) WHERE following IS NULL OR due < following),
+    l AS (SELECT series_id, model, max(ts) AS z FROM naive GROUP BY 1, 2)
+    SELECT q.series_id, q.model, kind, q.ts, since FROM q JOIN l USING (series_id, model) WHERE {until}"""
+
+
 def _kruskal_sql(source: str, level: str, value: str, factor: str, extra: str) -> str:
     return f"""x AS (SELECT series_id, {level} AS g, {value} AS v FROM {source}),
     ranked AS (SELECT series_id, g, v, rank() OVER (PARTITION BY series_id ORDER BY v) + (count(*) OVER (PARTITION BY series_id, v) - 1) / 2.0 AS rk FROM x),
@@ -407,6 +458,12 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
     "ex8_decompose_week_of_hours": (decompose_week_of_hours, _decompose_sql("hourly", b.HOURLY, 168, 6)),
     "ex8_decompose_weekly": (decompose_weekly, _decompose_sql("daily", b.DAILY, 7, 3)),
     "ex9_qq_points": (qq_points, f"WITH {_QQ} SELECT series_id, model, i, {b.r('ordered', 4)}, {b.r('theoretical', 4)} FROM qq"),
+    "ex9_qq_selected": (
+        qq_selected,
+        f"""WITH {_QQ}, s AS (SELECT DISTINCT series_id, model, 1 + ((k - 1) * (n::BIGINT - 1)) // 499 AS i
+            FROM (SELECT series_id, model, count(*) AS n FROM o GROUP BY 1, 2), range(1, 501) AS g(k) WHERE n > 500)
+        SELECT series_id, model, i, {b.r('ordered', 4)}, {b.r('theoretical', 4)} FROM qq SEMI JOIN s USING (series_id, model, i)""",
+    ),
     "ex9_qq_line": (
         qq_line,
         f"WITH {_QQ} SELECT series_id, model, {b.r('slope', 3, 'regr_slope(ordered, theoretical)')}, {b.r('intercept', 3, 'regr_intercept(ordered, theoretical)')}, {b.r('r', 3, 'corr(ordered, theoretical)')} FROM qq GROUP BY 1, 2",
@@ -455,5 +512,10 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         SELECT series_id, psi > 0.0105 AS drift, mase >= 1 AS mase_breach, false AS too_old, psi > 0.0105 OR mase >= 1 AS retrain,
             CASE WHEN psi > 0.0105 THEN 'drift' WHEN mase >= 1 THEN 'mase' ELSE 'none' END AS reason FROM psi JOIN m USING (series_id)""",
     ),
+    "mn3_retrain_alerts": (retrain_alerts, _alerts_sql("q.ts <= l.z")),
+    "mn3_retrain_alerts_stream": (
+        retrain_alerts_stream,
+        _alerts_sql("q.ts <= (SELECT max(ts) FROM naive) - INTERVAL 90 MINUTE"),
+    ),
     "mn4_batch_scoring": (batch_scoring, None),
 }

@@ -48,6 +48,17 @@ def file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return meter_text.file_digests(spark, f"{sf_dir}/*.parquet")
 
 
+def digests_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text file per event type, its lines in order of id, read 1,000 bytes at a time."""
+    line = F.concat_ws(";", F.col("event_id").cast("string"), "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    lines = b.table(spark, sf_dir, "events").select("event_type", "event_id", line.alias("value"))
+    path = scratch_path(spark, "digests")
+    placed = lines.repartition("event_type").sortWithinPartitions("event_type", "event_id")
+    placed.select("event_type", "value").write.partitionBy("event_type").text(path)
+    found = meter_text.file_digests(spark, f"{path}/*", whole_below=0, chunk=1000)
+    return found.select(F.regexp_extract("path", "event_type=([^/]+)/", 1).alias("event_type"), "length", "digest")
+
+
 def read_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = tables.read_stage(spark, f"{sf_dir}/lineitem.parquet")
     return stage.select("l_orderkey", "l_linenumber", "l_shipdate")
@@ -95,6 +106,21 @@ def reuse_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(tables.read_predictions(spark, path).select("series_id", "horizon", "ts", "y_true", "y_pred"), 2)
 
 
+def unchanged_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "predictions")
+    sales = b.sales_predictions(spark, sf_dir).groupBy("series_id", "ts").agg(
+        F.sum("y_true").alias("y_true"), F.sum("y_pred").alias("y_pred")
+    )
+    sales = sales.withColumns({c: F.round(c, 2) for c in ("y_true", "y_pred")})
+    other = sales.withColumn("y_pred", F.lit(0.0))
+    # Same inputs and parameters: kept. Other parameters: written again.
+    for forecast, setting in ((sales, 1), (other, 1)):
+        tables.save_predictions(sales, forecast, path, "list_price", "h=1", if_exists="unchanged", inputs=[sales], parameters={"n": setting})
+    for forecast, setting in ((sales, 1), (other, 2)):
+        tables.save_predictions(sales, forecast, path, "list_price", "h=24", if_exists="unchanged", inputs=[sales], parameters={"n": setting})
+    return b.rounded(tables.read_predictions(spark, path).select("series_id", "horizon", "ts", "y_true", "y_pred"), 2)
+
+
 def save_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.audit(b.meter(spark, sf_dir), METERS, quality.meter_rules()).select(
         "series_id", F.struct("n_rows", "n_gaps").alias("counts"), "expected_rows"
@@ -133,6 +159,14 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(quality.audit(b.meter(spark, sf_dir), METERS, quality.meter_rules()).drop("summary"))
 
 
+def audit_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of three interleaved parts, stored one after the other, read as one report."""
+    records, rules, path = b.meter(spark, sf_dir), quality.meter_rules(), scratch_path(spark, "audit")
+    for part in range(3):
+        quality.audit_state(records.where(F.col("ingest_ord") % 3 == part), METERS, rules).write.mode("append").parquet(path)
+    return b.rounded(quality.audit_of_states(spark.read.parquet(path), METERS, list(rules)).drop("summary"))
+
+
 def failed_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.audit(b.records(spark, sf_dir), ["y"], {"large": F.col("y") > 400})
     metrics = found.select(
@@ -213,6 +247,20 @@ cont AS (SELECT series_id, count(*) AS n_rows,
     CAST(floor(date_diff('microsecond', min(ts), max(ts)) / 60e6) AS BIGINT) + 1 AS expected_rows,
     count(*) FILTER (WHERE d > 60) AS n_gaps, coalesce(max(d) FILTER (WHERE d > 60), 0) / 60 AS largest_gap_minutes FROM steps GROUP BY 1)"""
 
+_AUDIT_SQL = f"""WITH {b.METER}, {CONTINUITY.format(source='meter')}, counts AS (SELECT series_id,
+        {', '.join(f'count(*) FILTER (WHERE {c} IS NULL) AS missing_{c}' for c in METERS)},
+        count(*) - count(DISTINCT ts) AS n_duplicated_timestamps, {RULES_SQL} FROM meter GROUP BY 1)
+    SELECT series_id, n_rows, {', '.join(f'missing_{c}' for c in METERS)},
+        {b.r('missing_rate', 6, '(' + ' + '.join(f'missing_{c}' for c in METERS) + f') / (n_rows * {len(METERS)})')},
+        n_duplicated_timestamps, voltage_out_of_band, Global_active_power_negative, Global_reactive_power_negative,
+        Global_intensity_negative, n_gaps, {b.r('largest_gap_minutes')}, expected_rows, {b.r('coverage', 6, 'n_rows / expected_rows')}
+    FROM cont JOIN counts USING (series_id)"""
+
+_REUSE_SQL = f"""WITH {b.SALES}, s AS (SELECT series_id, ts, sum(y_true) AS y_true, sum(y_pred) AS y_pred FROM sales GROUP BY 1, 2)
+    SELECT series_id, 'h=1' AS horizon, ts, {b.r('y_true', 2)}, {b.r('y_pred', 2)} FROM s
+    UNION ALL SELECT series_id, 'h=24', ts, {b.r('y_true', 2)}, 0.0 FROM s"""
+
+
 QUERIES: dict[str, tuple[b.Query, str | None]] = {
     "src1_read_meter_text": (
         read_meter_text,
@@ -223,6 +271,11 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         "SELECT CASE WHEN event_id % 10 <> 3 THEN date_trunc('second', ts) END AS ts, event_id FROM events",
     ),
     "src3_file_digests": (file_digests, None),
+    "src3_digests_in_chunks": (
+        digests_in_chunks,
+        """SELECT event_type, CAST(sum(length(line)) AS BIGINT) AS length, sha256(string_agg(line, '' ORDER BY event_id)) AS digest FROM (
+            SELECT event_type, event_id, event_id || ';' || event_type || ';' || strftime(ts, '%Y-%m-%d %H:%M:%S') || chr(10) AS line FROM events) GROUP BY 1""",
+    ),
     "src4_read_stage": (
         read_stage,
         "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem",
@@ -250,12 +303,8 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"WITH {b.SALES}, s AS (SELECT series_id, ts, sum(y_pred) AS p FROM sales GROUP BY 1, 2) "
         "SELECT count(*) AS n_rows, count(*) FILTER (WHERE day(ts) = 7 AND p * 0.01 > 1e-4 + 1e-4 * p * 1.01) AS n_different FROM s",
     ),
-    "snk6_reuse_predictions": (
-        reuse_predictions,
-        f"""WITH {b.SALES}, s AS (SELECT series_id, ts, sum(y_true) AS y_true, sum(y_pred) AS y_pred FROM sales GROUP BY 1, 2)
-        SELECT series_id, 'h=1' AS horizon, ts, {b.r('y_true', 2)}, {b.r('y_pred', 2)} FROM s
-        UNION ALL SELECT series_id, 'h=24', ts, {b.r('y_true', 2)}, 0.0 FROM s""",
-    ),
+    "snk6_reuse_predictions": (reuse_predictions, _REUSE_SQL),
+    "snk6_unchanged_predictions": (unchanged_predictions, _REUSE_SQL),
     "dq1_missing_report": (
         missing_report,
         f"""WITH {b.METER}, wide AS (SELECT series_id, {', '.join(f'count(*) FILTER (WHERE {c} IS NULL) AS {c}' for c in METERS)} FROM meter GROUP BY 1)
@@ -271,17 +320,8 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"""WITH {b.RECORDS}, {CONTINUITY.format(source='records')} SELECT series_id, expected_rows, n_gaps,
         {b.r('largest_gap_minutes')}, {b.r('coverage', 6, 'n_rows / expected_rows')} FROM cont""",
     ),
-    "dq5_audit": (
-        audit,
-        f"""WITH {b.METER}, {CONTINUITY.format(source='meter')}, counts AS (SELECT series_id,
-            {', '.join(f'count(*) FILTER (WHERE {c} IS NULL) AS missing_{c}' for c in METERS)},
-            count(*) - count(DISTINCT ts) AS n_duplicated_timestamps, {RULES_SQL} FROM meter GROUP BY 1)
-        SELECT series_id, n_rows, {', '.join(f'missing_{c}' for c in METERS)},
-            {b.r('missing_rate', 6, '(' + ' + '.join(f'missing_{c}' for c in METERS) + f') / (n_rows * {len(METERS)})')},
-            n_duplicated_timestamps, voltage_out_of_band, Global_active_power_negative, Global_reactive_power_negative,
-            Global_intensity_negative, n_gaps, {b.r('largest_gap_minutes')}, expected_rows, {b.r('coverage', 6, 'n_rows / expected_rows')}
-        FROM cont JOIN counts USING (series_id)""",
-    ),
+    "dq5_audit": (audit, _AUDIT_SQL),
+    "dq5_audit_merged": (audit_merged, _AUDIT_SQL),
     "dq6_failed_expectations": (
         failed_expectations,
         f"""WITH {b.RECORDS}, n AS (SELECT series_id, count(*) AS n, count(*) FILTER (WHERE y > 400) AS large FROM records GROUP BY 1)
