@@ -7,7 +7,7 @@ import dataclasses
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattgrid.functions.timeaxis import DAY
-from wattgrid.operators import boosting, features as ft, forecast, metrics as mt, trees, validation
+from wattgrid.operators import arma, boosting, features as ft, forecast, metrics as mt, nightly, trees, validation
 from wattgrid.session import scratch_path, staged
 from wattgrid.sources import tables
 from wattgrid.workload import base as b
@@ -69,6 +69,22 @@ def direct_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.rounded(ft.direct_matrix(b.featured(spark, sf_dir)))
 
 
+NIGHTS = ["2024-01-27", "2024-01-28", "2024-01-29"]
+
+
+def night_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three nights in turn; each reads the stored tail and its own day, and stores the next tail."""
+    hourly = staged(b.hourly(spark, sf_dir).select("series_id", "ts", "y"))
+    state = staged(nightly.tail_state(hourly.where(F.col("ts") < F.lit(NIGHTS[0]))))
+    made = []
+    for night in NIGHTS:
+        begin = F.lit(night).cast("timestamp_ntz")
+        day = hourly.where((F.col("ts") >= begin) & (F.col("ts") < begin + F.expr("interval '1' day")))
+        made.append(nightly.night_matrix(state, day).drop("split"))
+        state = staged(nightly.merge_tails(state, nightly.tail_state(day)))
+    return b.rounded(made[0].unionByName(made[1]).unionByName(made[2]))
+
+
 def lookback_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = ft.lookback_windows(b.hourly(spark, sf_dir), start=b.TEST_START)
     return b.rounded(made.select("series_id", "ts", "y", F.size("window").cast("bigint").alias("n"), F.element_at("window", 1).alias("oldest"),
@@ -212,6 +228,22 @@ def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trees.score({"boosted_tuned": model}, matrix.where(F.col("split") == "test"))
 
 
+def long_autoregression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = _split_hourly(spark, sf_dir).where("split = 'train'")
+    fitted = arma.fit_long_autoregression(train)
+    return b.rounded(fitted.withColumnsRenamed({f"b___w{k}": f"b_w{k}" for k in _LONG}), 5)
+
+
+def seasonal_arma_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.rounded(arma.fit_seasonal_arma(_split_hourly(spark, sf_dir), fit_window=None).drop("radius"), 5)
+
+
+def seasonal_arma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residuals joined up over blocks of 128 hours."""
+    split = staged(_split_hourly(spark, sf_dir))
+    return b.rounded(arma.seasonal_arma_forecast(split, arma.fit_seasonal_arma(split, fit_window=None), block=128), 4)
+
+
 def reload_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix, names = _matrix(spark, sf_dir)
     test = matrix.where(F.col("split") == "test")
@@ -406,20 +438,40 @@ _DIRECT_COLUMNS = ", ".join(f"lag({c}, 24) OVER w AS {c}" for c in b.HISTORY)
 _TERMS = ["one", "d1", "d2", "d3"]
 
 
-def _solve_sql(source: str, name: str) -> str:
-    """CTEs that solve the 4 x 4 normal equations of every series by elimination and back substitution."""
-    k = len(_TERMS)
+def _solve_sql(source: str, name: str, terms: list[str] = _TERMS, target: str = "d") -> str:
+    """CTEs that solve the normal equations of every series by elimination and back substitution."""
+    k = len(terms)
     steps = [f"{name}0 AS (SELECT series_id, count(*) AS n_fit, "
-             + ", ".join(f"sum({a} * {c}) AS a{i}{j}" for i, a in enumerate(_TERMS) for j, c in enumerate([*_TERMS, "d"])) + f" FROM {source} GROUP BY 1)"]
+             + ", ".join(f"sum({a} * {c}) AS a{i}{j}" for i, a in enumerate(terms) for j, c in enumerate([*terms, target])) + f" FROM {source} GROUP BY 1)"]
     for p in range(k - 1):
         cells = [f"a{i}{j} - a{i}{p} / a{p}{p} * a{p}{j} AS a{i}{j}" if i > p else f"a{i}{j}" for i in range(k) for j in range(k + 1)]
         steps.append(f"{name}{p + 1} AS (SELECT series_id, n_fit, {', '.join(cells)} FROM {name}{p})")
     source = f"{name}{k - 1}"
     for i in reversed(range(k)):
-        known = "".join(f" - a{i}{j} * b_{_TERMS[j]}" for j in range(i + 1, k))
-        steps.append(f"{name}b{i} AS (SELECT *, (a{i}{k}{known}) / a{i}{i} AS b_{_TERMS[i]} FROM {source})")
+        known = "".join(f" - a{i}{j} * b_{terms[j]}" for j in range(i + 1, k))
+        steps.append(f"{name}b{i} AS (SELECT *, (a{i}{k}{known}) / a{i}{i} AS b_{terms[i]} FROM {source})")
         source = f"{name}b{i}"
-    return ", ".join(steps) + f", {name} AS (SELECT series_id, n_fit, {', '.join(f'b_{t}' for t in _TERMS)} FROM {source})"
+    return ", ".join(steps) + f", {name} AS (SELECT series_id, n_fit, {', '.join(f'b_{t}' for t in terms)} FROM {source})"
+
+
+_LONG = arma.long_lags(24)
+_LONG_TERMS = ["one", *[f"w{k}" for k in _LONG]]
+_FIRST = f"""{b.HOURLY}, tr AS (SELECT * FROM hourly WHERE ts < TIMESTAMP '{b.TEST_START}'),
+l1 AS (SELECT series_id, ts, 1.0 AS one, {', '.join(f'{"y" if k == 0 else f"lag(y, {k}) OVER w"} - lag(y, {k + 24}) OVER w AS w{k}' for k in [0, *_LONG])}
+    FROM tr WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+u1 AS (SELECT * FROM l1 WHERE w49 IS NOT NULL), {_solve_sql('u1', 'fit1', _LONG_TERMS, 'w0')}"""
+_SECOND = f"""{_FIRST}, seen AS (SELECT l1.*, w0 - b_one - {' - '.join(f'b_w{k} * w{k}' for k in _LONG)} AS e FROM l1 JOIN fit1 USING (series_id)),
+l2 AS (SELECT series_id, ts, one, w0, w1, w24 AS wp, w25 AS wp1, lag(e, 1) OVER w AS e1, lag(e, 24) OVER w AS ep, lag(e, 25) OVER w AS ep1
+    FROM seen WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+u2 AS (SELECT * FROM l2 WHERE ep1 IS NOT NULL), {_solve_sql('u2', 'fit2', arma.MODEL_TERMS, 'w0')}"""
+_ARMA = f"""{_SECOND}, steps AS MATERIALIZED (SELECT series_id, ts, y, row_number() OVER w AS rn, b_e1, b_ep, b_ep1,
+        (y - lag(y, 24) OVER w) - b_one - b_w1 * (lag(y, 1) OVER w - lag(y, 25) OVER w) - b_wp * (lag(y, 24) OVER w - lag(y, 48) OVER w)
+        - b_wp1 * (lag(y, 25) OVER w - lag(y, 49) OVER w) AS u
+    FROM hourly JOIN fit2 USING (series_id) WINDOW w AS (PARTITION BY series_id ORDER BY ts)),
+walk AS (SELECT DISTINCT series_id, 0::BIGINT AS rn, list_transform(range(25), lambda i: 0.0::DOUBLE) AS s, NULL::DOUBLE AS e FROM steps
+    UNION ALL SELECT n.series_id, n.rn, list_prepend(coalesce(n.u - b_e1 * s[1] - b_ep * s[24] - b_ep1 * s[25], 0), s[1:24]),
+        n.u - b_e1 * s[1] - b_ep * s[24] - b_ep1 * s[25]
+    FROM walk JOIN steps n ON n.series_id = walk.series_id AND n.rn = walk.rn + 1)"""
 
 
 _AR_TERMS = f"""{b.HOURLY}, terms AS (SELECT series_id, ts, y, 1.0 AS one, CASE WHEN ts < TIMESTAMP '{b.TEST_START}' THEN 'train' ELSE 'test' END AS split,
@@ -476,6 +528,13 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
             FROM featured WINDOW w AS (PARTITION BY series_id ORDER BY ts))
         SELECT series_id, ts, split, {b.r('y')}, {_all([*ft.CALENDAR_FEATURES, *b.HISTORY])} FROM moved WHERE {' AND '.join(f'{c} IS NOT NULL' for c in b.HISTORY)}""",
     ),
+    "mn4_night_matrix": (
+        night_matrix,
+        f"""WITH {b.FEATURED}, moved AS (SELECT series_id, ts, y, {', '.join(ft.CALENDAR_FEATURES)}, {_DIRECT_COLUMNS}
+            FROM featured WINDOW w AS (PARTITION BY series_id ORDER BY ts))
+        SELECT series_id, ts, {b.r('y')}, {_all([*ft.CALENDAR_FEATURES, *b.HISTORY])} FROM moved
+        WHERE ts >= TIMESTAMP '{NIGHTS[0]}' AND ts < TIMESTAMP '{NIGHTS[-1]}' + INTERVAL 1 DAY""",
+    ),
     "fe10_direct_matrix_after_loss": (
         direct_matrix_after_loss,
         f"""WITH {b.HOURLY}, holed AS (SELECT series_id, ts, CASE WHEN day(ts) * 24 + hour(ts) <> 500 THEN y END AS y FROM hourly),
@@ -548,6 +607,19 @@ QUERIES: dict[str, tuple[b.Query, str | None]] = {
         f"""WITH {_ar_sql(2160)} SELECT series_id, 'seasonal_ar' AS model, 'h=1' AS horizon, ts, {b.r('y_true', 4, 'y')},
         {b.r('y_pred', 4, 'base + b_one + b_d1 * d1 + b_d2 * d2 + b_d3 * d3')} FROM terms JOIN fit USING (series_id) WHERE split = 'test'""",
     ),
+    "fc6_long_autoregression": (
+        long_autoregression,
+        f"WITH {_FIRST} SELECT series_id, n_fit, {', '.join(b.r(f'b_{t}', 5) for t in _LONG_TERMS)} FROM fit1",
+    ),
+    "fc6_seasonal_arma_fit": (
+        seasonal_arma_fit,
+        f"WITH {_SECOND} SELECT series_id, n_fit, {', '.join(b.r(f'b_{t}', 5) for t in arma.MODEL_TERMS)} FROM fit2",
+    ),
+    "fc6_seasonal_arma_forecast": (
+        seasonal_arma,
+        f"""WITH RECURSIVE {_ARMA} SELECT series_id, 'seasonal_arma' AS model, 'h=1' AS horizon, ts, {b.r('y_true', 4, 'y')}, {b.r('y_pred', 4, 'y - e')}
+        FROM walk JOIN steps USING (series_id, rn) WHERE ts >= TIMESTAMP '{b.TEST_START}'""",
+    ),
     "snk5_reload_model": (reload_model, None),
     "fc7_forecast_at": (
         forecast_at,
