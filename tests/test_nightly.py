@@ -11,7 +11,7 @@ from wattgrid.operators import features as ft, nightly
 def test_nights_equal_the_whole_history(spark, make):
     values = [float((i * 37) % 101) for i in range(700)]
     holed = list(values)
-    holed[470] = None
+    holed[300] = None
     df = make({"a": values, "b": holed, "new": values[:100]})
     whole = ft.direct_matrix(ft.drop_warmup(ft.chronological_split(ft.build_features(df), "2024-01-02"))).drop("split")
     state = nightly.tail_state(df.where(F.col("ts") < F.lit("2024-01-28")))

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from wattgrid.functions.timeaxis import HOUR, as_keys
 from wattgrid.operators import features as ft
 
-# The longest lag or window (168), the horizon (24), and the 169 rows that one NULL takes out.
-TAIL = 168 + 24 + 169
+# The longest lag, the horizon, and one row more.
+TAIL = max(ft.LAGS) + 24 + 1
 _AT = "at"
 
 
@@ -64,7 +64,7 @@ def night_matrix(
     """The rows that ``features.direct_matrix`` has for the timestamps of ``day``, from the state before that day.
 
     Reads the tail and the day only. Equal to the matrix over the whole history as long as the tail holds ``horizon``
-    rows with all features; ``TAIL`` does with one NULL in it, more NULLs need a longer one.
+    rows with all features: ``TAIL`` holds one more, and every row that a NULL takes needs a longer one.
     ``feature_options`` go to ``features.build_features``.
     """
     names = as_keys(keys)
