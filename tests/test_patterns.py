@@ -61,3 +61,14 @@ def test_row_positions_with_gaps(make, rows):
     got = row_positions(df, keys="series_id", ts="ts", step=3600, total="n", rows=rows).orderBy("series_id", "ts").toPandas()
     for k, part in got.groupby("series_id"):
         assert part["pos"].tolist() == list(range(len(part))) and set(part["n"]) == {len(part)}
+
+
+def test_discarded_stages_are_empty_and_others_stay(spark):
+    from wattgrid.session import discard, staged
+
+    first = staged(spark.range(1000).withColumn("x", F.col("id") * 2))
+    second = staged(first.where("id < 10"))
+    folder = first.inputFiles()[0].rsplit("/", 1)[0]
+    discard(first.select("x"))
+    assert spark.read.parquet(folder).count() == 0 and second.count() == 10
+    discard(spark.range(3))

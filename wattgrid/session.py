@@ -61,3 +61,14 @@ def staged(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Empty the stages that ``df`` reads, once everything made from them is stored itself. Keeps a chain of
+    stages from holding the disk of all of them; nothing may read ``df`` afterwards."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        if folder.rsplit("/", 1)[1].startswith("stage-"):
+            schema = spark.read.parquet(folder).schema
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
