@@ -24,7 +24,9 @@ def test_nights_equal_the_whole_history(spark, make):
         expected = {(r["series_id"], r["ts"]): r.asDict() for r in whole.where(inside).collect()}
         assert got.keys() == expected.keys() and len(got) >= 40
         for k in got:
-            assert got[k] == pytest.approx(expected[k])
+            names = [c for c, v in expected[k].items() if isinstance(v, (int, float))]
+            assert [got[k][c] for c in names] == pytest.approx([expected[k][c] for c in names])
+            assert got[k].keys() == expected[k].keys() and len(names) > 15
         state = nightly.merge_tails(state, nightly.tail_state(day))
 
 
