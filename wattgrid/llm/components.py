@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattgrid.session import staged
+from wattgrid.session import discard, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,6 +39,7 @@ def labels(edges: DataFrame) -> DataFrame:
     stars, before = staged(clean), None
     while before != (now := _state(stars)):
         before = now
-        stars = staged(_small_star(_large_star(stars)))
+        earlier, stars = stars, staged(_small_star(_large_star(stars)))
+        discard(earlier)
     roots = stars.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)

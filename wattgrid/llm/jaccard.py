@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattgrid.llm import components
-from wattgrid.session import staged
+from wattgrid.session import discard, staged
 
 WORDS = 5
 SKETCH_BITS = 22
@@ -214,11 +214,11 @@ def _list_rows(documents: DataFrame, level: np.ndarray, boundary: int) -> DataFr
             for lot in range(0, batch.num_rows, 256):
                 found = [shingler(t.as_py()) for t in batch["text"].slice(lot, 256)]
                 each = [keys(s, shared.value, boundary) for s in found]
-                marks, count = [identity(s) for s in found], [len(k) for k in each]
-                columns = [np.concatenate(each).view(np.int64), *(np.repeat(np.array([m[i] for m in marks], np.int64), count) for i in (0, 1))]
-                yield pa.record_batch([pa.array(c) for c in columns], names=["key", "a", "b"])
+                marks = np.array([identity(s)[0] for s in found], np.int64)
+                columns = [np.concatenate(each).view(np.int64), np.repeat(marks, [len(k) for k in each])]
+                yield pa.record_batch([pa.array(c) for c in columns], names=["key", "a"])
 
-    return _rows(documents).select("text").mapInArrow(listed, "key bigint, a bigint, b bigint")
+    return _rows(documents).select("text").mapInArrow(listed, "key bigint, a bigint")
 
 
 def _classes(described: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ def _bucketed(documents: DataFrame) -> DataFrame:
 
 
 def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``a, b``: the pairs ``x, y`` of class ids whose full sets are similar enough. ``pairs`` must be a
+    """``a, b``: the pairs ``x, y`` of class ids whose full sets are similar enough, stored. ``pairs`` must be a
     stored table of distinct pairs. The set of ``y`` travels to ``x``, so many pairs of one x are cheap."""
     context = documents.sparkSession.sparkContext
     held = context.broadcast(_needed_filter(pairs.select(F.explode(F.array("x", "y")).alias("v"))))
@@ -273,13 +273,17 @@ def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     met = met.join(full.select(F.col("v").alias("x"), F.col("members").alias("mx")), "x")
     common = F.size(F.array_intersect("mx", "my"))
     similar = 175 * common >= 75 * (F.size("mx") + F.size("my"))
-    return met.where(similar).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    checked = staged(met.where(similar).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    discard(full)
+    return checked
 
 
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """Attach ``label``, the component of ``v`` by the links found so far."""
+    """Attach ``label``, the component of ``v`` by the links found so far; stored."""
     found = components.labels(links).select(F.col("node").alias("v"), "label")
-    return rows.join(found, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    labelled = staged(rows.join(found, "v", "left").withColumn("label", F.coalesce("label", "v")))
+    discard(found)
+    return labelled
 
 
 def links(documents: DataFrame, described: DataFrame) -> DataFrame:
@@ -289,12 +293,13 @@ def links(documents: DataFrame, described: DataFrame) -> DataFrame:
     sizes = described.where(F.col("n").between(1, ceil(MOST_BOUNDARY * 4 / 3))).groupBy("n").count().collect()
     boundary = cheapest_boundary({r["n"]: r["count"] for r in sizes})
     classes = staged(_classes(described))
-    # One shuffle by key finds the lists with different classes; a list streams through its task.
+    # One shuffle by key finds the lists with different classes; a list streams through its task. Half of the
+    # identity names the class here: classes that share it are listed together and compared like others.
     whole = Window.partitionBy("key")
     listed = _list_rows(documents, level, boundary)
-    listed = listed.select("key", "a", "b", F.min("a").over(whole).alias("low"), F.max("a").over(whole).alias("high"))
-    shared = listed.where("low <> high").select("key", "a", "b").distinct()
-    lists = staged(shared.join(classes.select("a", "b", "v", "n"), ["a", "b"]).select("key", "v", "n"))
+    listed = listed.select("key", "a", F.min("a").over(whole).alias("low"), F.max("a").over(whole).alias("high"))
+    shared = listed.where("low <> high").select("key", "a").distinct()
+    lists = staged(shared.join(classes.select("a", "v", "n"), "a").select("key", "v", "n"))
     bits = classes.select("v", "n", "bits")
     found = None
     for turn in range(STAR_ROUNDS):
@@ -305,11 +310,16 @@ def links(documents: DataFrame, described: DataFrame) -> DataFrame:
         pairs = met.select(F.col("lead.v").alias("x"), F.col("v").alias("y")).distinct()
         pairs = pairs.join(_renamed(bits, "x"), "x").join(_renamed(bits, "y"), "y")
         found = _extended(documents, found, pairs.where(_bitmaps_fit(F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"))))
+        if turn:
+            discard(rows)
     rest = _unsettled(lists, found).join(bits.drop("n"), "v")
     left, right = (rest.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "label", "n", "bits")], F.col("v").alias(side)) for side in ("x", "y"))
     fit = _sizes_fit(F.col("x_n"), F.col("y_n")) & _bitmaps_fit(F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"))
     apart = (F.col("x_key") == F.col("y_key")) & (F.col("x") < F.col("y")) & (F.col("x_label") != F.col("y_label"))
-    return _extended(documents, found, left.join(right, apart & fit))
+    connected = _extended(documents, found, left.join(right, apart & fit))
+    for stage in (rest, lists, classes):
+        discard(stage)
+    return connected
 
 
 def _renamed(bits: DataFrame, side: str) -> DataFrame:
@@ -318,7 +328,7 @@ def _renamed(bits: DataFrame, side: str) -> DataFrame:
 
 def _unsettled(lists: DataFrame, found: DataFrame | None) -> DataFrame:
     """``key, v, n, label``: the lists whose classes do not all belong to one component yet."""
-    rows = lists.withColumn("label", F.col("v")) if found is None else staged(_labelled(lists, found))
+    rows = lists.withColumn("label", F.col("v")) if found is None else _labelled(lists, found)
     several = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     return rows.join(several, "key", "left_semi")
 
@@ -326,8 +336,15 @@ def _unsettled(lists: DataFrame, found: DataFrame | None) -> DataFrame:
 def _extended(documents: DataFrame, found: DataFrame | None, met: DataFrame) -> DataFrame:
     """The links found so far and those among the pairs ``x, y``, each checked once."""
     once = met.select("x", "y", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).dropDuplicates(["low", "high"])
-    more = staged(_verified(documents, staged(once.select("x", "y"))))
-    return more if found is None else staged(found.unionByName(more))
+    candidates = staged(once.select("x", "y"))
+    more = _verified(documents, candidates)
+    discard(candidates)
+    if found is None:
+        return more
+    both = staged(found.unionByName(more))
+    discard(found)
+    discard(more)
+    return both
 
 
 def _blocks(classes: DataFrame, found: DataFrame) -> DataFrame:
@@ -442,8 +459,9 @@ def groups(documents: DataFrame) -> DataFrame:
     ``doc_id`` that links reach, the row's own included; ``n_links`` counts the different sets that the
     row's set is similar to."""
     described, found, classes = _joined(documents)
-    met = _compared(documents, staged(_blocks(classes, found)), counts=True)
-    counted = staged(met.groupBy("a", "b").agg(F.sum("n_links").alias("n_links")))
+    blocks = staged(_blocks(classes, found))
+    counted = staged(_compared(documents, blocks, counts=True).groupBy("a", "b").agg(F.sum("n_links").alias("n_links")))
+    discard(blocks)
     rows = _grouped(described, found, classes).join(counted, ["a", "b"], "left")
     return rows.select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 

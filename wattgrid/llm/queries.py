@@ -56,7 +56,7 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.groups(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard.groups(_table(spark, sf_dir, "documents"))
 
 
 OP3_SQL = r"""
@@ -71,9 +71,11 @@ common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh
 linked AS (
   SELECT x, y FROM common JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * c >= 75 * (p.n + q.n - c)),
 arcs AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
-reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, b.y FROM reach r JOIN arcs b ON r.other = b.x)
-SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.other) AS component_id
-FROM d LEFT JOIN sizes s ON d.doc_id = s.doc_id JOIN reach r ON d.doc_id = r.doc_id GROUP BY d.doc_id
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, b.y FROM reach r JOIN arcs b ON r.other = b.x),
+named AS (SELECT doc_id, sha256(string_agg(s, chr(10) ORDER BY s)) AS name FROM sh GROUP BY doc_id),
+met AS (SELECT arcs.x, count(DISTINCT q.name) AS n FROM arcs JOIN named p ON arcs.x = p.doc_id JOIN named q ON arcs.y = q.doc_id WHERE p.name <> q.name GROUP BY arcs.x)
+SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.other) AS component_id, CAST(coalesce(max(met.n), 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN met ON d.doc_id = met.x LEFT JOIN sizes s ON d.doc_id = s.doc_id JOIN reach r ON d.doc_id = r.doc_id GROUP BY d.doc_id
 """
 
 
