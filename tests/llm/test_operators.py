@@ -147,6 +147,31 @@ def test_op3_counts_all_links(spark, documents, monkeypatch):
     assert Counter(map(tuple, jaccard.pairs(frame).collect())) == Counter({p: n // 2 for p, n in pairs.items()})
 
 
+def test_op3_large_sets_meet_only_where_bitmaps_of_their_size_fit(spark, monkeypatch):
+    """Large texts that begin alike share lists; whole sets are loaded for possible links only, and none is lost."""
+    rng = np.random.default_rng(3)
+    head = [f"h{k}" for k in range(2300)]
+    documents = []
+    for k in range(24):  # similarity of 0.6: too little, but in the same lists
+        documents.append((k, " ".join(head + [f"w{x}" for x in rng.integers(0, 10**9, 700)])))
+    for k in range(12):  # edited more and more, across the boundary and across two widths of bitmaps
+        words = documents[k][1].split()
+        keep = len(words) - 40 * k
+        documents.append((100 + k, " ".join(words[:keep] + [f"e{k}x{j}" for j in range(60 * k)])))
+    documents += [(200 + k, " ".join(f"m{j}" for j in range(n))) for k, n in enumerate((400, 513, 520, 600, 680, 1020, 1030, 1300))]
+    asked = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda docs, pairs: asked.append(pairs.count()) or verified(docs, pairs))
+    frame = spark.createDataFrame(documents, "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in jaccard.groups(frame).collect()}
+    sets, component = brute_groups(documents)
+    sets = {i: next(iter(s)) for i, s in sets.items()}
+    links = {i: sum(i != j and s != r and 100 * len(s & r) >= 75 * len(s | r) for j, r in sets.items()) for i, s in sets.items()}
+    assert found == {i: (component[i], links[i]) for i in sets}
+    assert 5 < sum(links[k] > 0 for k in range(12)) < 12
+    assert sum(asked) < 60  # 276 pairs of too little similarity share lists
+
+
 def test_op4(spark, folder, documents):
     found = rows(spark, "op4_toxicity", folder)
     assert len(found) == len(documents) and all(0 <= r["score"] <= 1 for r in found)

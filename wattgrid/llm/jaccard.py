@@ -9,7 +9,8 @@ texts, so that a passage many texts share stays out of the lists of texts that o
 
 Equal sets are one class (its member with the smallest id stands for it). Within the lists a few leaders
 are compared with everyone first; classes that this connects need no further comparison, and all other
-pairs of a list are compared if sizes and parity bitmaps (a lower bound of the difference) allow a link.
+pairs of a list are compared if sizes and parity bitmaps (a lower bound of the difference; large sets have
+a second one that grows with them) allow a link.
 That yields the components. Every link lies inside one, so all links follow from comparing the full sets
 of each component with one another, in blocks; ``groups`` counts them and ``pairs`` lists them.
 
@@ -39,6 +40,7 @@ SKETCH_BITS = 22
 SKETCH_BLOCK = 1 << 16
 BITMAP_BITS = 1024
 LONGS = BITMAP_BITS // 64
+WIDE_FROM = 512
 LEAST_BOUNDARY, MOST_BOUNDARY = 2, 14
 LEADERS = 4
 STAR_ROUNDS = 2
@@ -146,28 +148,59 @@ def parity(shingles: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
+def wide_parity(shingles: np.ndarray) -> list[int] | None:
+    """The same kind of bitmap with two to four bits per member, for sets that fill the fixed one; None for
+    others. Half as wide a bitmap is the first half XOR the second."""
+    if len(shingles) <= WIDE_FROM:
+        return None
+    width = 1 << (2 * len(shingles) - 1).bit_length()
+    odd = np.bincount((_mixed(shingles, 19) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _rows(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("binary").alias("text"))
 
 
-def rarity(documents: DataFrame) -> np.ndarray:
-    """A level for each of 2^SKETCH_BITS buckets: how often shingles of all texts fall into it, in steps
-    of a factor of four above the average."""
+def sets(documents: DataFrame) -> DataFrame:
+    """``id, n, a, b, bits, wide`` for each row: set size, set identity and parity bitmaps. On the same pass each
+    task counts its shingles by 2^SKETCH_BITS buckets; rows ``block, counts`` hold that, all else NULL."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, totals = Shingler(), np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
-            for text in batch["text"]:
-                np.add.at(totals, (shingler(text.as_py()) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            found = [shingler(t.as_py()) for t in batch["text"]]
+            for s in found:
+                np.add.at(totals, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            marks = [identity(s) for s in found]
+            columns = [
+                [len(s) for s in found], [m[0] for m in marks], [m[1] for m in marks],
+                [parity(s) for s in found], [wide_parity(s) for s in found],
+            ]
+            columns += [[None] * len(found)] * 2
+            yield pa.record_batch([batch["id"], *(pa.array(c, kind) for c, kind in zip(columns, _SETS.types[1:]))], schema=_SETS)
         for at in range(0, len(totals), SKETCH_BLOCK):
             packed = zlib.compress(totals[at : at + SKETCH_BLOCK].astype("<u4").tobytes(), 1)
-            yield pa.record_batch([pa.array([at // SKETCH_BLOCK]), pa.array([packed], pa.binary())], names=["block", "counts"])
+            columns = [*[None] * (len(_SETS) - 2), at // SKETCH_BLOCK, packed]
+            yield pa.record_batch([pa.array([c], kind) for c, kind in zip(columns, _SETS.types)], schema=_SETS)
+
+    kinds = "id bigint, n bigint, a bigint, b bigint, bits array<bigint>, wide array<bigint>, block bigint, counts binary"
+    return _rows(documents).mapInArrow(describe, kinds)
+
+
+_SETS = pa.schema([
+    *((c, pa.int64()) for c in ("id", "n", "a", "b")), *((c, pa.list_(pa.int64())) for c in ("bits", "wide")), ("block", pa.int64()), ("counts", pa.binary()),
+])
+
+
+def rarity(counted: DataFrame) -> np.ndarray:
+    """A level for each of 2^SKETCH_BITS buckets, from rows ``block, counts``: how often shingles of all texts fall
+    into it, in steps of a factor of four above the average."""
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = sum(np.frombuffer(zlib.decompress(c.as_py()), "<u4").astype("<i8") for batch in batches for c in batch["counts"])
         yield pa.record_batch([pa.array([key[0].as_py()]), pa.array([total.tobytes()], pa.binary())], names=["block", "counts"])
 
-    counted = _rows(documents).select("text").mapInArrow(count, "block bigint, counts binary")
     # Blocks of equal number are added as they stream by; the result has the size of one sketch.
     blocks = counted.groupBy("block").applyInArrow(add, "block bigint, counts binary").collect()
     totals = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -178,23 +211,6 @@ def rarity(documents: DataFrame) -> np.ndarray:
     return np.clip(np.ceil(np.log2(np.maximum(totals / (1.5 * base), 1)) / 2), 0, 20).astype(np.uint8)
 
 
-def sets(documents: DataFrame) -> DataFrame:
-    """``id, n, a, b, bits`` for each row: set size, set identity and parity bitmap."""
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
-        for batch in batches:
-            found = [shingler(t.as_py()) for t in batch["text"]]
-            marks = [identity(s) for s in found]
-            yield pa.record_batch(
-                [batch["id"], pa.array([len(s) for s in found], pa.int64()), pa.array([m[0] for m in marks], pa.int64()),
-                 pa.array([m[1] for m in marks], pa.int64()), pa.array([parity(s) for s in found], pa.list_(pa.int64()))],
-                names=["id", "n", "a", "b", "bits"],
-            )
-
-    return _rows(documents).mapInArrow(describe, "id bigint, n bigint, a bigint, b bigint, bits array<bigint>")
-
-
 def cheapest_boundary(sizes: dict[int, int]) -> int:
     """The boundary between small and large sets with the fewest list entries; ``sizes`` counts sets by
     size, up to MOST_BOUNDARY * 4 / 3."""
@@ -222,10 +238,10 @@ def _list_rows(documents: DataFrame, level: np.ndarray, boundary: int) -> DataFr
 
 
 def _classes(described: DataFrame) -> DataFrame:
-    """``a, b, v, n, bits``: the classes of equal sets by their smallest id. NULL ids count as one
+    """``a, b, v, n, bits, wide``: the classes of equal sets by their smallest id. NULL ids count as one
     document below all others."""
-    held = described.where("n > 0").select("a", "b", "n", "bits", F.coalesce("id", F.lit(NO_ID)).alias("id"))
-    return held.groupBy("a", "b").agg(F.min("id").alias("v"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    held = described.where("n > 0").select("a", "b", "n", "bits", "wide", F.coalesce("id", F.lit(NO_ID)).alias("id"))
+    return held.groupBy("a", "b").agg(F.min("id").alias("v"), *(F.first(c).alias(c) for c in ("n", "bits", "wide")))
 
 
 NO_ID = -(1 << 63)
@@ -241,6 +257,24 @@ def _bitmaps_fit(x: Column, y: Column, n: Column, m: Column) -> Column:
     return 7 * differing <= n + m
 
 
+def _sifted(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``x, y`` that the wide bitmaps leave possible. Where a set has none, its pairs stay."""
+    wide = classes.where("wide IS NOT NULL").select("v", "n", "wide")
+    met = pairs
+    for side in ("y", "x"):
+        met = met.join(wide.select(F.col("v").alias(side), F.col("n").alias(f"{side}_n"), F.col("wide").alias(f"{side}_wide")), side, "left")
+    longs = F.least(F.size("x_wide"), F.size("y_wide"))
+    left, right = (_halved(F.col(f"{side}_wide"), longs) for side in ("x", "y"))
+    differing = F.aggregate(F.zip_with(left, right, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, bits: total + bits)
+    return met.where(F.coalesce(7 * differing <= F.col("x_n") + F.col("y_n"), F.lit(True))).select("x", "y")
+
+
+def _halved(bits: Column, longs: Column) -> Column:
+    """A wide bitmap at the given number of longs: its own, or half of that."""
+    halves = (F.slice(bits, 1, longs), F.slice(bits, longs + 1, longs))
+    return F.when(F.size(bits) > longs, F.zip_with(*halves, lambda p, q: p.bitwiseXOR(q))).otherwise(bits)
+
+
 def _needed_filter(ids: DataFrame) -> np.ndarray:
     """A bit for each of 2^FILTER_BITS buckets of the class ids ``v``; bounded by its size."""
     buckets = ids.select(F.pmod(F.xxhash64("v"), F.lit(1 << FILTER_BITS)).alias("k")).distinct()
@@ -286,10 +320,9 @@ def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     return labelled
 
 
-def links(documents: DataFrame, described: DataFrame) -> DataFrame:
+def links(documents: DataFrame, described: DataFrame, level: np.ndarray) -> DataFrame:
     """``a, b``: links between class ids that connect the same components as all links do. ``described``
-    is the stored result of ``sets``."""
-    level = rarity(documents)
+    are the stored rows of ``sets``, ``level`` their ``rarity``."""
     sizes = described.where(F.col("n").between(1, ceil(MOST_BOUNDARY * 4 / 3))).groupBy("n").count().collect()
     boundary = cheapest_boundary({r["n"]: r["count"] for r in sizes})
     classes = staged(_classes(described))
@@ -309,14 +342,14 @@ def links(documents: DataFrame, described: DataFrame) -> DataFrame:
         met = rows.join(leaders, "key").where((F.col("label") != F.col("lead.label")) & _sizes_fit(F.col("n"), F.col("lead.n")))
         pairs = met.select(F.col("lead.v").alias("x"), F.col("v").alias("y")).distinct()
         pairs = pairs.join(_renamed(bits, "x"), "x").join(_renamed(bits, "y"), "y")
-        found = _extended(documents, found, pairs.where(_bitmaps_fit(F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"))))
+        found = _extended(documents, classes, found, pairs.where(_bitmaps_fit(F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"))))
         if turn:
             discard(rows)
     rest = _unsettled(lists, found).join(bits.drop("n"), "v")
     left, right = (rest.select(*[F.col(c).alias(f"{side}_{c}") for c in ("key", "label", "n", "bits")], F.col("v").alias(side)) for side in ("x", "y"))
     fit = _sizes_fit(F.col("x_n"), F.col("y_n")) & _bitmaps_fit(F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"))
     apart = (F.col("x_key") == F.col("y_key")) & (F.col("x") < F.col("y")) & (F.col("x_label") != F.col("y_label"))
-    connected = _extended(documents, found, left.join(right, apart & fit))
+    connected = _extended(documents, classes, found, left.join(right, apart & fit))
     for stage in (rest, lists, classes):
         discard(stage)
     return connected
@@ -333,10 +366,11 @@ def _unsettled(lists: DataFrame, found: DataFrame | None) -> DataFrame:
     return rows.join(several, "key", "left_semi")
 
 
-def _extended(documents: DataFrame, found: DataFrame | None, met: DataFrame) -> DataFrame:
-    """The links found so far and those among the pairs ``x, y``, each checked once."""
+def _extended(documents: DataFrame, classes: DataFrame, found: DataFrame | None, met: DataFrame) -> DataFrame:
+    """The links found so far and those among the pairs ``x, y``, each checked once. Whole sets travel only
+    for pairs that all bitmaps leave possible."""
     once = met.select("x", "y", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high")).dropDuplicates(["low", "high"])
-    candidates = staged(once.select("x", "y"))
+    candidates = staged(_sifted(once.select("x", "y"), classes))
     more = _verified(documents, candidates)
     discard(candidates)
     if found is None:
@@ -428,8 +462,10 @@ def _compared(documents: DataFrame, blocks: DataFrame, counts: bool) -> DataFram
 
 def _joined(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The stored sets of all rows, the connecting links, and ``v, a, b, n`` of each class."""
-    described = staged(sets(documents))
-    return described, links(documents, described), _classes(described).select("v", "a", "b", "n")
+    made = staged(sets(documents))
+    described = made.where("block IS NULL").drop("block", "counts")
+    level = rarity(made.where("block IS NOT NULL").select("block", "counts"))
+    return described, links(documents, described, level), _classes(described).select("v", "a", "b", "n")
 
 
 def pairs(documents: DataFrame) -> DataFrame:
