@@ -126,6 +126,18 @@ def test_nearest_times_equal_brute_force(spark):
     assert {(r["k"], r["horizon"]): r["error"] for r in found if r["k"] in (500, 502, 504)} == {(500, "h=1"): -1.0, (500, "h=24"): 1.0, (502, None): None, (504, None): None}
 
 
+def test_many_requests_of_one_series_take_linear_time(spark):
+    """Requests of one series and bucket: the time follows their number, not its square."""
+    import time
+
+    table = spark.range(500).selectExpr("'a' AS series_id", "timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, 0, id, 0, 0) AS ts")
+    requests = spark.range(200_000).selectExpr("'a' AS series_id", "timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id * 10) AS requested")
+    began = time.perf_counter()
+    found = forecast.nearest_times(requests, table).selectExpr("count(*)", "max(ts) = timestamp_ntz '2024-01-21 19:00:00'").first()
+    assert tuple(found) == (200_000, True)
+    assert time.perf_counter() - began < 60
+
+
 def test_chain_survives_one_missing_value(make):
     """Features, warm-up, day-ahead matrix and scale of a series with one missing target: rows are counted."""
     from wattgrid.operators import features as ft

@@ -177,34 +177,48 @@ def nearest_times(
     """``(keys, requested, ts)``: for each different request the table's nearest timestamp of its series; of
     two equally near ones the later. NULL where the series has no rows or the request no time.
 
-    Requests and rows meet in time buckets; what lies before and after a bucket comes from one row per
-    bucket, so neither a long series nor a hot one is gathered.
+    Requests and rows meet in steps: the rows of one step are a short list, what lies before and after it comes
+    from one row per step with either, in buckets, so neither a long series nor many requests are gathered.
     """
     names = as_keys(keys)
-    asked = requests.select(*names, naive(requested).alias("__t")).distinct()
-    known = table.select(*names, naive(ts).alias("__t")).where("__t IS NOT NULL").distinct()
-    marks = known.select("*", F.col("__t").alias("__row"), F.lit(0).alias("__kind")).unionByName(
-        asked.select("*", F.lit(None).cast("timestamp_ntz").alias("__row"), F.lit(1).alias("__kind"))
-    ).withColumn(BUCKET, bucket_of("__t", step, rows))
-    buckets = marks.groupBy(*names, BUCKET).agg(F.min("__row").alias("__first"), F.max("__row").alias("__last"))
-    along = Window.partitionBy(*names).orderBy(BUCKET)
-    carried = buckets.select(
-        *names, BUCKET,
-        F.last("__last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
-        F.first("__first", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
+    asked = requests.select(*names, naive(requested).alias(requested)).distinct()
+    return _snapped(asked, table, names, requested, ts, step, rows).select(*names, requested, ts)
+
+
+def _snapped(requests: DataFrame, table: DataFrame, names: list[str], requested: str, ts: str, step: int, rows: int) -> DataFrame:
+    """All rows and columns of ``requests`` with the nearest timestamp ``ts`` of ``table``."""
+    known = table.select(*names, naive(ts).alias("__t")).where("__t IS NOT NULL").withColumn("__step", bucket_of("__t", step, 1))
+    asked = requests.select(*names, naive(requested).alias("__t")).select(*names, bucket_of("__t", step, 1).alias("__step")).distinct()
+    listed = known.groupBy(*names, "__step").agg(F.sort_array(F.collect_set("__t")).alias("__rows"))
+    met = listed.unionByName(asked, allowMissingColumns=True).groupBy(*names, "__step").agg(F.first("__rows", ignorenulls=True).alias("__rows"))
+    slots = met.select(
+        "*", F.floor(F.col("__step") / rows).alias(BUCKET), F.array_min("__rows").alias("__first"), F.array_max("__rows").alias("__last")
     )
-    inside = Window.partitionBy(*names, BUCKET).orderBy("__t", "__kind")
-    placed = marks.select(
-        *names, BUCKET, "__t", "__kind",
-        F.last("__row", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("__low"),
-        F.first("__row", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing)).alias("__high"),
-    ).where("__kind = 1")
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*names, BUCKET]]
-    met = placed.alias("r").join(carried.alias("c"), same)
-    low, high = F.coalesce("__low", "__before"), F.coalesce("__high", "__after")
-    later = seconds_between("__t", high) <= seconds_between(low, "__t")
-    near = F.when(low.isNull() | later, high).otherwise(low)
-    return met.select(*[F.col(f"r.{c}").alias(c) for c in names], F.col("__t").alias(requested), F.when(F.col("__t").isNotNull(), near).alias(ts))
+    buckets = slots.groupBy(*names, BUCKET).agg(F.min("__first").alias("__first"), F.max("__last").alias("__last"))
+
+    def beside(group: list[str], order: str) -> list:
+        """The nearest row before and after; both run from the first to the current row, in either order."""
+        passed = [Window.partitionBy(*group).orderBy(way(order)).rowsBetween(Window.unboundedPreceding, -1) for way in (F.asc, F.desc)]
+        return [F.last("__last", ignorenulls=True).over(passed[0]), F.last("__first", ignorenulls=True).over(passed[1])]
+
+    before, after = beside(names, BUCKET)
+    carried = buckets.select(*names, BUCKET, before.alias("__before"), after.alias("__after"))
+    low, high = beside([*names, BUCKET], "__step")
+    placed = slots.select(*names, BUCKET, "__step", "__rows", low.alias("__low"), high.alias("__high"))
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*names, BUCKET]]
+    around = placed.alias("s").join(carried.alias("c"), same).select(
+        *[F.col(f"s.{c}").alias(c) for c in names], "__step", "__rows",
+        F.coalesce("__low", "__before").alias("__low"), F.coalesce("__high", "__after").alias("__high"),
+    )
+    timed = requests.withColumn("__t", naive(requested)).withColumn("__step", bucket_of("__t", step, 1))
+    found = [F.col(f"q.{c}").eqNullSafe(F.col(f"a.{c}")) for c in [*names, "__step"]]
+    joined = timed.alias("q").join(around.alias("a"), found, "left")
+    low = F.coalesce(F.array_max(F.filter("__rows", lambda t: t <= F.col("__t"))), F.col("__low"))
+    high = F.coalesce(F.array_min(F.filter("__rows", lambda t: t >= F.col("__t"))), F.col("__high"))
+    chosen = joined.select(*[F.col(f"q.{c}").alias(c) for c in requests.columns], "__t", low.alias("__below"), high.alias("__above"))
+    later = seconds_between("__t", "__above") <= seconds_between("__below", "__t")
+    near = F.when(F.col("__below").isNull() | later, F.col("__above")).otherwise(F.col("__below"))
+    return chosen.select(*requests.columns, F.when(F.col("__t").isNotNull(), near).alias(ts))
 
 
 def forecast_requests(
@@ -223,9 +237,7 @@ def forecast_requests(
     request whose series has none keeps one row with NULLs.
     """
     names = as_keys(keys)
-    near = nearest_times(requests, scored, names, requested, ts, step, rows)
-    found = [F.col(f"q.{c}").eqNullSafe(F.col(f"n.{c}")) for c in names] + [naive(F.col(f"q.{requested}")).eqNullSafe(F.col(f"n.{requested}"))]
-    placed = requests.alias("q").join(near.alias("n"), found, "left").select("q.*", F.col(f"n.{ts}").alias(ts))
+    placed = _snapped(requests, scored, names, requested, ts, step, rows)
     each = F.struct("model", "horizon", F.col("y_true").alias("actual"), F.col("y_pred").alias("forecast"))
     made = scored.groupBy(*names, ts).agg(F.sort_array(F.collect_list(each)).alias("__made"))
     joined = placed.join(made, [*names, ts], "left").select(*[F.col(c) for c in requests.columns], ts, F.inline_outer("__made"))
