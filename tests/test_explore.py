@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattgrid.operators import explore as ex, metrics as mt, monitor as mn
+from wattgrid.plans import ranks
 
 RNG = np.random.default_rng(2)
 V = np.round(RNG.gamma(2, 3, 24 * 50), 2)
@@ -33,6 +34,27 @@ def test_box_statistics(series, approximate):
     assert (got["whisker_low"], got["whisker_high"], got["n_outliers"], got["n"]) == (inside.min(), inside.max(), len(v) - len(inside), 50)
 
 
+def test_box_statistics_count_few_values(spark, monkeypatch):
+    """Different values throughout: only those near the quartiles are counted one by one."""
+    n, counted = 100_000, []
+
+    def watched(cumulated, *rest, whole=ranks.quantile_table):
+        counted.append(cumulated.count())
+        return whole(cumulated, *rest)
+
+    monkeypatch.setattr(ranks, "quantile_table", watched)
+    hour = F.lit(dt.datetime(2024, 1, 1, 3)).cast("timestamp_ntz")
+    value = F.when(F.col("id") == 0, -0.0).otherwise(F.col("id") * 7919 % n)
+    rows = spark.range(0, n, 1, 4).select(F.lit("a").alias("series_id"), hour.alias("ts"), value.alias("y"))
+    found = ex.box_statistics(rows, ("hour",))
+    got = found.first()
+    assert (got["n"], got["q1"], got["median"], got["q3"], got["n_outliers"]) == (n, (n - 1) / 4, (n - 1) / 2, 3 * (n - 1) / 4, 0)
+    assert str((got["whisker_low"], got["whisker_high"])) == str((0.0, n - 1.0))
+    assert len(counted) == 1 and counted[0] < n // 10
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Aggregate [") == 1
+
+
 def test_histogram(series):
     got = ex.histogram(series, 80).where("series_id = 'a'").orderBy("bin").toPandas()
     counts, edges = np.histogram(V, 80)

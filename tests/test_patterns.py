@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattgrid.plans.buckets import attach, expand, row_positions
-from wattgrid.plans.ranks import cumulative, quantile_table
+from wattgrid.plans.ranks import cumulative, exact_quantiles, quantile_table
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +40,18 @@ def test_quantiles_are_exact(skewed, per):
         np.testing.assert_allclose(got.loc[k, [f"q{i}" for i in range(6)]].astype(float), want, rtol=1e-12)
 
 
+@pytest.mark.parametrize("ranges, small", [(512, 4096), (32, 5), (4, 0)])
+def test_quantiles_of_plain_rows_are_exact(skewed, ranges, small):
+    pdf, df = skewed
+    odd = df.unionByName(df.sparkSession.createDataFrame([(None, 1.0), ("big", None), ("none", None)], "k string, v double"))
+    probabilities = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
+    got = exact_quantiles(odd, "k", "v", probabilities, ranges=ranges, small=small).toPandas().set_index("k")
+    assert got["n"].to_dict() == pdf.groupby("k").size().to_dict()
+    for k, part in pdf.groupby("k"):
+        want = np.quantile(part["v"], probabilities)
+        np.testing.assert_allclose(got.loc[k, [f"q{i}" for i in range(6)]].astype(float), want, rtol=1e-12)
+
+
 def test_expand_keeps_every_integer(spark):
     df = spark.createDataFrame([("a", 1, 10), ("b", 5, 5), ("c", 3, 2)], "k string, lo long, hi long")
     got = sorted((r["k"], r["i"]) for r in expand(df, "lo", "hi", "i", chunk=4).collect())

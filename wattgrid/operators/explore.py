@@ -10,7 +10,7 @@ from wattgrid.functions.distributions import normal_quantile
 from wattgrid.functions.timeaxis import DAY, HOUR, as_keys, calendar_part, lit_ts, naive, plus_seconds, quoted, seconds_between, slot
 from wattgrid.operators.features import rolling_columns
 from wattgrid.plans.buckets import attach, expand, over_neighbours
-from wattgrid.plans.ranks import cumulative, quantile_table
+from wattgrid.plans.ranks import cumulative, exact_quantiles
 
 FACTORS = ("hour", "day_of_week", "month")
 
@@ -39,7 +39,8 @@ def _level_rows(df: DataFrame, factors: Sequence[str], target: str, names: list[
     levels = F.inline(F.array(*[
         F.struct(F.lit(f).alias("factor"), calendar_part(f, ts).cast("bigint").alias("level")) for f in factors
     ]))
-    return df.where(F.col(target).isNotNull()).select(*names, F.col(target).cast("double").alias("v"), levels)
+    # Adding zero makes a negative zero a plain one.
+    return df.where(F.col(target).isNotNull()).select(*names, (F.col(target).cast("double") + F.lit(0.0)).alias("v"), levels)
 
 
 def box_statistics(
@@ -52,13 +53,13 @@ def box_statistics(
 ) -> DataFrame:
     """Quartiles, whisker ends (1.5 IQR) and outlier count per calendar level.
 
-    Quartiles are exact for groups of any size: equal values are counted first and located by
-    cumulative counts over value ranges. ``approximate`` uses the mergeable sketch instead.
+    Quartiles are exact for groups of any size: rows are counted per value range, and values only in the
+    ranges that hold a quartile. ``approximate`` uses the mergeable sketch instead. ``df`` is read several
+    times.
     """
     names = as_keys(keys)
     group = [*names, "factor", "level"]
     rows = _level_rows(df, factors, target, names, ts)
-    counts = rows.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("n"))
     if approximate:
         sketch = rows.groupBy(*group).agg(
             F.count(F.lit(1)).alias("n"),
@@ -66,16 +67,15 @@ def box_statistics(
         )
         quartiles = sketch.select(*group, "n", *[F.element_at("__q", i + 1).alias(q) for i, q in enumerate(("q1", "median", "q3"))])
     else:
-        found = quantile_table(cumulative(counts, group, "v"), group, "v", (0.25, 0.5, 0.75))
+        found = exact_quantiles(rows, group, "v", (0.25, 0.5, 0.75))
         quartiles = found.select(*group, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = F.col("v").between(low, high)
-    fenced = attach(counts.withColumnRenamed("n", "__c"), quartiles, group)
-    return fenced.groupBy(*group, "n", "q1", "median", "q3").agg(
+    return attach(rows, quartiles, group).groupBy(*group, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("__c"))), F.lit(0)).cast("bigint").alias("n_outliers"),
+        F.count(F.when(~inside, F.lit(1))).alias("n_outliers"),
     )
 
 
@@ -303,8 +303,7 @@ def describe(df: DataFrame, columns: Sequence[str], keys: str | Sequence[str] =
     moments = long.groupBy(*group).agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
     )
-    counts = long.groupBy(*group, "v").agg(F.count(F.lit(1)).alias("n"))
-    quartiles = quantile_table(cumulative(counts, group, "v"), group, "v", (0.25, 0.5, 0.75))
+    quartiles = exact_quantiles(long, group, "v", (0.25, 0.5, 0.75))
     return moments.join(quartiles.drop("n"), group).select(
         *group, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max"
     )

@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattgrid.functions.timeaxis import as_keys
 from wattgrid.plans.buckets import attach
+from wattgrid.session import staged
 
 RANGE = "__range"
 RANGES = 512
 ROWS_PER_RANGE = 65536
+SMALL_GROUP = 8 * RANGES
 
 
 def _cut_points(counts: DataFrame, keys: list[str], value: str, ranges: int, small: int) -> DataFrame:
@@ -45,8 +47,11 @@ def with_range(
 ) -> DataFrame:
     """Add the value range of each row: number of cut points below the value."""
     names = as_keys(keys)
-    cuts = _cut_points(counts, names, value, ranges, rows_per_range)
-    rows = attach(counts, cuts, names).withColumn(RANGE, F.lit(0))
+    return _located(counts, _cut_points(counts, names, value, ranges, rows_per_range), names, value, ranges)
+
+
+def _located(rows: DataFrame, cuts: DataFrame, names: list[str], value: str, ranges: int) -> DataFrame:
+    rows = attach(rows, cuts, names).withColumn(RANGE, F.lit(0))
     jump = 1
     while jump * 2 <= ranges:
         jump *= 2
@@ -118,3 +123,40 @@ def quantile_table(
         lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
         columns.append((lo + (hi - lo) * weight).alias(f"q{i}"))
     return found.select(*names, "n", *columns)
+
+
+def exact_quantiles(
+    rows: DataFrame,
+    keys: str | Sequence[str],
+    value: str,
+    probabilities: Sequence[float],
+    *,
+    ranges: int = RANGES,
+    small: int = SMALL_GROUP,
+) -> DataFrame:
+    """:func:`quantile_table` of plain rows, without counting every value or moving every row.
+
+    Groups of more than ``small`` rows are cut into value ranges and the rows of each range are counted;
+    values are then counted only in the ranges that hold a neighbour of a quantile position. Tasks keep an
+    entry per group and range, and few of the rows. ``rows`` is read three times. The tables between the
+    passes have a few rows per group and are stored, so that the planner knows their size and joins small
+    ones where the rows are read. Rows with a NULL key or value are left out.
+    """
+    names = as_keys(keys)
+    slim = rows.select(*names, value).where(F.col(value).isNotNull())
+    ranged = _located(slim, staged(_cut_points(slim, names, value, ranges, small)), names, value, ranges)
+    totals = ranged.groupBy(*names, RANGE).agg(F.count(F.lit(1)).alias("__sum"))
+    upto = F.sum("__sum").over(Window.partitionBy(*names).orderBy(RANGE))
+    offsets = totals.select(
+        *names, RANGE, "__sum", (upto - F.col("__sum")).alias("__offset"), F.sum("__sum").over(Window.partitionBy(*names)).alias("total")
+    )
+    held = F.lit(False)
+    for p in probabilities:
+        position = F.lit(p) * (F.col("total") - 1)
+        for at in (F.floor(position), F.ceil(position)):
+            held = held | ((F.col("__offset") <= at) & (at < F.col("__offset") + F.col("__sum")))
+    wanted = staged(offsets.where(held).drop("__sum"))
+    counts = attach(ranged, wanted, [*names, RANGE]).groupBy(*names, RANGE, "__offset", "total", value).agg(F.count(F.lit(1)).alias("ties"))
+    running = F.sum("ties").over(Window.partitionBy(*names, RANGE).orderBy(value))
+    cumulated = counts.withColumn("upto", F.col("__offset") + running)
+    return staged(quantile_table(cumulated, names, value, probabilities))

@@ -104,7 +104,8 @@ def zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def box_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(ex.box_statistics(b.sales_predictions(spark, sf_dir), ("month", "day_of_week"), "y_true"), 4)
+    sales = staged(b.sales_predictions(spark, sf_dir).select("series_id", "ts", "y_true"))
+    return b.rounded(ex.box_statistics(sales, ("month", "day_of_week"), "y_true"), 4)
 
 
 def box_statistics_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +169,8 @@ def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return b.rounded(ex.describe(b.sales_predictions(spark, sf_dir), ["y_true", "y_pred"]), 5)
+    sales = staged(b.sales_predictions(spark, sf_dir).select("series_id", "y_true", "y_pred"))
+    return b.rounded(ex.describe(sales, ["y_true", "y_pred"]), 5)
 
 
 def sort_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
