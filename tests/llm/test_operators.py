@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
-from wattgrid.llm import fingerprint, jaccard, packing, queries, substring_dedup
+from wattgrid.llm import fingerprint, jaccard, packing, queries, substring_dedup, suffix_array
 
 QUERIES = {name: run for name, (run, _) in queries.QUERIES.items()}
 
@@ -84,6 +84,41 @@ def test_op2_deals_large_keys_anew(spark, folder):
     assert {key(r): union(r) for r in substring_dedup.covered(frame, most_contexts=1).collect()} == plain
 
 
+def test_op2_finds_keys_once(spark, monkeypatch):
+    """The keys of a document are computed once, however often they are read."""
+    made, plain = spark.sparkContext.accumulator(0), substring_dedup._keys
+
+    def counted(documents):
+        def watch(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        keys = plain(documents)
+        return keys.mapInArrow(watch, keys.schema)
+
+    text = "".join(map(str, range(300)))
+    frame = spark.createDataFrame([(1, text), (2, text), (3, text[::-1])], "doc_id long, text string")
+    once = plain(frame).count()
+    monkeypatch.setattr(substring_dedup, "_keys", counted)
+    spans = {r["id"]: substring_dedup._merged([s.asDict() for s in r["spans"]]) for r in substring_dedup.covered(frame).collect()}
+    assert spans == {1: [(0, len(text))], 2: [(0, len(text))]}
+    assert made.value == once
+
+
+def test_suffix_arrays_of_repetitive_texts_are_sorted():
+    """Copies that differ in few places: many names in the reduced string, long common beginnings."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(2, 258, 3000)
+    parts = [base, base, np.where(rng.random(3000) < 0.01, 257, base), np.full(500, 7), base[:700]]
+    text = np.concatenate([np.append(p, 1) for p in parts] + [[0]]).astype(np.uint16)
+    raw = text.astype(">u2").tobytes()
+    expected = sorted(range(len(text)), key=lambda i: raw[2 * i:])
+    assert suffix_array.suffix_array(text, 258).tolist() == expected
+    names = np.unique(text[:9000], return_inverse=True)[1]
+    assert suffix_array._by_doubling(names).tolist() == sorted(range(len(names)), key=lambda i: names[i:].tolist())
+
+
 def brute_groups(documents):
     sets = defaultdict(set)
     for i, t in documents:
