@@ -106,6 +106,24 @@ def test_op2_finds_keys_once(spark, monkeypatch):
     assert made.value == once
 
 
+@pytest.mark.parametrize("most", [4096, 1])
+def test_op2_leaves_no_contexts_behind(spark, monkeypatch, folder, most):
+    """Contexts are stored once, not copied, and gone once the spans are found."""
+    stored, plain = [], substring_dedup.staged
+
+    def watched(df):
+        stored.append(plain(df))
+        return stored[-1]
+
+    monkeypatch.setattr(substring_dedup, "staged", watched)
+    spans = substring_dedup.covered(spark.read.parquet(f"{folder}/documents.parquet"), most_contexts=most)
+    assert spans.count() > 0
+    held = [f for f in stored if "context" in f.columns]
+    assert len(held) == 1 if most > 1 else len(held) > 1
+    folders = {f.inputFiles()[0].rsplit("/", 1)[0] for f in held}
+    assert not any(spark.read.parquet(path).count() for path in folders)
+
+
 def test_suffix_arrays_of_repetitive_texts_are_sorted():
     """Copies that differ in few places: many names in the reduced string, long common beginnings."""
     rng = np.random.default_rng(3)
